@@ -48,19 +48,22 @@ def _indices(names: Column, pred) -> Column:
 def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str = "text") -> DataFrame:
     """Per file: station (parent folder), file name, variable, resolved
     header positions, header_ok, number of data rows and the numbered data
-    lines (blank lines dropped, as a CSV reader does)."""
+    lines (blank lines dropped, as a CSV reader does).
+
+    Each step is its own projection over attributes of the previous one, so
+    the text is split once and the header parsed once per file."""
     parts = F.split(F.col(path_col), "/")
-    lines = F.split(F.col(text_col), r"\r?\n")
-    numbered = F.transform(lines, lambda l, i: F.struct(l.alias("line"), (i + 1).alias("line_no")))
-    data = F.filter(numbered, lambda x: (x["line_no"] > HEADER_LINE) & (F.trim(x["line"]) != ""))
-    header = F.try_element_at(lines, F.lit(HEADER_LINE))
     step = files.select(
         F.col(path_col).alias("file_path"),
         F.try_element_at(parts, F.lit(-2)).alias(STATION),
         F.element_at(parts, -1).alias("file_name"),
-        F.from_csv(header, CELL_SCHEMA, HEADER_CSV).alias("__h"),
-        data.alias("lines"),
+        F.split(F.col(text_col), r"\r?\n").alias("__lines"),
     )
+    numbered = F.transform("__lines", lambda l, i: F.struct(l.alias("line"), (i + 1).alias("line_no")))
+    data = F.filter(numbered, lambda x: (x["line_no"] > HEADER_LINE) & (F.trim(x["line"]) != ""))
+    header = F.try_element_at(F.col("__lines"), F.lit(HEADER_LINE))
+    step = step.select("file_path", STATION, "file_name",
+                       F.from_csv(header, CELL_SCHEMA, HEADER_CSV).alias("__h"), data.alias("lines"))
     hdr = F.filter(F.transform(_cells(F.col("__h")), lambda c: F.trim(c)), lambda c: c.isNotNull())
     step = step.select("file_path", STATION, "file_name", variable_name("file_name").alias("variable"),
                        hdr.alias("hdr"), "lines")
@@ -70,13 +73,15 @@ def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str
             found[target] = _indices(F.col("hdr"), lambda c, t=target: c == F.lit(t))
         else:
             found[target] = _indices(F.col("hdr"), lambda c, f=frag: F.lower(c).contains(f))
-    n = {t: F.size(ix) for t, ix in found.items()}
+    step = step.select("file_path", STATION, "file_name", "variable", "hdr", "lines",
+                       *[ix.alias(f"__ix_{t}") for t, ix in found.items()])
+    n = {t: F.size(f"__ix_{t}") for t in found}
     ok = ((n[DATE] == 1) & (n[PARAMETER] >= 1) & (n[VALUE] == 1) & (n[APPROVAL] <= 1) & (n[GRADE] <= 1))
     return step.select(
         "file_path", STATION, "file_name", "variable", "hdr",
         F.coalesce(ok, F.lit(False)).alias("header_ok"),
         F.size("lines").alias("n_rows"),
-        *[F.try_element_at(ix, F.lit(1)).alias(f"i_{t}") for t, ix in found.items()],
+        *[F.try_element_at(F.col(f"__ix_{t}"), F.lit(1)).alias(f"i_{t}") for t in found],
         "lines",
     )
 
@@ -100,16 +105,20 @@ def parse_time(c: Column) -> Column:
 def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
     """One row per data line of every readable file: STATION_NUMBER,
     variable, file_name, line_no, Date (reading time), Parameter, Value,
-    Approval, Grade [, extra: array<struct<name, value>> of other columns]."""
-    ok = table.filter("header_ok")
+    Approval, Grade [, extra: array<struct<name, value>> of other columns].
+
+    Unreadable files explode to nothing (no Filter node, so no predicate is
+    pushed below the header resolution and re-evaluated there)."""
     keep = [STATION, "variable", "file_name"] + [f"i_{t}" for t, _ in RESOLVE_SPEC]
     if keep_extra:
         keep.append("hdr")
-    exploded = ok.select(*keep, F.explode("lines").alias("__l"))
-    # parse each line once, in its own projection
-    parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"),
-                             F.from_csv(F.col("__l.line"), CELL_SCHEMA, DATA_CSV).alias("__c"))
-    cells = _cells(F.col("__c"))
+    # Each line is parsed inside the generator: a later filter on a parsed
+    # field stops at the Generate and cannot inline (repeat) the CSV parse.
+    parsed_lines = F.transform("lines", lambda x: F.struct(
+        x["line_no"].alias("line_no"), F.from_csv(x["line"], CELL_SCHEMA, DATA_CSV).alias("c")))
+    exploded = table.select(*keep, F.explode(F.when(F.col("header_ok"), parsed_lines)).alias("__l"))
+    parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"), _cells(F.col("__l.c")).alias("__cells"))
+    cells = F.col("__cells")
 
     def pick(target: str) -> Column:
         return _na(F.try_element_at(cells, F.col(f"i_{target}") + 1))
