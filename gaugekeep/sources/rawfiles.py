@@ -30,7 +30,7 @@ def read_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") ->
     """One row per file: (file_path, text). `_metadata.file_path` is
     URL-encoded; '+' is protected before decoding so it is not read as a
     space."""
-    df = spark.read.option("wholetext", "true").text(f"{root.rstrip('/')}/{pattern}")
+    df = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
     path = F.col("_metadata.file_path")
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return df.select(decoded.alias("file_path"), F.col("value").alias("text"))
