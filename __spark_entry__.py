@@ -29,7 +29,7 @@ from gaugekeep.plans.freshness import freshness
 from gaugekeep.plans.integrate import integrate_publication
 from gaugekeep.plans.manifest import download_manifest
 from gaugekeep.plans.masters import masters
-from gaugekeep.plans.realtime import realtime_update, split_parameter, updates
+from gaugekeep.plans.realtime import realtime_update_rows, split_parameter, updates
 from gaugekeep.plans.release import release_changed, release_stamps
 from gaugekeep.plans.reset import reset_tables
 from gaugekeep.plans.station_report import station_report
@@ -99,10 +99,10 @@ def _scraped_first(spark, d, param):
 
 def _realtime_update(spark, d):
     sc = si.scraped(spark, d)
-    nf, nl = realtime_update(si.realtime(spark, d), _stored(spark, d, FLOW), _stored(spark, d, LEVEL),
-                             scraped_flow=sc.filter(F.col(PARAMETER) == FLOW),
-                             scraped_level=sc.filter(F.col(PARAMETER) == LEVEL))
-    return nf.unionByName(nl)
+    rows = realtime_update_rows(si.realtime(spark, d), _stored(spark, d, FLOW), _stored(spark, d, LEVEL),
+                                scraped_flow=sc.filter(F.col(PARAMETER) == FLOW),
+                                scraped_level=sc.filter(F.col(PARAMETER) == LEVEL))
+    return rows.drop("__table")
 
 
 def _append_new(spark, d):

@@ -4,11 +4,12 @@
 Plan: whole-file scan -> per-file header resolution -> exploded lines
 parsed once -> two-phase aggregate per (station, variable, file, day) with the
 day's first row picked by min_by -> the newest file per (station, variable)
-kept (D6) by a window over the small daily rows -> Parameter label (P6)."""
+kept (D6) by a semi-join with one row per (station, variable) -> Parameter
+label (P6)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugekeep.columns import APPROVAL, DATE, FLOW, GRADE, LEVEL, PARAMETER, PUB_STATUS, STATION, UNPUBLISHED, VALUE
@@ -27,8 +28,12 @@ def masters_from_readings(readings: DataFrame, keep_extra: bool = False) -> Data
     payload = [APPROVAL, GRADE] + (["extra"] if keep_extra else [])
     daily = daily_mean_first(rows, keys=[STATION, "variable", "file_name"], time_col=DATE,
                              order_cols=["line_no"], payload=payload)
-    last = F.max("file_name").over(Window.partitionBy(STATION, "variable"))
-    daily = daily.withColumn("__last", last).filter(F.col("file_name") == F.col("__last"))
+    # Only the newest file (by name) of a (station, variable) counts. One
+    # row per (station, variable) is joined back: a broadcast when AQE finds
+    # it small, so the daily rows are not shuffled again and a busy station
+    # never lands in a single window task.
+    newest = daily.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
+    daily = daily.join(newest, [STATION, "variable", "file_name"], "left_semi")
     cols = list(MASTER_COLUMNS) + (["extra"] if keep_extra else [])
     return daily.withColumn(PARAMETER, parameter_label("variable")).select(*cols)
 

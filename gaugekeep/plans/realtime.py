@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gaugekeep.columns import DATE, DAY_KEYS, FLOW, LEVEL, PARAMETER, PUB_STATUS, STATION, UNPUBLISHED, VALUE
 from gaugekeep.operators.daily import min_date, realtime_daily_mean
 from gaugekeep.operators.merge import new_rows, prefer_first
+from gaugekeep.session import ensure_checkpoint_dir
 from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources.archive import stored_since
 
@@ -36,32 +37,73 @@ def updates(daily: DataFrame, scraped_flow: DataFrame | None = None, scraped_lev
             scraped_order=()) -> tuple[DataFrame, DataFrame]:
     """Candidate rows per table; scraped rows win over realtime rows of the
     same station-day."""
-    flow, level = split_parameter(daily, FLOW), split_parameter(daily, LEVEL)
-    if scraped_flow is not None:
-        flow = prefer_first([_scraped(scraped_flow, FLOW), flow], DAY_KEYS, scraped_order)
-    if scraped_level is not None:
-        level = prefer_first([_scraped(scraped_level, LEVEL), level], DAY_KEYS, scraped_order)
-    return flow, level
+    both = _candidates(daily, scraped_flow, scraped_level, scraped_order)
+    return (both.filter(F.col(PARAMETER) == FLOW).drop(TABLE),
+            both.filter(F.col(PARAMETER) == LEVEL).drop(TABLE))
 
 
-def realtime_update(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
-                    scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
-                    skip_null_days: bool = False, complete_before: _dt.date | None = None
-                    ) -> tuple[DataFrame, DataFrame]:
-    """New rows for the flow and level tables.
+TABLE = "__table"
+
+
+def _sources(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None
+             ) -> list[DataFrame]:
+    """Candidate sources in priority order (scraped first), each holding flow
+    and level rows tagged with their table."""
+    rt = (daily.filter(F.col(PARAMETER).isin(FLOW, LEVEL)).select(*UPDATE_COLUMNS)
+          .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)).withColumn(TABLE, F.col(PARAMETER)))
+    scraped = [_scraped(s, p).withColumn(TABLE, F.lit(p))
+               for s, p in ((scraped_flow, FLOW), (scraped_level, LEVEL)) if s is not None]
+    if not scraped:
+        return [rt]
+    sc = scraped[0] if len(scraped) == 1 else scraped[0].unionByName(scraped[1])
+    return [sc, rt]
+
+
+def _candidates(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None,
+                scraped_order=()) -> DataFrame:
+    """Flow and level candidates in one frame, tagged with their table, so
+    that the daily means are computed once and merged in one window."""
+    src = _sources(daily, scraped_flow, scraped_level)
+    return src[0] if len(src) == 1 else prefer_first(src, (STATION, DATE, TABLE), scraped_order)
+
 
-    The stored tables are read from the earliest update day on (one bound
-    for both, as a scalar subquery pushed to the scan), then anti-joined on
-    (station, day), null-safe."""
+def _stored_tagged(stored_flow: DataFrame, stored_level: DataFrame, since: DataFrame) -> DataFrame:
+    keys = [STATION, DATE]
+    f = stored_since(stored_flow, since).select(*keys, F.lit(FLOW).alias(TABLE))
+    lv = stored_since(stored_level, since).select(*keys, F.lit(LEVEL).alias(TABLE))
+    return f.unionAll(lv)
+
+
+def realtime_update_rows(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
+                         scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
+                         skip_null_days: bool = False, complete_before: _dt.date | None = None) -> DataFrame:
+    """New rows of both tables in one plan, tagged with `__table`.
+
+    One aggregation of the daily means, one window for the scraped merge,
+    one null-safe anti-join against both stored tables (read from the
+    earliest update day on; the bound is a scalar subquery that reaches the
+    scans). Equivalent to one anti-join per table on (station, day)."""
     if skip_null_days:
         daily = daily.filter(F.col(VALUE).isNotNull())
     if complete_before is not None:
         daily = daily.filter(F.col(DATE) < F.lit(complete_before))
-    flow, level = updates(daily, scraped_flow, scraped_level)
-    since = min_date(flow, level)
-    new_flow = new_rows(flow, stored_since(stored_flow, since), DAY_KEYS)
-    new_level = new_rows(level, stored_since(stored_level, since), DAY_KEYS)
-    return new_flow, new_level
+    src = _sources(daily, scraped_flow, scraped_level)
+    cand = src[0] if len(src) == 1 else prefer_first(src, (STATION, DATE, TABLE))
+    # the merge keeps every (station, day) key, so the earliest day is taken
+    # from the sources directly and the subquery needs no window
+    since = min_date(*src)
+    return new_rows(cand, _stored_tagged(stored_flow, stored_level, since), (STATION, DATE, TABLE))
+
+
+def realtime_update(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
+                    scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
+                    skip_null_days: bool = False, complete_before: _dt.date | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """New rows for the flow and level tables (two views of one plan)."""
+    rows = realtime_update_rows(daily, stored_flow, stored_level, scraped_flow, scraped_level,
+                                skip_null_days, complete_before)
+    return (rows.filter(F.col(TABLE) == FLOW).drop(TABLE),
+            rows.filter(F.col(TABLE) == LEVEL).drop(TABLE))
 
 
 def realtime_update_from_readings(readings: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
@@ -70,9 +112,19 @@ def realtime_update_from_readings(readings: DataFrame, stored_flow: DataFrame, s
     return realtime_update(daily, stored_flow, stored_level, **kw)
 
 
-def run_realtime_update(store: TableStore, daily: DataFrame, **kw) -> None:
-    """Appends the new rows to the current versions of flow and level."""
-    new_flow, new_level = realtime_update(daily, store.read("flow", keep_year=True),
-                                          store.read("level", keep_year=True), **kw)
-    store.append("flow", new_flow)
-    store.append("level", new_level)
+def run_realtime_update(store: TableStore, daily: DataFrame, **kw) -> dict[str, int]:
+    """Appends the new rows to the current versions of flow and level.
+
+    The new rows are computed once and checkpointed to the cluster's shared
+    checkpoint folder (`spark.checkpoint.dir`); both appends read that copy,
+    so the readings are not aggregated twice and a lost executor does not
+    force a recomputation from the raw input."""
+    ensure_checkpoint_dir(store.spark)
+    rows = realtime_update_rows(daily, store.read("flow", keep_year=True),
+                                store.read("level", keep_year=True), **kw).checkpoint(eager=True)
+    counts = {}
+    for table, label in (("flow", FLOW), ("level", LEVEL)):
+        part = rows.filter(F.col(TABLE) == label).drop(TABLE)
+        store.append(table, part)
+        counts[table] = part.count()
+    return counts
