@@ -4,8 +4,8 @@
 Plan: whole-file scan -> per-file header resolution -> exploded lines
 parsed once -> two-phase aggregate per (station, variable, file, day) with the
 day's first row picked by min_by -> the newest file per (station, variable)
-kept (D6) by a semi-join with one row per (station, variable) -> Parameter
-label (P6)."""
+kept (D6) by a semi-join with one row per (station, variable), taken from
+the file listing -> Parameter label (P6)."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gaugekeep.columns import APPROVAL, DATE, FLOW, GRADE, LEVEL, PARAMETER, PUB_STATUS, STATION, UNPUBLISHED, VALUE
 from gaugekeep.functions.names import parameter_label
 from gaugekeep.operators.daily import daily_mean_first
-from gaugekeep.sources.rawfiles import raw_file_table, raw_readings
+from gaugekeep.sources.rawfiles import newest_files, raw_file_table, raw_readings
 
 MASTER_COLUMNS = ("variable", STATION, DATE, PARAMETER, VALUE, APPROVAL, GRADE)
 # The stored level table is fed from the unit-value level master only.
@@ -23,24 +23,30 @@ DEFAULT_LEVEL_SOURCES = ("water_level (unit values)",)
 DEFAULT_FLOW_SOURCES = ("flow",)
 
 
-def masters_from_readings(readings: DataFrame, keep_extra: bool = False) -> DataFrame:
+def masters_from_readings(readings: DataFrame, newest: DataFrame | None = None,
+                          keep_extra: bool = False) -> DataFrame:
+    """A1 per (station, variable, file, day), then D6: only the newest file
+    (by name) of a (station, variable) counts. `newest` (from newest_files)
+    is one row per (station, variable); it is semi-joined to the daily rows,
+    as a broadcast when AQE finds it small, so the lines are never shuffled
+    for it. Without it, it is derived from the daily rows themselves."""
     rows = readings.filter(F.col(DATE).isNotNull())
     payload = [APPROVAL, GRADE] + (["extra"] if keep_extra else [])
     daily = daily_mean_first(rows, keys=[STATION, "variable", "file_name"], time_col=DATE,
                              order_cols=["line_no"], payload=payload)
-    # Only the newest file (by name) of a (station, variable) counts. One
-    # row per (station, variable) is joined back: a broadcast when AQE finds
-    # it small, so the daily rows are not shuffled again and a busy station
-    # never lands in a single window task.
-    newest = daily.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
-    daily = daily.join(newest, [STATION, "variable", "file_name"], "left_semi")
+    if newest is None:
+        newest = daily.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
+    daily = daily.join(newest.select(STATION, "variable", "file_name"), [STATION, "variable", "file_name"],
+                       "left_semi")
     cols = list(MASTER_COLUMNS) + (["extra"] if keep_extra else [])
     return daily.withColumn(PARAMETER, parameter_label("variable")).select(*cols)
 
 
-def masters(files: DataFrame, keep_extra: bool = False) -> DataFrame:
-    """`files`: (file_path, text), e.g. from read_raw_files."""
-    return masters_from_readings(raw_readings(raw_file_table(files), keep_extra=keep_extra), keep_extra)
+def masters(files: DataFrame, listing: DataFrame | None = None, keep_extra: bool = False) -> DataFrame:
+    """`files`: (file_path, text), e.g. from read_raw_files. `listing`: the
+    file paths (read_raw_listing); by default the path column of `files`."""
+    newest = newest_files(listing if listing is not None else files.select("file_path"))
+    return masters_from_readings(raw_readings(raw_file_table(files), keep_extra=keep_extra), newest, keep_extra)
 
 
 def scraped_tables(master: DataFrame, flow_sources=DEFAULT_FLOW_SOURCES,

@@ -31,9 +31,27 @@ def read_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") ->
     URL-encoded; '+' is protected before decoding so it is not read as a
     space."""
     df = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
-    path = F.col("_metadata.file_path")
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return df.select(decoded.alias("file_path"), F.col("value").alias("text"))
+    return df.select(_decode_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("text"))
+
+
+def read_raw_listing(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
+    """The paths of the raw files only (binaryFile source: the content column
+    is never read when it is not selected)."""
+    df = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}")
+    return df.select(_decode_path(F.col("path")).alias("file_path"))
+
+
+def _decode_path(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def newest_files(listing: DataFrame, path_col: str = "file_path") -> DataFrame:
+    """One row per (station, variable): the newest file name (last by name).
+    Built from paths alone, so it costs a listing, not a read."""
+    parts = F.split(F.col(path_col), "/")
+    t = listing.select(F.try_element_at(parts, F.lit(-2)).alias(STATION), F.element_at(parts, -1).alias("file_name"))
+    t = t.withColumn("variable", variable_name("file_name"))
+    return t.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
 
 
 def _cells(struct_col: Column) -> Column:

@@ -6,7 +6,8 @@ import os
 from gaugekeep.operators.reports import empty_stations
 from gaugekeep.plans.masters import masters, scraped_tables
 from gaugekeep.plans.station_report import station_report
-from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings, read_raw_files
+from gaugekeep.sources.rawfiles import (newest_files, raw_file_stats, raw_file_table, raw_readings,
+                                        read_raw_files, read_raw_listing)
 
 PRE = "\n".join(f"pre {i}, x" for i in range(9))
 
@@ -81,3 +82,15 @@ def test_newest_file_wins_per_variable(spark, scratch):
     _write(scratch, "08BB001", "Flow.csv", "Date,Parameter,Value", ["2024-01-02,1,5.0"])
     out = masters(read_raw_files(spark, scratch)).collect()
     assert [(r.Date, r.Value) for r in out] == [(dt.date(2024, 1, 2), 5.0)]
+    listing = read_raw_listing(spark, scratch)
+    out2 = masters(read_raw_files(spark, scratch), listing=listing).collect()
+    assert [(r.Date, r.Value) for r in out2] == [(dt.date(2024, 1, 2), 5.0)]
+
+
+def test_listing_matches_file_paths(spark, scratch):
+    _files(scratch)
+    a = sorted(r.file_path for r in read_raw_listing(spark, scratch).collect())
+    b = sorted(r.file_path for r in read_raw_files(spark, scratch).collect())
+    assert a == b and any("+" in p for p in a) and any(" " in p for p in a)
+    n = {(r.STATION_NUMBER, r.variable): r.file_name for r in newest_files(read_raw_listing(spark, scratch)).collect()}
+    assert n[("08AA001", "flow")] == "Discharge.csv"
