@@ -57,3 +57,14 @@ def scraped_tables(master: DataFrame, flow_sources=DEFAULT_FLOW_SOURCES,
                 .select(STATION, DATE, F.lit(label).alias(PARAMETER), VALUE)
                 .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)))
     return pick(flow_sources, FLOW), pick(level_sources, LEVEL)
+
+
+def run_masters(files: DataFrame, out: str, listing: DataFrame | None = None, csv: bool = False) -> None:
+    """K3/U4: write the masters partitioned by variable (one folder per
+    master table), as Parquet or as CSV with a header and `NA`."""
+    m = masters(files, listing)
+    if csv:
+        from gaugekeep.sinks.files import write_csv
+        write_csv(m, out, partition_by="variable")
+    else:
+        m.write.mode("overwrite").partitionBy("variable").parquet(out)

@@ -69,8 +69,10 @@ def _candidates(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level:
 
 def _stored_tagged(stored_flow: DataFrame, stored_level: DataFrame, since: DataFrame) -> DataFrame:
     keys = [STATION, DATE]
-    f = stored_since(stored_flow, since).select(*keys, F.lit(FLOW).alias(TABLE))
-    lv = stored_since(stored_level, since).select(*keys, F.lit(LEVEL).alias(TABLE))
+    # stored rows without a day stay in the comparison (D17), so that a rerun
+    # never appends a day-less row twice
+    f = stored_since(stored_flow, since, include_null_days=True).select(*keys, F.lit(FLOW).alias(TABLE))
+    lv = stored_since(stored_level, since, include_null_days=True).select(*keys, F.lit(LEVEL).alias(TABLE))
     return f.unionAll(lv)
 
 

@@ -26,3 +26,11 @@ def station_report(stations: DataFrame, files: DataFrame, download_log: DataFram
         "extraction_summary": summary,
         "coverage": coverage(asked, summary),
     }
+
+
+def run_station_report(stations: DataFrame, files: DataFrame, out: str,
+                       download_log: DataFrame | None = None, sample: int | None = None, seed: int = 0) -> None:
+    """K3: the three reports as CSV folders under `out`."""
+    from gaugekeep.sinks.files import write_csv
+    for name, df in station_report(stations, files, download_log, sample, seed).items():
+        write_csv(df, f"{out.rstrip('/')}/{name}")

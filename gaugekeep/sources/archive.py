@@ -39,18 +39,24 @@ def realtime_readings(readings: DataFrame, stations: DataFrame, province: str) -
     return in_province(readings, stations, province)
 
 
-def stored_since(stored: DataFrame, since) -> DataFrame:
+def stored_since(stored: DataFrame, since, include_null_days: bool = False) -> DataFrame:
     """Stored rows on or after a day. `since` may be a date, a string, a
     Column or a one-row DataFrame (used as a scalar subquery, so the bound
     stays inside one plan and still reaches the Parquet scan). When the table
-    carries a `year` partition column the bound prunes partitions too."""
+    carries a `year` partition column the bound prunes partitions too.
+    `include_null_days` also keeps rows without a day (for J1, so that a
+    rerun finds them stored)."""
     if isinstance(since, DataFrame):
         bound: Column = since.scalar()
     elif isinstance(since, Column):
         bound = since
     else:
         bound = F.lit(since if isinstance(since, _dt.date) else _dt.date.fromisoformat(str(since)))
-    out = stored.filter(F.col(DATE) >= bound)
+    keep = F.col(DATE) >= bound
+    if include_null_days:
+        keep = keep | F.col(DATE).isNull()
+    out = stored.filter(keep)
     if "year" in stored.columns:
-        out = out.filter(F.col("year") >= F.year(bound))
+        y = F.col("year") >= F.year(bound)
+        out = out.filter(y | F.col("year").isNull() if include_null_days else y)
     return out
