@@ -47,8 +47,9 @@ def apply_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared `spark.checkpoint.dir`. Only a local session
+    (tests, benchmarks) may fall back to a fresh scratch folder; on a cluster
+    an unset setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -57,6 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return conf
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="gaugekeep-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables under the shared checkpoint
+    folder (a local scratch folder only for local sessions)."""
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
