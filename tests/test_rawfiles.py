@@ -5,7 +5,7 @@ import os
 
 from gaugekeep.operators.reports import empty_stations
 from gaugekeep.plans.masters import masters, scraped_tables
-from gaugekeep.plans.station_report import station_report
+from gaugekeep.plans.station_report import station_report, unreadable_rows
 from gaugekeep.sources.rawfiles import (newest_files, raw_file_stats, raw_file_table, raw_readings,
                                         read_raw_files, read_raw_listing)
 
@@ -72,6 +72,13 @@ def test_masters_and_report_on_real_files(spark, scratch):
                       ("08AA005", "Unable to find download links/no downloadable data found")}
     summ = {r.station_id: r.tables_extracted for r in rep["extraction_summary"].collect()}
     assert summ == {"08AA001": "Discharge.csv, Water level (unit values).csv"}
+    assert rep["unreadable_rows"].count() == 0   # 08AA004 (status NULL) was not asked
+    bad = [(r.station_id, r.file_name, r.n_unreadable) for r in unreadable_rows(raw_file_table(files)).collect()]
+    assert bad == [("08AA004", "Discharge.csv", 1)]
+    log = spark.createDataFrame([("08AA001", "Download timed out"), ("08AA005", "Download timed out")],
+                                "station_id string, issue string")
+    with_log = {(r.station_id, r.issue) for r in station_report(stations, files, log)["problem_stations"].collect()}
+    assert with_log == issues | {("08AA001", "Download timed out"), ("08AA005", "Download timed out")}
     cov = rep["coverage"].collect()[0]
     assert (cov.n_stations, cov.n_done, cov.coverage_pct) == (4, 1, 25.0)
     assert [r.STATION_NUMBER for r in empty_stations(raw_file_stats(raw_file_table(files))).collect()] == ["08AA002"]

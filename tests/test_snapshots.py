@@ -94,3 +94,21 @@ def test_freshness_report_text(spark, scratch):
     write_report(freshness_report(fr), scratch + "/report")
     text = spark.read.text(scratch + "/report", wholetext=True).collect()[0].value
     assert "5.5 days" in text
+
+
+def test_station_csv_and_stored_stamp(spark, scratch):
+    from gaugekeep.plans.release import release_changed, stored_stamp
+    from gaugekeep.sources.csvfiles import read_stations_csv
+    with open(scratch + "/stations.csv", "w") as f:
+        f.write("STATION_NUMBER,STATION_OPERATING_STATUS,longitude,latitude\n08A,ACTIVE,-120.5,49.1\n08B,,-121,50\n")
+    st = read_stations_csv(spark, scratch + "/stations.csv",
+                           "STATION_NUMBER string, STATION_OPERATING_STATUS string, longitude double, latitude double")
+    rows = st.collect()
+    assert rows[1].STATION_OPERATING_STATUS is None and rows[0].longitude == -120.5
+    with open(scratch + "/pub.csv", "w") as f:
+        f.write("filename,path,pub_dttm,pub_date\nH.sqlite3,/x/H.sqlite3,2024-01-15 00:00:00,2024-01-15\n")
+    pub = read_pub_status(spark, scratch + "/pub.csv")
+    listing = spark.createDataFrame([(1, "x Hydat_sqlite3_20240115.zip"), (2, "Hydat_sqlite3_20240415.zip")],
+                                    "page_id long, html string")
+    out = {r.page_id: (r.stored_stamp, r.changed) for r in release_changed(listing, stored_stamp(pub)).collect()}
+    assert out == {1: ("20240115", False), 2: ("20240115", True)}
