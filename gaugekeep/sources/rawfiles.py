@@ -63,50 +63,74 @@ def _indices(names: Column, pred) -> Column:
     return F.filter(F.transform(names, lambda c, i: F.when(pred(c), i)), lambda x: x.isNotNull())
 
 
-def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str = "text") -> DataFrame:
-    """Per file: station (parent folder), file name, variable, resolved
-    header positions, header_ok, number of data rows and the numbered data
-    lines (blank lines dropped, as a CSV reader does).
-
-    Each step is its own projection over attributes of the previous one, so
-    the text is split once and the header parsed once per file."""
-    parts = F.split(F.col(path_col), "/")
-    step = files.select(
-        F.col(path_col).alias("file_path"),
-        F.try_element_at(parts, F.lit(-2)).alias(STATION),
-        F.element_at(parts, -1).alias("file_name"),
-        F.split(F.col(text_col), r"\r?\n").alias("__lines"),
-    )
-    numbered = F.transform("__lines", lambda l, i: F.struct(l.alias("line"), (i + 1).alias("line_no")))
-    data = F.filter(numbered, lambda x: (x["line_no"] > HEADER_LINE) & (F.trim(x["line"]) != ""))
-    header = F.try_element_at(F.col("__lines"), F.lit(HEADER_LINE))
-    step = step.select("file_path", STATION, "file_name",
-                       F.from_csv(header, CELL_SCHEMA, HEADER_CSV).alias("__h"), data.alias("lines"))
+def _resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFrame:
+    """Parse a header line once and resolve the positions of Date,
+    Parameter, Value, Approval, Grade (RESOLVE_SPEC). Adds hdr, header_ok and
+    i_<name> (0-based) to the columns in `keep`."""
+    step = df.select(*keep, F.from_csv(F.col(header_col), CELL_SCHEMA, HEADER_CSV).alias("__h"))
     hdr = F.filter(F.transform(_cells(F.col("__h")), lambda c: F.trim(c)), lambda c: c.isNotNull())
-    step = step.select("file_path", STATION, "file_name", variable_name("file_name").alias("variable"),
-                       hdr.alias("hdr"), "lines")
+    step = step.select(*keep, hdr.alias("hdr"))
     found = {}
     for target, frag in RESOLVE_SPEC:
         if frag is None:
             found[target] = _indices(F.col("hdr"), lambda c, t=target: c == F.lit(t))
         else:
             found[target] = _indices(F.col("hdr"), lambda c, f=frag: F.lower(c).contains(f))
-    step = step.select("file_path", STATION, "file_name", "variable", "hdr", "lines",
-                       *[ix.alias(f"__ix_{t}") for t, ix in found.items()])
+    step = step.select(*keep, "hdr", *[ix.alias(f"__ix_{t}") for t, ix in found.items()])
     n = {t: F.size(f"__ix_{t}") for t in found}
     ok = ((n[DATE] == 1) & (n[PARAMETER] >= 1) & (n[VALUE] == 1) & (n[APPROVAL] <= 1) & (n[GRADE] <= 1))
-    return step.select(
-        "file_path", STATION, "file_name", "variable", "hdr",
-        F.coalesce(ok, F.lit(False)).alias("header_ok"),
-        F.size("lines").alias("n_rows"),
-        *[F.try_element_at(F.col(f"__ix_{t}"), F.lit(1)).alias(f"i_{t}") for t in found],
-        "lines",
-    )
+    return step.select(*keep, "hdr", F.coalesce(ok, F.lit(False)).alias("header_ok"),
+                       *[F.try_element_at(F.col(f"__ix_{t}"), F.lit(1)).alias(f"i_{t}") for t in found])
+
+
+_HEADER_INFO = ["hdr", "header_ok"] + [f"i_{t}" for t, _ in RESOLVE_SPEC]
+
+
+def _data_lines(lines: Column, first_line: Column) -> Column:
+    """Numbered data lines (after the header), blank lines dropped."""
+    numbered = F.transform(lines, lambda l, i: F.struct(l.alias("line"), (first_line + i).alias("line_no")))
+    return F.filter(numbered, lambda x: (x["line_no"] > HEADER_LINE) & (F.trim(x["line"]) != ""))
+
+
+def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str = "text",
+                   first_line_col: str = "first_line", header_col: str = "header") -> DataFrame:
+    """Station (parent folder), file name, variable, resolved header
+    positions, header_ok, number of data rows and the numbered data lines
+    (blank lines dropped, as a CSV reader does).
+
+    Whole files (no `first_line_col` column): one row per file; the text is
+    split once and the header (line 10) parsed once per file.
+
+    Chunked files (`first_line_col` and `header_col` present): each row holds
+    consecutive lines of a file starting at line `first_line_col` (1-based)
+    and carries the file's header line, so a file of any size is spread over
+    bounded rows and every chunk is parsed on its own: no join, no shuffle.
+    One row per chunk; raw_file_stats sums the chunks of a file."""
+    parts = F.split(F.col(path_col), "/")
+    ident = [F.col(path_col).alias("file_path"), F.try_element_at(parts, F.lit(-2)).alias(STATION),
+             F.element_at(parts, -1).alias("file_name")]
+    base = ["file_path", STATION, "file_name"]
+    lines = F.split(F.col(text_col), r"\r?\n").alias("__lines")
+    if first_line_col in files.columns:
+        step = files.select(*ident, F.col(first_line_col).cast("int").alias("__first"),
+                            F.col(header_col).alias("__header"), lines)
+        step = step.select(*base, "__header", _data_lines(F.col("__lines"), F.col("__first")).alias("lines"))
+    else:
+        step = files.select(*ident, lines)
+        step = step.select(*base, F.try_element_at(F.col("__lines"), F.lit(HEADER_LINE)).alias("__header"),
+                           _data_lines(F.col("__lines"), F.lit(1)).alias("lines"))
+    step = _resolve_header(step, "__header", base + ["lines"]).withColumn("variable", variable_name("file_name"))
+    return step.select(*base, "variable", *_HEADER_INFO[:2], F.size("lines").alias("n_rows"),
+                       *_HEADER_INFO[2:], "lines")
 
 
 def raw_file_stats(table: DataFrame) -> DataFrame:
-    """One row per file: STATION_NUMBER, file_name, variable, n_rows, header_ok."""
-    return table.select(STATION, "file_name", "variable", "n_rows", "header_ok")
+    """One row per file: STATION_NUMBER, file_name, variable, n_rows,
+    header_ok (chunks of one file are summed: one small row per chunk is
+    shuffled)."""
+    return (table.groupBy("file_path", STATION, "file_name", "variable", "header_ok")
+            .agg(F.sum("n_rows").cast("int").alias("n_rows"))
+            .select(STATION, "file_name", "variable", "n_rows", "header_ok"))
 
 
 def _na(c: Column) -> Column:

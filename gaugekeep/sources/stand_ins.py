@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugekeep.columns import (DATE, FLOW, GRADE, LEVEL, PARAMETER, PROVINCE, PUB_STATUS, PUBLISHED,
-                               STATION, STATUS, UNPUBLISHED, VALUE)
+                               RAW_PREAMBLE_LINES, STATION, STATUS, UNPUBLISHED, VALUE)
 from gaugekeep.operators.daily import realtime_daily_mean
 
 # Fixed values of the stand-in mapping.
@@ -147,18 +147,22 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(STATION, "user_id", PARAMETER, heading.alias("heading"), "event_id", line.alias("line"))
 
 
-def raw_files(spark: SparkSession, sf_dir: str, emptied_every: int | None = None) -> DataFrame:
-    """(file_path, text): one file per (station, parameter) at
-    `raw/<station>/<heading>.csv`: 9 preamble lines, the header, then the
-    readings in event order. With `emptied_every=k`, stations whose key is a
-    multiple of k get files holding only preamble and header.
+def raw_files(spark: SparkSession, sf_dir: str, emptied_every: int | None = None,
+              lines_per_chunk: int = 4096) -> DataFrame:
+    """(file_path, first_line, header, text): one file per (station, parameter) at
+    `raw/<station>/<heading>.csv` (9 preamble lines, the header, then the
+    readings in event order), held as chunks of consecutive lines.
 
-    This builds test input: each file's lines are gathered into one text, as
-    a downloaded file would hold them."""
+    Chunk 1..10 is the preamble and header. The readings are cut into chunks
+    by event-id range, so no chunk holds more than `lines_per_chunk` lines,
+    however many readings one station has; a chunk's first line number is a
+    running sum of the chunk sizes before it (a window over one row per
+    chunk, not per reading). Every chunk carries the file's header line.
+    With `emptied_every=k`, stations whose key is a multiple of k get files
+    holding only preamble and header."""
     lines = raw_lines(spark, sf_dir)
-    files = lines.groupBy(STATION, "user_id", PARAMETER, "heading").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "line"))),
-                                 lambda x: x["line"]), "\n").alias("body"))
+    group = [STATION, "user_id", PARAMETER, "heading"]
+    path = F.concat(F.lit("raw/"), F.col(STATION), F.lit("/"), F.col("heading"), F.lit(".csv"))
     even = F.col("user_id") % 2 == 0
     preamble = F.concat_ws("\n",
                            F.concat(F.lit("Station,"), F.col(STATION)),
@@ -171,9 +175,17 @@ def raw_files(spark: SparkSession, sf_dir: str, emptied_every: int | None = None
                            F.lit("Notes,none"),
                            F.lit("#"))
     header = F.when(even, F.lit(EVEN_HEADER)).otherwise(F.lit(ODD_HEADER))
-    body = F.col("body")
-    if emptied_every:
-        body = F.when(F.col("user_id") % emptied_every == 0, F.lit("")).otherwise(body)
-    text = F.concat_ws("\n", preamble, header, body)
-    path = F.concat(F.lit("raw/"), F.col(STATION), F.lit("/"), F.col("heading"), F.lit(".csv"))
-    return files.select(path.alias("file_path"), F.concat(text, F.lit("\n")).alias("text"))
+    heads = lines.select(*group).distinct().select(
+        path.alias("file_path"), F.lit(1).alias("first_line"), header.alias("header"),
+        F.concat_ws("\n", preamble, header).alias("text"))
+
+    data = lines if not emptied_every else lines.filter(F.col("user_id") % emptied_every != 0)
+    data = data.withColumn("__chunk", F.floor(F.col("event_id") / F.lit(lines_per_chunk)).cast("long"))
+    chunks = data.groupBy(*group, "__chunk").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "line"))),
+                                 lambda x: x["line"]), "\n").alias("text"))
+    before = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.lit(RAW_PREAMBLE_LINES + 2) + F.coalesce(F.sum("__n").over(before), F.lit(0))
+    body = chunks.select(path.alias("file_path"), first.cast("int").alias("first_line"), header.alias("header"), "text")
+    return heads.unionByName(body)

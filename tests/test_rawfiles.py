@@ -101,3 +101,22 @@ def test_listing_matches_file_paths(spark, scratch):
     assert a == b and any("+" in p for p in a) and any(" " in p for p in a)
     n = {(r.STATION_NUMBER, r.variable): r.file_name for r in newest_files(read_raw_listing(spark, scratch)).collect()}
     assert n[("08AA001", "flow")] == "Discharge.csv"
+
+
+def test_chunked_files_equal_whole_files(spark):
+    """Tiny chunks (3 lines) and one chunk per file give the same readings,
+    line numbers and file statistics."""
+    from gaugekeep.sources import stand_ins as si
+    from conftest import SF_SMALL
+
+    def rows(k):
+        t = raw_file_table(si.raw_files(spark, SF_SMALL, emptied_every=5, lines_per_chunk=k))
+        rd = sorted(tuple(r) for r in raw_readings(t).collect())
+        st = sorted(tuple(r) for r in raw_file_stats(t).collect())
+        return rd, st
+
+    small, big = rows(3), rows(1 << 30)
+    assert small[1] == big[1]
+    assert small[0] == big[0]
+    kept = si.readings(spark, SF_SMALL).filter("user_id % 5 != 0").count()
+    assert len(small[0]) == kept
