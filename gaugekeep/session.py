@@ -20,10 +20,35 @@ REQUIRED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over `input_bytes` of input.
+
+    Scan splits and the advisory shuffle partition size are `partition_bytes`
+    (256 MiB: fits executor memory with room for sort buffers); the initial
+    shuffle partition count is sized so that a shuffle of the whole input
+    (C2's anti-join) still gets partitions of that size, and AQE coalesces it
+    for the small shuffles (partial aggregates, 30-day windows). Broadcasts
+    stay behind AQE's measured-size check; skewed join partitions are split."""
+    n = max(200, min(200_000, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "gaugekeep",
-              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build or fetch the session. On a cluster call it without `master`."""
+              shuffle_partitions: int | None = None, extra: dict | None = None,
+              input_bytes: int | None = None) -> SparkSession:
+    """Build or fetch the session. On a cluster call it without `master`,
+    optionally with `input_bytes` to apply cluster_conf."""
     b = SparkSession.builder.appName(app)
+    for k, v in (cluster_conf(input_bytes).items() if input_bytes else ()):
+        b = b.config(k, v)
     if master:
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
