@@ -1,10 +1,15 @@
 """Raw station files (S3): `<root>/<station>/<heading>.csv`, 9 preamble
 lines, a header on line 10 whose names vary by file, then one reading per line.
 
-Plan shape: one row per file (whole text), the header resolved per file with
-array expressions, the data lines exploded with their line number and parsed
-once by `from_csv`. No shuffle and no join: every file is handled inside the
-task that reads it, files are spread over all tasks.
+Plan shape: one row per file (or per chunk of a file), the header resolved
+per row with array expressions, the data lines exploded with their line
+number and split into cells once. No shuffle and no join: every file is
+handled inside the task that reads it, files are spread over all tasks.
+
+CSV cells: RFC 4180 quoting (a quote inside a quoted cell is doubled), no
+line breaks inside quotes. A line without a quote character is split on
+commas; a quoted line on the commas outside quotes. Cells have no fixed
+count, so a file may have any number of columns.
 """
 
 from __future__ import annotations
@@ -16,14 +21,22 @@ from gaugekeep.columns import APPROVAL, DATE, GRADE, PARAMETER, RAW_PREAMBLE_LIN
 from gaugekeep.functions.columns import RESOLVE_SPEC
 from gaugekeep.functions.names import variable_name
 
-MAX_CELLS = 32
-CELL_SCHEMA = ", ".join(f"c{i} STRING" for i in range(MAX_CELLS))
-# RFC 4180 quoting: a quote inside a quoted cell is doubled.
-DATA_CSV = {"escape": '"', "mode": "PERMISSIVE"}
-# In the header an empty name is still a column: keep it as "".
-HEADER_CSV = {"escape": '"', "mode": "PERMISSIVE", "nullValue": "\u0001"}
 HEADER_LINE = RAW_PREAMBLE_LINES + 1
-_TIME_WITH_ZONE = r"(\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(?:Z|[+-]\d{2}:?\d{2})$"
+# a comma followed by an even number of quote characters up to the line end
+_COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def split_csv_line(line: Column) -> Column:
+    """Cells of one CSV line, quotes still in place (see unquote)."""
+    return F.when(F.instr(line, '"') > 0, F.split(line, _COMMA_OUTSIDE_QUOTES)).otherwise(F.split(line, ","))
+
+
+def unquote(cell: Column) -> Column:
+    """Strip the quotes around a quoted cell and undouble the quotes inside
+    it; unquoted cells are returned as they are."""
+    n = F.length(cell)
+    quoted = cell.startswith('"') & cell.endswith('"') & (n >= 2)
+    return F.when(quoted, F.replace(cell.substr(F.lit(2), n - 2), F.lit('""'), F.lit('"'))).otherwise(cell)
 
 
 def read_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
@@ -54,10 +67,6 @@ def newest_files(listing: DataFrame, path_col: str = "file_path") -> DataFrame:
     return t.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
 
 
-def _cells(struct_col: Column) -> Column:
-    return F.array(*[struct_col.getField(f"c{i}") for i in range(MAX_CELLS)])
-
-
 def _indices(names: Column, pred) -> Column:
     """0-based positions of the header names matching `pred`."""
     return F.filter(F.transform(names, lambda c, i: F.when(pred(c), i)), lambda x: x.isNotNull())
@@ -67,9 +76,8 @@ def _resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFram
     """Parse a header line once and resolve the positions of Date,
     Parameter, Value, Approval, Grade (RESOLVE_SPEC). Adds hdr, header_ok and
     i_<name> (0-based) to the columns in `keep`."""
-    step = df.select(*keep, F.from_csv(F.col(header_col), CELL_SCHEMA, HEADER_CSV).alias("__h"))
-    hdr = F.filter(F.transform(_cells(F.col("__h")), lambda c: F.trim(c)), lambda c: c.isNotNull())
-    step = step.select(*keep, hdr.alias("hdr"))
+    hdr = F.transform(split_csv_line(F.col(header_col)), lambda c: unquote(F.trim(c)))
+    step = df.select(*keep, hdr.alias("hdr"))
     found = {}
     for target, frag in RESOLVE_SPEC:
         if frag is None:
@@ -134,14 +142,15 @@ def raw_file_stats(table: DataFrame) -> DataFrame:
 
 
 def _na(c: Column) -> Column:
-    return F.when(c != F.lit("NA"), c)
+    """Missing cell: empty (as the CSV parser reads it) or `NA`."""
+    return F.when(~c.isin("NA", ""), c)
 
 
 def parse_time(c: Column) -> Column:
-    """Reading time as TIMESTAMP_NTZ; a trailing zone offset is dropped so
-    the civil time of the station is kept. Unreadable text gives NULL."""
-    local = F.regexp_replace(c, _TIME_WITH_ZONE, "$1")
-    return local.try_cast("timestamp_ntz")
+    """Reading time as TIMESTAMP_NTZ. The NTZ cast ignores a trailing zone
+    (`-08:00`, `Z`, `PST`), so the civil time of the station is kept without
+    a shift. Unreadable text gives NULL."""
+    return c.try_cast("timestamp_ntz")
 
 
 def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
@@ -154,16 +163,16 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
     keep = [STATION, "variable", "file_name"] + [f"i_{t}" for t, _ in RESOLVE_SPEC]
     if keep_extra:
         keep.append("hdr")
-    # Each line is parsed inside the generator: a later filter on a parsed
-    # field stops at the Generate and cannot inline (repeat) the CSV parse.
-    parsed_lines = F.transform("lines", lambda x: F.struct(
-        x["line_no"].alias("line_no"), F.from_csv(x["line"], CELL_SCHEMA, DATA_CSV).alias("c")))
-    exploded = table.select(*keep, F.explode(F.when(F.col("header_ok"), parsed_lines)).alias("__l"))
-    parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"), _cells(F.col("__l.c")).alias("__cells"))
+    # Each line is split inside the generator: a later filter on a parsed
+    # field stops at the Generate and cannot inline (repeat) the split.
+    cells_of = F.transform("lines", lambda x: F.struct(x["line_no"].alias("line_no"),
+                                                       split_csv_line(x["line"]).alias("cells")))
+    exploded = table.select(*keep, F.explode(F.when(F.col("header_ok"), cells_of)).alias("__l"))
+    parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"), F.col("__l.cells").alias("__cells"))
     cells = F.col("__cells")
 
     def pick(target: str) -> Column:
-        return _na(F.try_element_at(cells, F.col(f"i_{target}") + 1))
+        return _na(unquote(F.try_element_at(cells, F.col(f"i_{target}") + 1)))
 
     cols = [
         F.col(STATION), F.col("variable"), F.col("file_name"), F.col("line_no"),
@@ -177,6 +186,6 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
         used = F.array_compact(F.array(*[F.col(f"i_{t}") for t, _ in RESOLVE_SPEC]))
         idx = F.filter(F.sequence(F.lit(0), F.size("hdr") - 1), lambda i: ~F.array_contains(used, i))
         extra = F.transform(idx, lambda i: F.struct(F.element_at("hdr", i + 1).alias("name"),
-                                                    _na(F.try_element_at(cells, i + 1)).alias("value")))
+                                                    _na(unquote(F.try_element_at(cells, i + 1))).alias("value")))
         cols.append(extra.alias("extra"))
     return parsed.select(*cols)
