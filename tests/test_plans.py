@@ -43,3 +43,14 @@ def test_window_group_limit_before_shuffle(spark):
 def test_daily_mean_is_two_phase(spark):
     plan = QUERIES["realtime_daily_mean"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert "partial_avg" in plan
+
+
+def test_raw_parse_needs_no_join(spark, scratch):
+    """Chunks carry their header: parsing is narrow (no join, no exchange)
+    once the chunks exist."""
+    from gaugekeep.sources import stand_ins as si
+    from gaugekeep.sources.rawfiles import raw_file_table, raw_readings
+    si.raw_files(spark, SF_SMALL, lines_per_chunk=7).write.parquet(scratch + "/raw")
+    df = raw_readings(raw_file_table(spark.read.parquet(scratch + "/raw")))
+    plan = _plan(df)
+    assert "Join" not in plan and "Exchange" not in plan
