@@ -34,13 +34,11 @@ def window_start(day, months) -> Column:
     return F.date_sub(_c(day), F.floor(m * F.lit(DAYS_PER_MONTH)).cast("int"))
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
 def days_between(later, earlier, digits: int = 2) -> Column:
-    """(later - earlier) in days, rounded half-to-even; always days."""
-    diff = (_micros(_c(later)) - _micros(_c(earlier))).cast("double") / F.lit(86400e6)
+    """(later - earlier) in days, rounded half-to-even; always days. For
+    TIMESTAMP_NTZ values this is the civil difference, whatever the session
+    time zone (no daylight-saving hour creeps in)."""
+    diff = F.timestamp_diff("MICROSECOND", _c(earlier), _c(later)).cast("double") / F.lit(86400e6)
     return F.bround(diff, digits)
 
 
