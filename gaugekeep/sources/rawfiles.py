@@ -14,7 +14,7 @@ count, so a file may have any number of columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugekeep.columns import APPROVAL, DATE, GRADE, PARAMETER, RAW_PREAMBLE_LINES, STATION, VALUE
@@ -54,6 +54,39 @@ def read_raw_listing(spark: SparkSession, root: str, pattern: str = "*/*.csv") -
     return df.select(_decode_path(F.col("path")).alias("file_path"))
 
 
+def read_raw_chunks(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
+    """(file_path, first_line, header, text) for raw files of any size.
+
+    The files are read in line mode, so Spark splits a large file over many
+    tasks. Lines are gathered per file split (a chunk bounded by the split
+    size) in their order within the split; a chunk's first line number is a
+    running sum of the line counts of the earlier splits of its file, and its
+    header is line 10 of the file. Both come from a window over one small row
+    per split (count and first 10 lines), joined back on the split key, which
+    is unique, so a very large file spreads over many partitions. Costs one
+    shuffle of the text; use read_raw_files for ordinary station files."""
+    lines = spark.read.text(f"{root.rstrip('/')}/{pattern}").select(
+        _decode_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.col("value").alias("line"))
+    # one aggregate feeds both the text and the metadata, so its shuffle is
+    # computed once and reused
+    blocks = lines.groupBy("file_path", "block").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("__l"))
+    blocks = blocks.select("file_path", "block", F.size("__l").alias("n"),
+                           F.transform(F.slice("__l", 1, HEADER_LINE), lambda x: x["line"]).alias("head"),
+                           F.array_join(F.transform("__l", lambda x: x["line"]), "\n").alias("text"))
+    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    meta = blocks.select("file_path", "block", "n", "head").withColumn(
+        "first_line", (F.lit(1) + F.coalesce(F.sum("n").over(before), F.lit(0))).cast("int"))
+    at = F.lit(HEADER_LINE + 1) - F.col("first_line")
+    candidate = F.when((at >= 1) & (at <= F.col("n")), F.try_element_at("head", at))
+    meta = meta.withColumn("header", F.max(candidate).over(Window.partitionBy("file_path")))
+    return (blocks.join(meta.select("file_path", "block", "first_line", "header"), ["file_path", "block"])
+            .select("file_path", "first_line", "header", "text"))
+
+
 def _decode_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
