@@ -16,12 +16,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugekeep.columns import DATE, FLOW, GRADE, LEVEL, PARAMETER, PROVINCE, STATION, STATUS, VALUE
+from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, STATION, VALUE
 from gaugekeep.functions.columns import flatten_point, resolve_columns
 from gaugekeep.functions.names import parameter_label, variable_name
 from gaugekeep.functions.scalars import is_leap_year
 from gaugekeep.operators.daily import daily_mean_first, min_date, realtime_daily_mean
-from gaugekeep.operators.merge import new_rows, prefer_first, stack, unaffected_rows
+from gaugekeep.operators.merge import new_rows, stack, unaffected_rows
 from gaugekeep.operators.reports import coverage, empty_stations, extraction_summary
 from gaugekeep.operators.stations import active_stations, sample_stations, station_order
 from gaugekeep.plans.archive_check import empty_archive_tables, missing_archive_tables

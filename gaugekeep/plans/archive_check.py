@@ -4,7 +4,6 @@ tables that hold no row."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gaugekeep.operators.reports import empty_tables, list_tables, missing_tables
 

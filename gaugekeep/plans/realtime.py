@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugekeep.columns import DATE, DAY_KEYS, FLOW, LEVEL, PARAMETER, PUB_STATUS, STATION, UNPUBLISHED, VALUE
+from gaugekeep.columns import DATE, FLOW, LEVEL, PARAMETER, PUB_STATUS, STATION, UNPUBLISHED, VALUE
 from gaugekeep.operators.daily import min_date, realtime_daily_mean
 from gaugekeep.operators.merge import new_rows, prefer_first
 from gaugekeep.session import ensure_checkpoint_dir

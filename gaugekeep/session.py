@@ -56,6 +56,8 @@ def get_spark(master: str | None = None, app: str = "gaugekeep",
         b = b.config("spark.driver.memory", os.environ.get("GAUGEKEEP_DRIVER_MEMORY", "16g"))
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
+    # checkpoints written per job or micro-batch are removed once unreferenced
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

@@ -107,6 +107,15 @@ class TableStore:
             w = w.partitionBy("year")
         w.parquet(p)
 
+    def compact(self, table: str, files_per_year: int | None = None) -> str:
+        """Rewrite the current version as a new one (appends, e.g. one per
+        micro-batch, leave many small files). The version being read is not
+        touched; `files_per_year` bounds the files written per year."""
+        df = self.read(table, keep_year=True)
+        if files_per_year and "year" in df.columns:
+            df = df.repartition(files_per_year, "year", F.col(df.columns[0]))
+        return self.replace(table, df.drop("year"))
+
     def drop_versions(self, table: str, keep: int = 1) -> None:
         """Remove all but the newest `keep` versions (after a successful job)."""
         for v in self._versions(table)[:-keep] if keep else self._versions(table):

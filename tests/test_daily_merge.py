@@ -2,10 +2,9 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from gaugekeep.operators.daily import daily_mean_first, min_date, realtime_daily_mean
-from gaugekeep.operators.merge import anti_join, new_rows, prefer_first, stack
+from gaugekeep.operators.merge import new_rows, prefer_first, stack
 from gaugekeep.plans.integrate import integrate_publication
 from gaugekeep.plans.realtime import realtime_update
 

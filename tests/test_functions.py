@@ -4,7 +4,6 @@ functions (F5, F6, F8, F10-F14)."""
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from gaugekeep.functions.columns import ColumnResolutionError, flatten_point, resolve_columns
 from gaugekeep.functions.names import parameter_label, variable_name

@@ -112,3 +112,19 @@ def test_station_csv_and_stored_stamp(spark, scratch):
                                     "page_id long, html string")
     out = {r.page_id: (r.stored_stamp, r.changed) for r in release_changed(listing, stored_stamp(pub)).collect()}
     assert out == {1: ("20240115", False), 2: ("20240115", True)}
+
+
+def test_compact_keeps_rows_and_previous_version(spark, scratch):
+    store = TableStore(spark, scratch + "/db")
+    df = spark.createDataFrame([("s", dt.date(2024, 1, d), float(d)) for d in range(1, 6)],
+                               "STATION_NUMBER string, Date date, Value double")
+    store.replace("t", df.limit(1))
+    for d in range(2, 6):
+        store.append("t", df.filter(F.col("Value") == float(d)))
+    before = store.current_path("t")
+    after = store.compact("t", files_per_year=1)
+    assert after != before
+    assert sorted(r.Value for r in store.read("t").collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert spark.read.parquet(before).count() == 5      # previous version still readable
+    store.drop_versions("t", keep=1)
+    assert store.current_path("t") == after
