@@ -148,3 +148,32 @@ def test_line_mode_chunks_equal_whole_files(spark, scratch):
             spark.conf.set(k, v)
     assert got[1] == expected[1]
     assert got[0] == expected[0]
+
+
+def test_duplicate_value_columns_are_fatal(spark, scratch):
+    _write(scratch, "08DD001", "Discharge.csv", "Date,Parameter,Value (m3/s),Value (raw)", ["2024-01-01,1,1.0,2.0"])
+    _write(scratch, "08DD002", "Discharge.csv", "Grade,Value,Parameter,Date (UTC)", ["A,3.0,1,2024-01-02"])  # order changed
+    files = read_raw_files(spark, scratch)
+    stations = spark.createDataFrame([("08DD001", "ACTIVE"), ("08DD002", "ACTIVE")],
+                                     "STATION_NUMBER string, STATION_OPERATING_STATUS string")
+    rep = station_report(stations, files)
+    assert {(r.station_id, r.issue) for r in rep["problem_stations"].collect()} == {
+        ("08DD001", "A fatal error occured during data download for this station")}
+    m = masters(files).collect()
+    assert [(r.STATION_NUMBER, r.Value, r.Grade) for r in m] == [("08DD002", 3.0, "A")]
+
+
+def test_masters_csv_feed_the_realtime_update(spark, scratch):
+    from gaugekeep.plans.masters import run_masters
+    from gaugekeep.plans.realtime import realtime_update
+    from gaugekeep.sources.csvfiles import read_master_csv
+    _files(scratch + "/raw")
+    run_masters(read_raw_files(spark, scratch + "/raw"), scratch + "/out", csv=True)
+    flow = read_master_csv(spark, scratch + "/out/variable=flow")
+    level = read_master_csv(spark, scratch + "/out/variable=water_level (unit values)")
+    assert flow.count() == 3 and level.count() == 1
+    schema = "STATION_NUMBER string, Date date, Parameter string, Value double, pub_status string"
+    empty = spark.createDataFrame([], schema)
+    daily = spark.createDataFrame([], "STATION_NUMBER string, Date date, Parameter string, Value double")
+    nf, nl = realtime_update(daily, empty, empty, scraped_flow=flow, scraped_level=level)
+    assert nf.count() == 3 and [r.Parameter for r in nl.collect()] == ["Level"]
