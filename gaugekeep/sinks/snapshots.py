@@ -10,8 +10,11 @@ Appends add files to the newest version through Spark's commit protocol.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugekeep.columns import DATE
 
@@ -67,13 +70,38 @@ class TableStore:
     # -- reads ---------------------------------------------------------
     def read(self, table: str, keep_year: bool = False) -> DataFrame:
         """The newest complete version. `keep_year` keeps the partition
-        column so that a later day filter can prune on it (see stored_since)."""
+        column so that a later day filter can prune on it (see stored_since).
+        The schema saved with the version is used, so an empty table reads
+        as an empty DataFrame."""
         p = self.current_path(table)
         if p is None:
             raise FileNotFoundError(f"table {table!r} has no complete version under {self.root}")
-        df = self.spark.read.parquet(p)
+        schema = self._load_schema(p)
+        r = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        df = r.parquet(p)
         return df if keep_year else df.drop("year")
 
+    def _schema_path(self, version_path: str):
+        return self._Path(f"{version_path}/_schema.json")
+
+    def _save_schema(self, version_path: str, schema: StructType) -> None:
+        out = self._fs.create(self._schema_path(version_path), True)
+        try:
+            out.write(bytearray(schema.json().encode("utf-8")))
+        finally:
+            out.close()
+
+    def _load_schema(self, version_path: str) -> StructType | None:
+        sp = self._schema_path(version_path)
+        if not self._fs.exists(sp):
+            return None
+        stream = self._fs.open(sp)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return StructType.fromJson(json.loads(text))
+        finally:
+            stream.close()
+
     # -- writes --------------------------------------------------------
     @staticmethod
     def _with_year(df: DataFrame) -> DataFrame:
@@ -83,10 +111,12 @@ class TableStore:
         """K1: write `df` as a new version of `table`; it becomes current only
         after Spark committed it."""
         out = self.path(table, self._next_version(table))
-        w = self._with_year(df).write.mode("errorifexists")
+        data = self._with_year(df)
+        w = data.write.mode("errorifexists")
         if DATE in df.columns:
             w = w.partitionBy("year")
         w.parquet(out)
+        self._save_schema(out, data.schema)
         return out
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -96,7 +126,7 @@ class TableStore:
         if p is None:
             self.replace(table, df)
             return
-        stored = self.spark.read.parquet(p).drop("year").schema
+        stored = self.read(table).schema
         extra = [c for c in df.columns if c not in stored.fieldNames()]
         if extra:
             raise ValueError(f"columns {extra} do not exist in table {table!r}")

@@ -5,10 +5,18 @@ stored tables (J1) and appended (K2) through `foreachBatch`. The stream's
 checkpoint records which files were consumed; a batch that is run again after
 a failure appends nothing twice, because J1 skips every stored station-day.
 
-Caveat (kept from the batch job): a day whose readings arrive in two
-micro-batches is stored with the mean of the first part; later parts find the
-day stored and are skipped. Feed whole days per file, or let the next
-publication (C2) correct such days.
+Two modes:
+* per batch (default, as the batch job): each micro-batch is cut to daily
+  means. A day whose readings arrive in two micro-batches is stored with the
+  mean of the first part; later parts find the day stored and are skipped.
+  Feed whole days per file, or let the next publication (C2) correct them.
+* `complete_days=True`: a 1-day event-time window with a watermark, in
+  append mode. Each (station, parameter, day) mean is emitted once, when the
+  watermark has passed the day's end, however many micro-batches its readings
+  span; the state holds only the partial sums of open days. Readings later
+  than `lateness` behind the newest one are dropped by the watermark, and the
+  newest day stays open until later data close it (D16's running day is thus
+  never stored half done).
 """
 
 from __future__ import annotations
@@ -16,10 +24,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugekeep.columns import DATE
-from gaugekeep.operators.daily import realtime_daily_mean
+from gaugekeep.columns import DATE, PARAMETER, STATION, VALUE
+from gaugekeep.operators.daily import _mean, clean_value, realtime_daily_mean
 from gaugekeep.plans.realtime import run_realtime_update
 from gaugekeep.sinks.snapshots import TableStore
 
@@ -28,7 +37,8 @@ def realtime_stream(spark: SparkSession, source_dir: str, schema, store: TableSt
                     to_readings: Callable[[DataFrame], DataFrame] | None = None, time_col: str = DATE,
                     null_policy: str = "skip", path_glob: str | None = None,
                     max_files_per_trigger: int | None = None, available_now: bool = True,
-                    processing_time: str | None = None) -> StreamingQuery:
+                    processing_time: str | None = None, complete_days: bool = False,
+                    lateness: str = "0 seconds") -> StreamingQuery:
     """Start the stream; returns the running query.
 
     `to_readings` maps the raw stream rows to readings (STATION_NUMBER,
@@ -42,11 +52,25 @@ def realtime_stream(spark: SparkSession, source_dir: str, schema, store: TableSt
     if to_readings is not None:
         stream = to_readings(stream)
 
+    if complete_days:
+        # Watermarks need TIMESTAMP: the civil (NTZ) time is taken as UTC
+        # micros, and the day is read back from the window start's micros, so
+        # neither the window alignment nor the day depends on the session zone.
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        event_time = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(time_col)))
+        day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("__w.start")) / F.lit(86_400_000_000)).cast("int"))
+        stream = (stream.withColumn("__et", event_time).withWatermark("__et", lateness)
+                  .groupBy(F.window("__et", "1 day").alias("__w"), STATION, PARAMETER)
+                  .agg(_mean(clean_value(VALUE), null_policy).alias(VALUE))
+                  .select(STATION, day.alias(DATE), PARAMETER, VALUE))
+
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        daily = realtime_daily_mean(batch, time_col=time_col, null_policy=null_policy)
+        daily = batch if complete_days else realtime_daily_mean(batch, time_col=time_col, null_policy=null_policy)
         run_realtime_update(store, daily)
 
     w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    if complete_days:
+        w = w.outputMode("append")
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:

@@ -69,3 +69,41 @@ def test_stream_in_many_micro_batches(spark, scratch):
     assert q.exception() is None
     assert len(q.recentProgress) >= 10          # 30 days, 3 per batch
     assert _contents(stream_store) == _contents(batch_store)
+
+
+def test_complete_days_across_micro_batches(spark, scratch):
+    """Six-hour files written in time order, two per micro-batch, so every
+    day spans two batches. With the day window and watermark each closed day
+    is stored once with its full mean; the newest day stays open."""
+    import datetime as dt
+    import os
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = [(f"08ST00{s}", dt.datetime(2024, 3, 1) + dt.timedelta(hours=3 * k), "Flow" if s % 2 else "Level",
+             float(s * 100 + k) if k % 7 else None)
+            for k in range(32) for s in range(3)]        # 4 days, every 3 hours
+    os.makedirs(scratch + "/feed")
+    for part in range(16):                               # 6-hour files, oldest first
+        chunk = [r for r in rows if (r[1] - dt.datetime(2024, 3, 1)).total_seconds() // 21600 == part]
+        t = pa.table({"STATION_NUMBER": [r[0] for r in chunk], "ts": [r[1] for r in chunk],
+                      "Parameter": [r[2] for r in chunk], "Value": [r[3] for r in chunk]})
+        pq.write_table(t, f"{scratch}/feed/part-{part:02d}.parquet")
+    schema = "STATION_NUMBER string, ts timestamp_ntz, Parameter string, Value double"
+    feed = spark.read.schema(schema).parquet(scratch + "/feed")
+
+    empty = spark.createDataFrame([], "STATION_NUMBER string, Date date, Parameter string, Value double, pub_status string")
+    batch_store, stream_store = TableStore(spark, scratch + "/b"), TableStore(spark, scratch + "/s")
+    for st in (batch_store, stream_store):
+        st.replace("flow", empty)
+        st.replace("level", empty)
+    run_realtime_update(batch_store, realtime_daily_mean(feed, time_col="ts"), complete_before=dt.date(2024, 3, 4))
+
+    q = realtime_stream(spark, scratch + "/feed", feed.schema, stream_store, scratch + "/ckpt",
+                        time_col="ts", max_files_per_trigger=2, complete_days=True)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    norm = lambda c: [(a, b, p, None if v is None else round(v, 9), s) for a, b, p, v, s in c]
+    got = norm(_contents(stream_store))
+    assert got == norm(_contents(batch_store))
+    assert len(got) == 9 and {r[1] for r in got} == {"2024-03-01", "2024-03-02", "2024-03-03"}
