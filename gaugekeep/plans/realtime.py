@@ -20,6 +20,7 @@ from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources.archive import stored_since
 
 UPDATE_COLUMNS = (STATION, DATE, PARAMETER, VALUE)
+TABLE = "__table"  # which stored table a candidate row belongs to
 
 
 def split_parameter(daily: DataFrame, parameter: str) -> DataFrame:
@@ -33,18 +34,6 @@ def _scraped(scraped: DataFrame, parameter: str) -> DataFrame:
             .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)))
 
 
-def updates(daily: DataFrame, scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
-            scraped_order=()) -> tuple[DataFrame, DataFrame]:
-    """Candidate rows per table; scraped rows win over realtime rows of the
-    same station-day."""
-    both = _candidates(daily, scraped_flow, scraped_level, scraped_order)
-    return (both.filter(F.col(PARAMETER) == FLOW).drop(TABLE),
-            both.filter(F.col(PARAMETER) == LEVEL).drop(TABLE))
-
-
-TABLE = "__table"
-
-
 def _sources(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None
              ) -> list[DataFrame]:
     """Candidate sources in priority order (scraped first), each holding flow
@@ -59,12 +48,18 @@ def _sources(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: Da
     return [sc, rt]
 
 
-def _candidates(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None,
-                scraped_order=()) -> DataFrame:
-    """Flow and level candidates in one frame, tagged with their table, so
-    that the daily means are computed once and merged in one window."""
-    src = _sources(daily, scraped_flow, scraped_level)
-    return src[0] if len(src) == 1 else prefer_first(src, (STATION, DATE, TABLE), scraped_order)
+def _merge(sources: list[DataFrame], scraped_order=()) -> DataFrame:
+    """W1 over both tables at once: one row per (station, day, table)."""
+    return sources[0] if len(sources) == 1 else prefer_first(sources, (STATION, DATE, TABLE), scraped_order)
+
+
+def updates(daily: DataFrame, scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
+            scraped_order=()) -> tuple[DataFrame, DataFrame]:
+    """Candidate rows per table; scraped rows win over realtime rows of the
+    same station-day."""
+    both = _merge(_sources(daily, scraped_flow, scraped_level), scraped_order)
+    return (both.filter(F.col(TABLE) == FLOW).drop(TABLE),
+            both.filter(F.col(TABLE) == LEVEL).drop(TABLE))
 
 
 def _stored_tagged(stored_flow: DataFrame, stored_level: DataFrame, since: DataFrame) -> DataFrame:
@@ -90,11 +85,10 @@ def realtime_update_rows(daily: DataFrame, stored_flow: DataFrame, stored_level:
     if complete_before is not None:
         daily = daily.filter(F.col(DATE) < F.lit(complete_before))
     src = _sources(daily, scraped_flow, scraped_level)
-    cand = src[0] if len(src) == 1 else prefer_first(src, (STATION, DATE, TABLE))
     # the merge keeps every (station, day) key, so the earliest day is taken
     # from the sources directly and the subquery needs no window
     since = min_date(*src)
-    return new_rows(cand, _stored_tagged(stored_flow, stored_level, since), (STATION, DATE, TABLE))
+    return new_rows(_merge(src), _stored_tagged(stored_flow, stored_level, since), (STATION, DATE, TABLE))
 
 
 def realtime_update(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
