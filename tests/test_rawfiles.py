@@ -177,3 +177,15 @@ def test_masters_csv_feed_the_realtime_update(spark, scratch):
     daily = spark.createDataFrame([], "STATION_NUMBER string, Date date, Parameter string, Value double")
     nf, nl = realtime_update(daily, empty, empty, scraped_flow=flow, scraped_level=level)
     assert nf.count() == 3 and [r.Parameter for r in nl.collect()] == ["Level"]
+
+
+def test_stand_in_chunks_are_bounded(spark):
+    """However many readings a station has, no chunk exceeds the bound."""
+    from pyspark.sql import functions as F
+    from gaugekeep.sources import stand_ins as si
+    from conftest import SF_SMALL
+    files = si.raw_files(spark, SF_SMALL, lines_per_chunk=5)
+    data = files.filter("first_line > 10").select(F.size(F.split("text", "\n")).alias("n"))
+    assert data.agg(F.max("n")).first()[0] <= 5
+    heads = files.filter("first_line = 1")
+    assert heads.count() == files.select("file_path").distinct().count()   # one head chunk per file
