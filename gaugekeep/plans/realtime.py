@@ -29,18 +29,19 @@ def split_parameter(daily: DataFrame, parameter: str) -> DataFrame:
             .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)))
 
 
-def _scraped(scraped: DataFrame, parameter: str) -> DataFrame:
-    return (scraped.select(STATION, DATE, F.lit(parameter).alias(PARAMETER), VALUE)
+def _scraped(scraped: DataFrame, parameter: str, scraped_order=()) -> DataFrame:
+    keep = [c for c in scraped_order if c in scraped.columns]
+    return (scraped.select(STATION, DATE, F.lit(parameter).alias(PARAMETER), VALUE, *keep)
             .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)))
 
 
-def _sources(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None
-             ) -> list[DataFrame]:
+def _sources(daily: DataFrame, scraped_flow: DataFrame | None, scraped_level: DataFrame | None,
+             scraped_order=()) -> list[DataFrame]:
     """Candidate sources in priority order (scraped first), each holding flow
     and level rows tagged with their table."""
     rt = (daily.filter(F.col(PARAMETER).isin(FLOW, LEVEL)).select(*UPDATE_COLUMNS)
           .withColumn(PUB_STATUS, F.lit(UNPUBLISHED)).withColumn(TABLE, F.col(PARAMETER)))
-    scraped = [_scraped(s, p).withColumn(TABLE, F.lit(p))
+    scraped = [_scraped(s, p, scraped_order).withColumn(TABLE, F.lit(p))
                for s, p in ((scraped_flow, FLOW), (scraped_level, LEVEL)) if s is not None]
     if not scraped:
         return [rt]
@@ -57,7 +58,8 @@ def updates(daily: DataFrame, scraped_flow: DataFrame | None = None, scraped_lev
             scraped_order=()) -> tuple[DataFrame, DataFrame]:
     """Candidate rows per table; scraped rows win over realtime rows of the
     same station-day."""
-    both = _merge(_sources(daily, scraped_flow, scraped_level), scraped_order)
+    both = _merge(_sources(daily, scraped_flow, scraped_level, scraped_order), scraped_order)
+    both = both.drop(*[c for c in scraped_order if c in both.columns])
     return (both.filter(F.col(TABLE) == FLOW).drop(TABLE),
             both.filter(F.col(TABLE) == LEVEL).drop(TABLE))
 
@@ -73,31 +75,36 @@ def _stored_tagged(stored_flow: DataFrame, stored_level: DataFrame, since: DataF
 
 def realtime_update_rows(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
                          scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
-                         skip_null_days: bool = False, complete_before: _dt.date | None = None) -> DataFrame:
+                         skip_null_days: bool = False, complete_before: _dt.date | None = None,
+                         scraped_order=()) -> DataFrame:
     """New rows of both tables in one plan, tagged with `__table`.
 
     One aggregation of the daily means, one window for the scraped merge,
     one null-safe anti-join against both stored tables (read from the
     earliest update day on; the bound is a scalar subquery that reaches the
-    scans). Equivalent to one anti-join per table on (station, day)."""
+    scans). Equivalent to one anti-join per table on (station, day).
+    `scraped_order`: columns of the scraped inputs that order rows within
+    them (e.g. from read_master_csv(order_col=...)); the earlier row wins."""
     if skip_null_days:
         daily = daily.filter(F.col(VALUE).isNotNull())
     if complete_before is not None:
         daily = daily.filter(F.col(DATE) < F.lit(complete_before))
-    src = _sources(daily, scraped_flow, scraped_level)
+    src = _sources(daily, scraped_flow, scraped_level, scraped_order)
     # the merge keeps every (station, day) key, so the earliest day is taken
     # from the sources directly and the subquery needs no window
     since = min_date(*src)
-    return new_rows(_merge(src), _stored_tagged(stored_flow, stored_level, since), (STATION, DATE, TABLE))
+    merged = _merge(src, scraped_order)
+    merged = merged.drop(*[c for c in scraped_order if c in merged.columns])
+    return new_rows(merged, _stored_tagged(stored_flow, stored_level, since), (STATION, DATE, TABLE))
 
 
 def realtime_update(daily: DataFrame, stored_flow: DataFrame, stored_level: DataFrame,
                     scraped_flow: DataFrame | None = None, scraped_level: DataFrame | None = None,
-                    skip_null_days: bool = False, complete_before: _dt.date | None = None
-                    ) -> tuple[DataFrame, DataFrame]:
+                    skip_null_days: bool = False, complete_before: _dt.date | None = None,
+                    scraped_order=()) -> tuple[DataFrame, DataFrame]:
     """New rows for the flow and level tables (two views of one plan)."""
     rows = realtime_update_rows(daily, stored_flow, stored_level, scraped_flow, scraped_level,
-                                skip_null_days, complete_before)
+                                skip_null_days, complete_before, scraped_order)
     return (rows.filter(F.col(TABLE) == FLOW).drop(TABLE),
             rows.filter(F.col(TABLE) == LEVEL).drop(TABLE))
 

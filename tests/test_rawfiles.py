@@ -189,3 +189,20 @@ def test_stand_in_chunks_are_bounded(spark):
     assert data.agg(F.max("n")).first()[0] <= 5
     heads = files.filter("first_line = 1")
     assert heads.count() == files.select("file_path").distinct().count()   # one head chunk per file
+
+
+def test_earlier_scraped_row_wins_within_a_file(spark, scratch):
+    import os
+    from gaugekeep.plans.realtime import realtime_update
+    from gaugekeep.sources.csvfiles import read_master_csv
+    os.makedirs(scratch + "/flow")
+    with open(scratch + "/flow/part-0.csv", "w") as f:
+        f.write("Date,Parameter,Value,STATION_NUMBER,Approval,Grade\n"
+                + "".join(f"2024-01-0{1 + i % 2},Flow,{v},08A,P,NA\n" for i, v in enumerate([5.0, 6.0, 7.0, 8.0])))
+    scraped = read_master_csv(spark, scratch + "/flow", order_col="__order")
+    schema = "STATION_NUMBER string, Date date, Parameter string, Value double, pub_status string"
+    empty = spark.createDataFrame([], schema)
+    daily = spark.createDataFrame([], "STATION_NUMBER string, Date date, Parameter string, Value double")
+    nf, _ = realtime_update(daily, empty, empty, scraped_flow=scraped, scraped_order=["__order"])
+    assert sorted((str(r.Date), r.Value) for r in nf.collect()) == [("2024-01-01", 5.0), ("2024-01-02", 6.0)]
+    assert "__order" not in nf.columns
