@@ -206,3 +206,26 @@ def test_earlier_scraped_row_wins_within_a_file(spark, scratch):
     nf, _ = realtime_update(daily, empty, empty, scraped_flow=scraped, scraped_order=["__order"])
     assert sorted((str(r.Date), r.Value) for r in nf.collect()) == [("2024-01-01", 5.0), ("2024-01-02", 6.0)]
     assert "__order" not in nf.columns
+
+
+def test_jobs_on_line_mode_chunks(spark, scratch):
+    """C4 and C5 give the same results from split chunks as from whole files."""
+    _files(scratch)
+    stations = spark.createDataFrame([(s, "ACTIVE") for s in ("08AA001", "08AA002", "08AA003", "08AA004")],
+                                     "STATION_NUMBER string, STATION_OPERATING_STATUS string")
+
+    def run(files):
+        m = sorted(tuple(r) for r in masters(files).collect())
+        rep = station_report(stations, files)
+        return m, {k: sorted(tuple(r) for r in df.collect()) for k, df in rep.items()}
+
+    expected = run(read_raw_files(spark, scratch))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = run(read_raw_chunks(spark, scratch))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == expected
