@@ -90,3 +90,17 @@ def test_realtime_update_rules(spark):
     empty = daily.limit(0)
     a, b = realtime_update(empty, stored_flow, stored_level)
     assert a.count() == 0 and b.count() == 0
+
+
+def test_update_from_readings_and_read_table(spark, scratch):
+    from gaugekeep.plans.realtime import realtime_update_from_readings
+    from gaugekeep.sources.archive import read_table
+    readings = spark.createDataFrame(
+        [("s1", T(2024, 1, 1, 1), "Flow", 1.0), ("s1", T(2024, 1, 1, 2), "Flow", 3.0),
+         ("s1", T(2024, 1, 2, 1), "Level", 5.0), ("s1", T(2024, 1, 2, 1), "Air Temperature", 9.0)],
+        "STATION_NUMBER string, Date timestamp_ntz, Parameter string, Value double")
+    stored = spark.createDataFrame([], STORED)
+    stored.write.parquet(scratch + "/empty_flow")
+    nf, nl = realtime_update_from_readings(readings, read_table(spark, scratch + "/empty_flow"), stored)
+    assert [(r.Date, r.Value) for r in nf.collect()] == [(D1, 2.0)]
+    assert [(r.Date, r.Parameter, r.Value) for r in nl.collect()] == [(D2, "Level", 5.0)]
