@@ -37,6 +37,12 @@ from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
 
+try:  # the training-data operators are an addition: without them the rest works
+    import corpus_pipeline
+    from gaugekeep.llm import registry as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 PROVINCE_ASKED = "BC"
 SINCE = _dt.date(2024, 1, 10)
@@ -168,6 +174,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # sources
         "published_daily": lambda s, d: published_daily(si.daily(s, d), _stations(s, d), PROVINCE_ASKED),
@@ -320,6 +330,10 @@ def _empty_tables_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _own_oracle_sql() -> dict[str, str]:
     published_daily_sql = """SELECT STATION_NUMBER, user_id, "Date", Parameter, Value, 'Published' AS pub_status
       FROM daily WHERE Parameter IN ('Flow', 'Level')
         AND STATION_NUMBER IN (SELECT STATION_NUMBER FROM stations WHERE PROV_TERR_STATE_LOC = 'BC')"""
