@@ -37,10 +37,12 @@ from gaugekeep.llm.common import bounded_batches, connected_components, stored,
 
 # Words a worker keeps with their hashes; beyond it the cache starts anew.
 WORD_CACHE = 1_000_000
-# Frequent shingles put last in the order (a bounded list; any order is exact).
-HOT_SHINGLES = 20_000
-HOT_SHARE, HOT_LEAST = 0.002, 8
+# Frequent shingles put last in the order (a bounded list; any order is exact):
+# those that HOT_LEAST different texts of a block of COUNT_BLOCK shingles have.
+HOT_SHINGLES, HOT_LEAST = 100_000, 3
 COUNT_BLOCK = 3_000_000
+# Bits of the filter that tells which documents may be needed again.
+FILTER_BITS = 1 << 23
 BITMAP_WORDS = 16
 BLOCK = 2048
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -105,23 +107,23 @@ def hot_shingles(src: DataFrame, width: int) -> np.ndarray:
     documents have, the largest sums are kept (HOT_SHINGLES at most)."""
 
     def run(batches):
-        parts, held, docs = [], 0, 0
+        parts, held = {}, 0  # by node: copies count once
 
         def counted():
-            u, c = np.unique(np.concatenate(parts), return_counts=True)
-            keep = c >= max(HOT_LEAST, int(HOT_SHARE * docs))
-            u, c = u[keep], c[keep]
+            u, c = np.unique(np.concatenate(list(parts.values())), return_counts=True)
+            u, c = u[c >= HOT_LEAST], c[c >= HOT_LEAST]
             top = np.argsort(-c, kind="stable")[:HOT_SHINGLES // 4]
             return pa.RecordBatch.from_arrays(
                 [pa.array(u[top].astype(np.int64)), pa.array(c[top].astype(np.int64))], ["token", "n"])
 
         for b in batches:
             for t in b.column("text").to_pylist():
-                parts.append(shingles(t, width))
-                held, docs = held + len(parts[-1]), docs + 1
+                x = shingles(t, width)
+                if parts.setdefault(node_of(x), x) is x:
+                    held += len(x)
                 if held >= COUNT_BLOCK:
                     yield counted()
-                    parts, held, docs = [], 0, 0
+                    parts, held = {}, 0
         if parts:
             yield counted()
 
@@ -131,30 +133,37 @@ def hot_shingles(src: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(src: DataFrame, hot: np.ndarray, percent: int, width: int) -> DataFrame:
-    """Per document: text hash, node, set size and prefix."""
+    """Per document: key, node, set size, bitmap and prefix. Of the copies that a
+    task meets only the first has a prefix, so copies are not sent on."""
     id_type = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        met: set[int] = set()
         for b in batches:
-            node, size, prefix = [], [], []
+            node, size, prefix, bits = [], [], [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t, width)
                 n = len(s)
                 need = -(-percent * n // 100)
-                if len(hot) and n:
-                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                    late = hot[at] == s
-                    first = np.concatenate([s[~late], s[late]])[:n - need + 1]
-                else:
-                    first = s[:n - need + 1] if n else s
                 node.append(node_of(s))
                 size.append(n)
-                prefix.append(first.astype(np.int64))
+                bits.append(bitmap(s).tobytes())
+                if node[-1] in met:
+                    s = s[:0]
+                elif len(hot) and n:
+                    late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s
+                    s = np.concatenate([s[~late], s[late]])[:n - need + 1]
+                else:
+                    s = s[:n - need + 1]
+                if len(met) >= WORD_CACHE:
+                    met.clear()
+                met.add(node[-1])
+                prefix.append(s.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("th"), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "th", "node", "n", "prefix"])
+                [b.column("doc_id"), b.column("th"), b.column("key"), pa.array(node, pa.int64()), pa.array(size, pa.int64()),
+                 pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "th", "key", "node", "n", "bits", "prefix"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, th bigint, node bigint, n bigint, prefix array<bigint>")
+    return src.mapInArrow(run, f"doc_id {id_type}, th bigint, key bigint, node bigint, n bigint, bits binary, prefix array<bigint>")
 
 
 def _tile_rows(rows: DataFrame, percent: int) -> DataFrame:
@@ -217,26 +226,30 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
-def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """Links among `pairs` (a, b): bitmaps first, then the arrays themselves."""
-    maps = arrays.select("node", "n", "bits")
+def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the bit counts do not rule out."""
     p = pairs.join(maps.toDF("a", "na", "ba"), "a").join(maps.toDF("b", "nb", "bb"), "b")
 
-    def bound(batches):
+    def run(batches):
         for t in batches:
             if not t.num_rows:
                 continue
             ba, bb = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64).reshape(t.num_rows, -1) for c in ("ba", "bb"))
             na, nb = (t.column(c).to_numpy() for c in ("na", "nb"))
             apart = np.bitwise_count(ba ^ bb).sum(axis=1).astype(np.int64)
-            keep = (na + nb - apart) // 2 >= _least_overlap(na, nb, percent)
-            yield pa.RecordBatch.from_arrays([t.column("a").filter(pa.array(keep)), t.column("b").filter(pa.array(keep))], ["a", "b"])
+            keep = pa.array((na + nb - apart) // 2 >= _least_overlap(na, nb, percent))
+            yield pa.RecordBatch.from_arrays([t.column("a").filter(keep), t.column("b").filter(keep)], ["a", "b"])
+
+    return p.mapInArrow(run, "a bigint, b bigint")
 
-    p = p.mapInArrow(bound, "a bigint, b bigint")
-    sets = arrays.select("node", "items")
-    p = p.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
 
-    def exact(batches):
+def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame:
+    """The links among `pairs`: sorted arrays intersected."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    arrays = _arrays(src, nodes.join(wanted, "node", "left_semi").select("key"), width)
+    p = pairs.join(arrays.toDF("a", "sa"), "a").join(arrays.toDF("b", "sb"), "b")
+
+    def run(batches):
         for t in batches:
             a, b = t.column("a").to_numpy(), t.column("b").to_numpy()
             keep = np.zeros(t.num_rows, bool)
@@ -246,25 +259,32 @@ def _verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
                 keep[i] = 100 * o >= percent * (len(x) + len(y) - o)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
-    return p.mapInArrow(exact, "a bigint, b bigint")
+    return p.mapInArrow(run, "a bigint, b bigint")
 
 
-def _arrays(src: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Shingle arrays and bitmaps of some nodes, from one text of each."""
+def _arrays(src: DataFrame, keys: DataFrame, width: int) -> DataFrame:
+    """(node, items): the shingle arrays of the documents with these keys (and
+    of a few more). A filter of FILTER_BITS bits, whatever the input's size,
+    tells a scan which documents may be wanted; the joins that follow decide."""
+    at = F.pmod("key", F.lit(FILTER_BITS))
+    words = (keys.select(F.floor(at / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, CAST(pmod(key, {FILTER_BITS}) % 64 AS INT))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
+    filled = np.zeros(FILTER_BITS // 64, np.int64)
+    filled[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    sent = src.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches):
         for b in batches:
-            sets = [shingles(t, width) for t in b.column("text").to_pylist()]
+            place = np.mod(b.column("key").to_numpy(), FILTER_BITS)
+            maybe = (sent.value[place // 64] >> (place % 64)) & 1 == 1
+            sets = [shingles(t, width) for t in b.column("text").filter(pa.array(maybe)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.array(list(map(len, sets)), pa.int64()),
-                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "n", "bits", "items"])
+                [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
 
-    one = src.join(nodes, src.doc_id.eqNullSafe(nodes.rep_id) & (src.th == nodes.rep_th)).select("node", "text")
-    return one.mapInArrow(run, "node bigint, n bigint, bits binary, items binary").dropDuplicates(["node"])
+    return src.select("key", "text").mapInArrow(run, "node bigint, items binary")
 
 
-def _left_over(tiles: DataFrame, comps: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _left_over(tiles: DataFrame, comps: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """Pairs across components, in tiles with more than one, that neither set
     sizes nor bitmaps rule out. A tile larger than BLOCK is dealt out in pairs
     of blocks, so no task holds it whole."""
@@ -272,7 +292,7 @@ def _left_over(tiles: DataFrame, comps: DataFrame, arrays: DataFrame, percent: i
         "token", "node", "n", F.coalesce("comp", "node").alias("comp"))
     mixed = (t.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m"))
              .filter("c1 <> c2 AND m > 2").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    t = t.join(mixed, "token").join(arrays.select("node", "bits"), "node")
+    t = t.join(mixed, "token").join(maps.select("node", "bits"), "node")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # block i meets blocks j: cell (min, max) of the triangle
     t = (t.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -303,27 +323,28 @@ def _linked(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     """Per document: doc_id, th (text hash), n and g, its group (null without words)."""
     spark: SparkSession = docs.sparkSession
     bounded_batches(spark)
-    src = texts(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    src = texts(docs, id_col, text_col).withColumns({"th": F.xxhash64("text"), "key": F.xxhash64("doc_id", "text")})
     hot = hot_shingles(src, width)
     own = stored(_prefixes(src, hot, percent, width), "jaccard-prefixes")
-    reps = (own.filter("n > 0").groupBy("node")
-            .agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("n").alias("n")))
-    reps = stored(reps.select("node", F.col("r.doc_id").alias("rep_id"), F.col("r.th").alias("rep_th"), "n"), "jaccard-nodes")
-    first = reps.select(F.col("node").alias("of"), "rep_id", "rep_th")
-    one = own.join(first, (own.node == first.of) & own.doc_id.eqNullSafe(first.rep_id) & (own.th == first.rep_th))
-    rows = one.select(F.explode("prefix").alias("token"), "node", "n")
-    tiles = stored(_tile_rows(rows, percent), "jaccard-tiles")
+    tiles = stored(_tile_rows(own.select(F.explode("prefix").alias("token"), "node", "n"), percent), "jaccard-tiles")
+    members = tiles.select("node").distinct()
+    nodes = own.join(members, "node", "left_semi").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("key").alias("key"), F.first("bits").alias("bits"))
+    nodes = stored(nodes, "jaccard-nodes")
+    maps = nodes.select("node", "n", "bits")
     leaders = F.explode(F.array(F.struct(F.col("l1").alias("y"), F.col("n1").alias("m")),
                                 F.struct(F.col("l2").alias("y"), F.col("n2").alias("m")))).alias("l")
     led = (tiles.select(F.col("node").alias("x"), "n", leaders).filter("l.y <> x AND l.m > 0").filter(_fits("n", "l.m", percent))
            .select(F.least("x", "l.y").alias("a"), F.greatest("x", "l.y").alias("b")).distinct())
-    members = tiles.select("node").distinct()
-    arrays = stored(_arrays(src, reps.join(members, "node", "left_semi"), width), "jaccard-arrays")
-    links = stored(_verified(led, arrays, percent), "jaccard-links")
+    pairs = stored(_bounded(led, maps, percent), "jaccard-pairs")
+    links = stored(_verified(pairs, src, nodes, percent, width), "jaccard-links")
     comps = connected_components(links)
-    more = stored(_verified(_left_over(tiles, comps, arrays, percent), arrays, percent), "jaccard-links")
-    if not more.isEmpty():
-        comps = connected_components(links.union(more))
+    # pairs of the first round are known: only others are new
+    rest = stored(_left_over(tiles, comps, maps, percent).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    if not rest.isEmpty():
+        more = stored(_verified(rest, src, nodes, percent, width), "jaccard-links")
+        if not more.isEmpty():
+            comps = connected_components(links.union(more))
     own = own.select("doc_id", "th", "node", "n").join(comps, "node", "left")
     return own.withColumn("g", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
 
