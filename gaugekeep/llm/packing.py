@@ -30,6 +30,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ SENTENCE_CUT, FORCED_CUT = 8, 64
 # Shortest window that is kept unpadded for being a power of two.
 LEAST_POWER = 256
 # Words and pieces a worker keeps with their ids; beyond it a cache starts anew.
-WORD_CACHE, PIECE_CACHE, LONGEST_CACHED = 600_000, 1_000_000, 48
+WORD_CACHE, PIECE_CACHE, LONGEST_CACHED = 800_000, 1_000_000, 48
 
 
 class Words:
@@ -66,44 +67,63 @@ class Words:
         self.plain = re.compile(r"[a-zà-öø-ÿ]+|[.,;:!?\n]+")
         self.only = re.compile(r"[a-zà-öø-ÿ.,;:!?\n]*").fullmatch
 
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+
     def _encode(self, units: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch(units, add_special_tokens=False)]
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """The same for plain parts: many are encoded in one line; each ends with
+        its one token that closes a word."""
+        out: list[bytes] = []
+        for k in range(0, len(parts), 2000):
+            some = parts[k:k + 2000]
+            ids = np.asarray(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stop = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(stop) == len(some):
+                raw = ids.tobytes()
+                out += [raw[4 * b:4 * e] for b, e in zip([0, *stop[:-1]], stop, strict=True)]
+            else:
+                out += self._encode(some)
+        return out
 
-    def learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words not seen before; the short ones are kept."""
-        if len(self.words) + len(new) > WORD_CACHE:
-            self.words.clear()
+    def learn(self, new: set[str]) -> None:
+        """Adds words not seen before."""
         if len(self.pieces) > PIECE_CACHE:
             self.pieces.clear()
         parts: dict[str, list[str]] = {}
-        todo: set[str] = set()
+        whole, todo = [], set()
         for w in new:
             low = w.lower()
             if self.only(low) and len(low) == len(w):
-                found = [x for p in self.plain.findall(low) if (x := p.replace("\n", " ").strip())]
                 # white space inside a run of marks separates
-                parts[w] = [y for x in found for y in x.split()]
+                parts[w] = self.plain.findall(low) if "\n" not in low else [x for p in self.plain.findall(low) for x in p.split()]
+                todo.update(parts[w])
             else:
-                parts[w] = [w]
-            todo.update(p for p in parts[w] if p not in self.pieces)
-        units = list(todo)
-        got = dict(zip(units, self._encode(units), strict=True))
-        self.pieces.update((u, v) for u, v in got.items() if len(u) <= LONGEST_CACHED)
-        out = {w: b"".join([got[p] if p in got else self.pieces[p] for p in ps]) for w, ps in parts.items()}
-        self.words.update((w, v) for w, v in out.items() if len(w) <= LONGEST_CACHED)
-        return out
+                whole.append(w)
+        pieces = self.pieces
+        units = [p for p in todo if p not in pieces]
+        pieces.update(zip(units, self._encode_parts(units), strict=True))
+        self.words.update((w, b"".join([pieces[p] for p in ps])) for w, ps in parts.items())
+        self.words.update(zip(whole, self._encode(whole), strict=True))
+        for u in units:
+            if len(u) > LONGEST_CACHED:
+                del pieces[u]
 
     def ids(self, batch: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.split(" ") for t in batch]
-        known = self.words
-        new = {w for s in split for w in s if w not in known}
-        look = known if not new else None
-        if look is None:
-            own = self.learn(new) if len(known) + len(new) <= WORD_CACHE else self.learn({w for s in split for w in s})
-            get = known.get
-            return [b"".join([x if (x := get(w)) is not None else own[w] for w in s]) for s in split]
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        if len(self.words) > WORD_CACHE:
+            self.words.clear()
+        new = set(chain.from_iterable(split)).difference(self.words)
+        self.learn(new)
+        get = self.words.__getitem__
+        out = [b"".join(map(get, s)) for s in split]
+        for w in new:
+            if len(w) > LONGEST_CACHED:
+                del self.words[w]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -113,9 +133,11 @@ def load(path: str) -> Words:
 
 @lru_cache(maxsize=2)
 def sentence_ids(path: str) -> np.ndarray:
-    """Ids of the tokens that end a sentence."""
+    """Per id, whether the token ends a sentence."""
     vocab = load(path).tok.get_vocab()
-    return np.array(sorted(i for t, i in vocab.items() if t.removesuffix("</w>") and not t.removesuffix("</w>").strip(".!?")), dtype=np.uint32)
+    out = np.zeros(max(vocab.values()) + 1, bool)
+    out[[i for t, i in vocab.items() if t.removesuffix("</w>") and not t.removesuffix("</w>").strip(".!?")]] = True
+    return out
 
 
 def cut(pos: list[int], penalty: list[int], window: int) -> list[int]:
@@ -162,8 +184,7 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, enders: np.ndarray, window: in
     """Where the stream may be cut, with penalties: document ends, sentence
     ends, and every token in stretches longer than half a window without one."""
     penalty = np.full(len(ids) + 1, -1, dtype=np.int64)
-    if len(enders):
-        penalty[1:][np.isin(ids, enders)] = SENTENCE_CUT
+    penalty[1:][enders[ids]] = SENTENCE_CUT
     penalty[ends] = 0
     penalty[0] = 0
     pos = np.flatnonzero(penalty >= 0)
