@@ -11,8 +11,12 @@ texts that have one shingle in both prefixes, in bands of set size.
    the sorted shingle arrays are intersected. Components follow.
 2. What is left: tiles whose members lie in more than one component. There all
    pairs across components are compared by set size and by the bit counts of
-   the bitmaps, block by block; only pairs which these cannot rule out are
-   emitted and intersected.
+   the bitmaps, block by block. Rounds emit each member's most promising pair
+   while that merges components; a last round emits every pair that the bounds
+   cannot rule out and that is not known yet. So a group of n near copies takes
+   about n pairs a round, not n^2.
+
+Tiles with equal members count once.
 
 Copies of one shingle set are one node, so no group of copies is expanded.
 The bitmap has one bit per hash class, the parity of the shingles in it: each
@@ -284,15 +288,22 @@ def _arrays(src: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     return src.select("key", "text").mapInArrow(run, "node bigint, items binary")
 
 
-def _left_over(tiles: DataFrame, comps: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+def _different(tiles: DataFrame) -> DataFrame:
+    """Of tiles with the same members one."""
+    sums = tiles.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    return tiles.join(sums.groupBy("m", "x", "y").agg(F.min("token").alias("token")).select("token", "m"), "token")
+
+
+def _left_over(tiles: DataFrame, comps: DataFrame, maps: DataFrame, percent: int, best_only: bool) -> DataFrame:
     """Pairs across components, in tiles with more than one, that neither set
-    sizes nor bitmaps rule out. A tile larger than BLOCK is dealt out in pairs
-    of blocks, so no task holds it whole."""
-    t = tiles.select("token", "node", "n").join(comps, "node", "left").select(
-        "token", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    mixed = (t.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count(F.lit(1)).alias("m"))
-             .filter("c1 <> c2 AND m > 2").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    t = t.join(mixed, "token").join(maps.select("node", "bits"), "node")
+    sizes nor bitmaps rule out: all, or for each member the best of its tile. A tile larger than BLOCK is dealt out in
+    pairs of blocks, so no task holds it whole."""
+    t = tiles.filter("m > 2").select("token", "m", "node", "n").join(comps, "node", "left").select(
+        "token", "m", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    mixed = t.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("token")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    t = t.join(mixed, "token").join(maps.select("node", "bits"), "node").withColumn("blocks", blocks)
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # block i meets blocks j: cell (min, max) of the triangle
     t = (t.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -304,13 +315,17 @@ def _left_over(tiles: DataFrame, comps: DataFrame, maps: DataFrame, percent: int
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
         one, two = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
         a, b = [], []
-        for x in one:
-            y = two[(comp[two] != comp[x]) & (100 * n[two] >= percent * n[x]) & (100 * n[x] >= percent * n[two])]
-            if i == j:
-                y = y[node[y] > node[x]]
-            if len(y):
-                apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1).astype(np.int64)
-                y = y[(n[y] + n[x] - apart) // 2 >= _least_overlap(n[y], n[x], percent)]
+        for from_, to in ((one, two),) if i == j else ((one, two), (two, one)):
+            for x in from_:
+                y = to[(comp[to] != comp[x]) & (100 * n[to] >= percent * n[x]) & (100 * n[x] >= percent * n[to])]
+                if not len(y):
+                    continue
+                most = (n[y] + n[x] - np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1).astype(np.int64)) // 2
+                ok = most >= _least_overlap(n[y], n[x], percent)
+                y, most = y[ok], most[ok]
+                if best_only and len(y) > 1:
+                    share = most / (n[y] + n[x])
+                    y = y[[np.lexsort((node[y], -share))[0]]]
                 a.append(np.full(len(y), node[x]))
                 b.append(node[y])
         a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b))
@@ -326,7 +341,8 @@ def _linked(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     src = texts(docs, id_col, text_col).withColumns({"th": F.xxhash64("text"), "key": F.xxhash64("doc_id", "text")})
     hot = hot_shingles(src, width)
     own = stored(_prefixes(src, hot, percent, width), "jaccard-prefixes")
-    tiles = stored(_tile_rows(own.select(F.explode("prefix").alias("token"), "node", "n"), percent), "jaccard-tiles")
+    rows = own.select(F.explode("prefix").alias("token"), "node", "n")
+    tiles = stored(_different(stored(_tile_rows(rows, percent), "jaccard-tiles")), "jaccard-tiles")
     members = tiles.select("node").distinct()
     nodes = own.join(members, "node", "left_semi").groupBy("node").agg(
         F.min("n").alias("n"), F.min("key").alias("key"), F.first("bits").alias("bits"))
@@ -339,12 +355,18 @@ def _linked(docs: DataFrame, percent: int, width: int, id_col: str, text_col: st
     pairs = stored(_bounded(led, maps, percent), "jaccard-pairs")
     links = stored(_verified(pairs, src, nodes, percent, width), "jaccard-links")
     comps = connected_components(links)
-    # pairs of the first round are known: only others are new
-    rest = stored(_left_over(tiles, comps, maps, percent).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
-    if not rest.isEmpty():
+    best_only = True
+    while True:
+        rest = stored(_left_over(tiles, comps, maps, percent, best_only).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = stored(_verified(rest, src, nodes, percent, width), "jaccard-links")
-        if not more.isEmpty():
-            comps = connected_components(links.union(more))
+        pairs = pairs.union(rest)
+        found = not more.isEmpty()
+        if found:
+            links = links.union(more)
+            comps = connected_components(links)
+        if not best_only:
+            break
+        best_only = found
     own = own.select("doc_id", "th", "node", "n").join(comps, "node", "left")
     return own.withColumn("g", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
 
