@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 from gaugekeep.llm.common import bounded_batches, connected_components, stored, texts
 
 # Words a worker keeps with their hashes; beyond it the cache starts anew.
-WORD_CACHE = 1_000_000
+WORD_CACHE = 300_000
 # Frequent shingles put last in the order (a bounded list; any order is exact):
 # those that HOT_LEAST different texts of a block of COUNT_BLOCK shingles have.
 HOT_SHINGLES, HOT_LEAST = 100_000, 3
-COUNT_BLOCK = 3_000_000
+COUNT_BLOCK = 2_000_000
 # Bits of the filter that tells which documents may be needed again.
 FILTER_BITS = 1 << 23
 BITMAP_WORDS = 16
