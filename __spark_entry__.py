@@ -371,6 +371,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "station_metadata": _q("""SELECT STATION_NUMBER, STATION_OPERATING_STATUS, PROV_TERR_STATE_LOC
             FROM stations WHERE PROV_TERR_STATE_LOC = 'BC'"""),
         "active_stations": _q("SELECT * FROM active"),
+        "sample_stations": _q(f"""SELECT * FROM active
+            ORDER BY md5('{SAMPLE_SEED}:' || STATION_NUMBER), STATION_NUMBER LIMIT {SAMPLE_N}"""),
         "station_lonlat": _q("""SELECT STATION_NUMBER, STATION_OPERATING_STATUS, PROV_TERR_STATE_LOC,
             CAST(-120 - c_custkey % 10 AS DOUBLE) AS longitude, CAST(49 + c_custkey % 11 AS DOUBLE) AS latitude
             FROM stations"""),
@@ -440,7 +442,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "release_stamp": _q(f"SELECT page_id, {stamp} AS release_stamp FROM listing"),
         "release_changed": _q(f"""SELECT page_id, release_stamp, '20240115' AS stored_stamp,
             release_stamp <> '20240115' AS changed
-            FROM (SELECT page_id, {stamp} AS release_stamp FROM listing) s WHERE release_stamp IS NOT NULL"""),
+            FROM (SELECT page_id, {stamp} AS release_stamp FROM listing) s"""),
         "freshness": """SELECT p AS last_publication, u AS last_update,
             round((epoch_us(u) - epoch_us(p)) / 86400e6, 2) AS days_ahead
             FROM (SELECT max(o_orderdate) AS p FROM orders) a, (SELECT max(ts) AS u FROM events) b""",

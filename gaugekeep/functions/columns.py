@@ -34,7 +34,7 @@ def resolve_names(names: list[str]) -> dict[str, str]:
                 raise ColumnResolutionError(f"column {target!r} not found in {names}")
         else:
             hits = [n for n in names if frag in n.lower()]
-            if len(hits) > 1:
+            if len(hits) > 1 and target in (DATE, VALUE):
                 raise ColumnResolutionError(f"{target!r} matches several columns: {hits}")
         if hits:
             out[target] = hits[0]

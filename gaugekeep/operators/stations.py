@@ -16,11 +16,11 @@ def active_stations(stations: DataFrame) -> DataFrame:
 
 def sample_stations(stations: DataFrame, n: int | None = None, seed: int = 0) -> DataFrame:
     """n stations without replacement, capped at the table size; None keeps
-    all. Seeded by a hash of the station id, so reruns pick the same set; the
+    all. Seeded by the md5 of seed and station id, so reruns pick the same set; the
     limit runs as a per-partition top-n, never a full sort on one task."""
     if n is None:
         return stations
-    return stations.orderBy(F.xxhash64(F.lit(seed), F.col(STATION)), F.col(STATION)).limit(int(n))
+    return stations.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(STATION)).cast("binary")), F.col(STATION)).limit(int(n))
 
 
 def station_order(stations: DataFrame) -> DataFrame:

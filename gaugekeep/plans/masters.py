@@ -65,6 +65,7 @@ def run_masters(files: DataFrame, out: str, listing: DataFrame | None = None, cs
     m = masters(files, listing)
     if csv:
         from gaugekeep.sinks.files import write_csv
-        write_csv(m, out, partition_by="variable")
+        from gaugekeep.sources.csvfiles import MASTER_ORDER
+        write_csv(m.select(*MASTER_ORDER, "variable"), out, partition_by="variable")
     else:
         m.write.mode("overwrite").partitionBy("variable").parquet(out)

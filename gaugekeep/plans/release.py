@@ -20,9 +20,10 @@ def stored_stamp(pub_status: DataFrame) -> Column:
 
 
 def release_changed(listing: DataFrame, stored, text_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """Pages that carry a stamp, with the stored stamp and whether they differ.
+    """All pages, with the stored stamp and whether theirs differs: true if
+    nothing is stored yet, null for a page without a stamp.
     `stored` is a 'yyyyMMdd' string or a Column (e.g. stored_stamp(...))."""
     s = F.lit(stored) if isinstance(stored, str) else stored
-    st = release_stamps(listing, text_col, id_col).filter(F.col("release_stamp").isNotNull())
+    st = release_stamps(listing, text_col, id_col)
     return st.select(id_col, "release_stamp", s.alias("stored_stamp"),
-                     (F.col("release_stamp") != s).alias("changed"))
+                     F.when(F.col("release_stamp").isNotNull(), ~F.col("release_stamp").eqNullSafe(s)).alias("changed"))

@@ -19,10 +19,12 @@ def reset_tables(publication: DataFrame) -> DataFrame:
 
 
 def run_reset(store: TableStore, publication: DataFrame, station_meta: DataFrame | None = None) -> dict:
-    """K4 + K1: drop the tables, write one fresh version per table."""
+    """K1 + K4: write one fresh version per table, then remove the older
+    ones. A failed write leaves the tables as they were."""
     rows = reset_tables(publication)
-    store.reset(list(TABLES) + (["station_metadata"] if station_meta is not None else []))
     out = {t: store.replace(t, rows.filter(F.col(PARAMETER) == p)) for t, p in TABLES.items()}
     if station_meta is not None:
         out["station_metadata"] = store.replace("station_metadata", station_meta)
+    for t in out:
+        store.drop_versions(t, keep=1)
     return out

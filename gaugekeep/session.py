@@ -29,7 +29,7 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     (C2's anti-join) still gets partitions of that size, and AQE coalesces it
     for the small shuffles (partial aggregates, 30-day windows). Broadcasts
     stay behind AQE's measured-size check; skewed join partitions are split."""
-    n = max(200, min(200_000, -(-input_bytes // partition_bytes)))
+    n = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

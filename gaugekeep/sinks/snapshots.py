@@ -107,11 +107,17 @@ class TableStore:
     def _with_year(df: DataFrame) -> DataFrame:
         return df.withColumn("year", F.year(F.col(DATE))) if DATE in df.columns else df
 
-    def replace(self, table: str, df: DataFrame) -> str:
+    @staticmethod
+    def _by_year(data: DataFrame) -> DataFrame:
+        """Rows of a year together (AQE splits large years), so that the files
+        written follow the data's size, not the number of tasks."""
+        return data.hint("rebalance", "year") if "year" in data.columns else data
+
+    def replace(self, table: str, df: DataFrame, dealt: bool = False) -> str:
         """K1: write `df` as a new version of `table`; it becomes current only
-        after Spark committed it."""
+        after Spark committed it. `dealt`: the rows already lie by year."""
         out = self.path(table, self._next_version(table))
-        data = self._with_year(df)
+        data = df if dealt else self._by_year(self._with_year(df))
         w = data.write.mode("errorifexists")
         if DATE in df.columns:
             w = w.partitionBy("year")
@@ -132,7 +138,7 @@ class TableStore:
             raise ValueError(f"columns {extra} do not exist in table {table!r}")
         aligned = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                               for f in stored.fields])
-        w = self._with_year(aligned).write.mode("append")
+        w = self._by_year(self._with_year(aligned)).write.mode("append")
         if DATE in aligned.columns:
             w = w.partitionBy("year")
         w.parquet(p)
@@ -143,7 +149,9 @@ class TableStore:
         touched; `files_per_year` bounds the files written per year."""
         df = self.read(table, keep_year=True)
         if files_per_year and "year" in df.columns:
-            df = df.repartition(files_per_year, "year", F.col(df.columns[0]))
+            # one task per (year, bucket) at most, as many tasks as the session's shuffle partitions
+            df = df.repartition("year", F.pmod(F.xxhash64(df.columns[0]), F.lit(files_per_year)))
+            return self.replace(table, df, dealt=True)
         return self.replace(table, df.drop("year"))
 
     def drop_versions(self, table: str, keep: int = 1) -> None:

@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASTER_SCHEMA = "Date date, Parameter string, Value double, STATION_NUMBER string, Approval string, Grade string"
+# Column order of a masters CSV: its writer and the reader's schema share it.
+MASTER_ORDER = tuple(c.split()[0] for c in MASTER_SCHEMA.split(", "))
 PUB_STATUS_SCHEMA = "filename string, path string, pub_dttm timestamp_ntz, pub_date date"
 
 
 def read_master_csv(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """A scraped master table written by the masters job (header row,
-    `NA` for missing cells). With `order_col`, each row gets its position:
+    `NA` for missing cells). A header in another order or a cell that does
+    not fit its type is an error, never a shifted row. With `order_col`, each row gets its position:
     (file path, position in the scan), so that "the earlier row wins" (W1)
     can be decided within the source."""
     df = (spark.read.schema(MASTER_SCHEMA).option("header", "true")
-          .option("nullValue", "NA").option("mode", "PERMISSIVE").csv(path))
+          .option("nullValue", "NA").option("enforceSchema", "false").option("mode", "FAILFAST").csv(path))
     if order_col:
         df = df.withColumn(order_col, F.struct(F.col("_metadata.file_path").alias("file"),
                                                F.monotonically_increasing_id().alias("pos")))

@@ -119,7 +119,8 @@ def _resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFram
             found[target] = _indices(F.col("hdr"), lambda c, f=frag: F.lower(c).contains(f))
     step = step.select(*keep, "hdr", *[ix.alias(f"__ix_{t}") for t, ix in found.items()])
     n = {t: F.size(f"__ix_{t}") for t in found}
-    ok = ((n[DATE] == 1) & (n[PARAMETER] >= 1) & (n[VALUE] == 1) & (n[APPROVAL] <= 1) & (n[GRADE] <= 1))
+    # of several Approval or Grade columns the first counts, the others are extra columns
+    ok = (n[DATE] == 1) & (n[PARAMETER] >= 1) & (n[VALUE] == 1)
     return step.select(*keep, "hdr", F.coalesce(ok, F.lit(False)).alias("header_ok"),
                        *[F.try_element_at(F.col(f"__ix_{t}"), F.lit(1)).alias(f"i_{t}") for t in found])
 
@@ -205,7 +206,7 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
     cells = F.col("__cells")
 
     def pick(target: str) -> Column:
-        return _na(unquote(F.try_element_at(cells, F.col(f"i_{target}") + 1)))
+        return _na(unquote(F.trim(F.try_element_at(cells, F.col(f"i_{target}") + 1))))
 
     cols = [
         F.col(STATION), F.col("variable"), F.col("file_name"), F.col("line_no"),

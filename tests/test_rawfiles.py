@@ -164,7 +164,7 @@ def test_duplicate_value_columns_are_fatal(spark, scratch):
 
 
 def test_masters_csv_feed_the_realtime_update(spark, scratch):
-    from gaugekeep.plans.masters import run_masters
+    from gaugekeep.plans.masters import masters, run_masters
     from gaugekeep.plans.realtime import realtime_update
     from gaugekeep.sources.csvfiles import read_master_csv
     _files(scratch + "/raw")
@@ -172,6 +172,9 @@ def test_masters_csv_feed_the_realtime_update(spark, scratch):
     flow = read_master_csv(spark, scratch + "/out/variable=flow")
     level = read_master_csv(spark, scratch + "/out/variable=water_level (unit values)")
     assert flow.count() == 3 and level.count() == 1
+    want = masters(read_raw_files(spark, scratch + "/raw")).filter("variable = 'flow'")
+    cols = ["Date", "Parameter", "Value", "STATION_NUMBER", "Approval", "Grade"]
+    assert sorted(map(tuple, flow.select(*cols).collect()), key=repr) == sorted(map(tuple, want.select(*cols).collect()), key=repr)
     schema = "STATION_NUMBER string, Date date, Parameter string, Value double, pub_status string"
     empty = spark.createDataFrame([], schema)
     daily = spark.createDataFrame([], "STATION_NUMBER string, Date date, Parameter string, Value double")
