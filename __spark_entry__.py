@@ -16,13 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, STATION, VALUE
+from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, RELEASE_MARKER, STATION, VALUE
 from gaugekeep.functions.columns import flatten_point, resolve_columns
 from gaugekeep.functions.names import parameter_label, variable_name
 from gaugekeep.functions.scalars import is_leap_year
 from gaugekeep.operators.daily import daily_mean_first, min_date, realtime_daily_mean
 from gaugekeep.operators.merge import new_rows, stack, unaffected_rows
-from gaugekeep.operators.reports import coverage, empty_stations, extraction_summary
+from gaugekeep.operators.reports import coverage, empty_stations, empty_views, extraction_summary
 from gaugekeep.operators.stations import active_stations, sample_stations, station_order
 from gaugekeep.plans.archive_check import empty_archive_tables, missing_archive_tables
 from gaugekeep.plans.freshness import freshness
@@ -33,6 +33,7 @@ from gaugekeep.plans.realtime import realtime_update_rows, split_parameter, upda
 from gaugekeep.plans.release import release_changed, release_stamps
 from gaugekeep.plans.reset import reset_tables
 from gaugekeep.plans.station_report import station_report
+from gaugekeep.plans.update import pub_status_rows
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
@@ -163,6 +164,18 @@ def _leap(spark, d):
     return years.unionByName(fixed).distinct().withColumn("is_leap", is_leap_year("year"))
 
 
+def _pub_status(spark, d):
+    """The status row that every listed release would get (F8)."""
+    path = F.concat(F.lit(f"archive/{RELEASE_MARKER}"), F.col("release_stamp"), F.lit(".zip"))
+    return pub_status_rows(release_stamps(si.listing(spark, d)).withColumn("path", path))
+
+
+def _empty_views(spark, d):
+    """L3 with a view that holds no row (no day lies that late)."""
+    return empty_views(spark, {"published": si.published(spark, d),
+                               "stored_none": stored_since(si.daily(spark, d), "3000-01-01")})
+
+
 def _freshness(spark, d):
     return freshness(spark.read.parquet(f"{d}/orders.parquet"), "o_orderdate",
                      spark.read.parquet(f"{d}/events.parquet"), "ts")
@@ -189,7 +202,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_stations": lambda s, d: _flat(station_order(active_stations(_stations(s, d)))),
         "station_lonlat": lambda s, d: flatten_point(_stations(s, d)),
         "raw_file_parse": lambda s, d: raw_readings(raw_file_table(si.raw_files(s, d))),
-        "stored_since": lambda s, d: stored_since(si.published(s, d), SINCE),
+        "stored_since": lambda s, d: stored_since(si.daily(s, d), SINCE),
         # sinks / merges
         "append_new": _append_new,
         "realtime_update": _realtime_update,
@@ -202,13 +215,13 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "union_published_unpublished": lambda s, d: stack(
             si.published(s, d), si.realtime(s, d).drop("user_id")),
         "integrate_publication": lambda s, d: integrate_publication(si.published(s, d), si.realtime(s, d)),
-        "reset_tables": lambda s, d: reset_tables(si.published(s, d)),
+        "reset_tables": lambda s, d: reset_tables(si.daily(s, d)),
         # aggregates
         "daily_mean_first": _daily_first,
         "realtime_daily_mean": lambda s, d: _r4(realtime_daily_mean(si.readings(s, d), time_col="ts")),
         "realtime_daily_mean_poison": lambda s, d: _r4(
             realtime_daily_mean(si.readings(s, d), time_col="ts", null_policy="poison")),
-        "min_update_date": lambda s, d: min_date(_rt_split(s, d, FLOW), _rt_split(s, d, LEVEL)),
+        "min_update_date": lambda s, d: min_date(*(split_parameter(si.daily(s, d), p) for p in (FLOW, LEVEL))),
         "empty_stations": lambda s, d: empty_stations(_raw_stats(s, d, EMPTIED_EVERY)),
         "problem_stations": lambda s, d: _report(s, d, "problem_stations"),
         "extraction_summary": lambda s, d: extraction_summary(_raw_stats(s, d)),
@@ -223,6 +236,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # composite jobs
         "masters": lambda s, d: _r4(masters(si.raw_files(s, d))),
         "release_stamp": lambda s, d: release_stamps(si.listing(s, d)),
+        "pub_status_row": _pub_status,
+        "empty_views": _empty_views,
         "release_changed": lambda s, d: release_changed(si.listing(s, d), STORED_STAMP),
         "freshness": _freshness,
         "download_manifest": lambda s, d: download_manifest(_stations(s, d), AS_OF, MONTHS),
@@ -377,7 +392,7 @@ def _own_oracle_sql() -> dict[str, str]:
             CAST(-120 - c_custkey % 10 AS DOUBLE) AS longitude, CAST(49 + c_custkey % 11 AS DOUBLE) AS latitude
             FROM stations"""),
         "raw_file_parse": _q(raw_parse),
-        "stored_since": _q("""SELECT * FROM published WHERE "Date" >= DATE '2024-01-10'"""),
+        "stored_since": _q("""SELECT * FROM daily WHERE "Date" >= DATE '2024-01-10'"""),
         "append_new": _q("""SELECT * FROM published WHERE Parameter = 'Flow'
             UNION ALL SELECT n.*, CAST(NULL AS BIGINT) AS user_id FROM (""" + _new_sql("Flow") + ") n"),
         "realtime_update": _q(f""", mf AS ({_first_sql('Flow')}), ml AS ({_first_sql('Level')}),
@@ -407,7 +422,7 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT r.* FROM realtime r WHERE NOT EXISTS (SELECT 1 FROM published p
             WHERE p.STATION_NUMBER IS NOT DISTINCT FROM r.STATION_NUMBER AND p."Date" IS NOT DISTINCT FROM r."Date"
               AND p.Parameter IS NOT DISTINCT FROM r.Parameter)"""),
-        "reset_tables": _q("SELECT * FROM published"),
+        "reset_tables": _q("SELECT *, 'Published' AS pub_status FROM daily WHERE Parameter IN ('Flow', 'Level')"),
         "daily_mean_first": _q("""SELECT STATION_NUMBER, Parameter, d AS "Date", round(avg(Value), 4) AS Value,
             arg_min(Grade, (ts, event_id)) AS Grade, arg_min(event_id, (ts, event_id)) AS event_id,
             arg_min(user_id, (ts, event_id)) AS user_id
@@ -417,7 +432,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "realtime_daily_mean_poison": _q("""SELECT STATION_NUMBER, d AS "Date", Parameter,
             CASE WHEN count(Value) = count(*) THEN round(avg(Value), 4) END AS Value
             FROM readings GROUP BY STATION_NUMBER, d, Parameter"""),
-        "min_update_date": _q("SELECT m AS min_date FROM rt_min"),
+        "min_update_date": _q("SELECT min(\"Date\") AS min_date FROM daily WHERE Parameter IN ('Flow', 'Level')"),
         "empty_stations": _q("""SELECT STATION_NUMBER, count(*) AS n_files FROM files WHERE user_id % 5 = 0
             GROUP BY STATION_NUMBER"""),
         "problem_stations": _q(f""", {file_issue}
@@ -440,6 +455,12 @@ def _own_oracle_sql() -> dict[str, str]:
         "empty_tables": _empty_tables_sql(),
         "masters": _q(masters_sql),
         "release_stamp": _q(f"SELECT page_id, {stamp} AS release_stamp FROM listing"),
+        "pub_status_row": _q(f"""SELECT 'Hydat_sqlite3_' || s || '.zip' AS filename,
+            'archive/Hydat_sqlite3_' || s || '.zip' AS path, CAST(strptime(s, '%Y%m%d') AS TIMESTAMP) AS pub_dttm,
+            CAST(strptime(s, '%Y%m%d') AS DATE) AS pub_date FROM (SELECT {stamp} AS s FROM listing) l"""),
+        "empty_views": _q("""SELECT 'stored_none' AS table_name
+            WHERE (SELECT count(*) FROM daily WHERE "Date" > DATE '2999-12-31') = 0
+            UNION ALL SELECT 'published' WHERE (SELECT count(*) FROM published) = 0"""),
         "release_changed": _q(f"""SELECT page_id, release_stamp, '20240115' AS stored_stamp,
             release_stamp <> '20240115' AS changed
             FROM (SELECT page_id, {stamp} AS release_stamp FROM listing) s"""),

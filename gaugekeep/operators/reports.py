@@ -72,23 +72,29 @@ def missing_tables(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 def list_tables(spark: SparkSession, folder: str, suffix: str = ".parquet") -> DataFrame:
     """Names of the tables in an archive folder (`<name>.parquet`, file or
-    directory). Lists files only: the binaryFile source does not read the
-    content column when it is not selected."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(folder).select("path"))
-    pat = r"/([^/]+)" + suffix.replace(".", r"\.") + r"(/|$)"
-    name = F.regexp_extract("path", pat, 1)
-    return files.select(name.alias("table_name")).filter(F.col("table_name") != "").distinct()
-
-
-def tables_with_rows(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """L3: names of the tables holding at least one row; each probe reads
+    directory): its first level only, so a table of many part files is one
+    entry of the listing."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(st.getPath().getName() for st in found)
+    rows = [(n[:-len(suffix)],) for n in names if n.endswith(suffix) and n != suffix]
+    return spark.createDataFrame(rows, "table_name string")
+
+
+def views_with_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """L3: names of the tables holding at least one row; each probe takes
     at most one row of its table."""
-    probes = [spark.read.parquet(p).limit(1).select(F.lit(n).alias("table_name")) for n, p in paths.items()]
+    probes = [df.limit(1).select(F.lit(n).alias("table_name")) for n, df in tables.items()]
     return reduce(DataFrame.unionAll, probes)
 
 
 def empty_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """L3: present tables without any row."""
-    names = spark.createDataFrame([(n,) for n in paths], "table_name string")
-    return names.subtract(tables_with_rows(spark, paths))
+    return empty_views(spark, {n: spark.read.parquet(p) for n, p in paths.items()})
+
+
+def empty_views(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """L3 over DataFrames: names of those without any row."""
+    names = spark.createDataFrame([(n,) for n in tables], "table_name string")
+    return names.subtract(views_with_rows(tables))

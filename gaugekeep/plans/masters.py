@@ -29,10 +29,10 @@ def masters_from_readings(readings: DataFrame, newest: DataFrame | None = None,
     (by name) of a (station, variable) counts. `newest` (from newest_files)
     is one row per (station, variable); it is semi-joined to the daily rows,
     as a broadcast when AQE finds it small, so the lines are never shuffled
-    for it. Without it, it is derived from the daily rows themselves."""
-    rows = readings.filter(F.col(DATE).isNotNull())
+    for it. Without it, it is derived from the daily rows themselves.
+    Readings without a readable time form one row per file, with a null day."""
     payload = [APPROVAL, GRADE] + (["extra"] if keep_extra else [])
-    daily = daily_mean_first(rows, keys=[STATION, "variable", "file_name"], time_col=DATE,
+    daily = daily_mean_first(readings, keys=[STATION, "variable", "file_name"], time_col=DATE,
                              order_cols=["line_no"], payload=payload)
     if newest is None:
         newest = daily.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
@@ -61,11 +61,12 @@ def scraped_tables(master: DataFrame, flow_sources=DEFAULT_FLOW_SOURCES,
 
 def run_masters(files: DataFrame, out: str, listing: DataFrame | None = None, csv: bool = False) -> None:
     """K3/U4: write the masters partitioned by variable (one folder per
-    master table), as Parquet or as CSV with a header and `NA`."""
-    m = masters(files, listing)
+    master table), as Parquet with the files' other columns in `extra`, or as
+    CSV with a header and `NA` (the six columns that S4 reads)."""
+    m = masters(files, listing, keep_extra=not csv)
     if csv:
         from gaugekeep.sinks.files import write_csv
         from gaugekeep.sources.csvfiles import MASTER_ORDER
         write_csv(m.select(*MASTER_ORDER, "variable"), out, partition_by="variable")
     else:
-        m.write.mode("overwrite").partitionBy("variable").parquet(out)
+        m.hint("rebalance", "variable").write.mode("overwrite").partitionBy("variable").parquet(out)

@@ -6,6 +6,8 @@ Spark's commit wrote its `_SUCCESS` marker; readers take the newest such
 version. Replacing a table writes a new version and never touches the one
 being read, so a failed or lost job leaves the previous version readable.
 Appends add files to the newest version through Spark's commit protocol.
+The schema of a version lies beside it (`_schema-v<N>.json`) and is written
+first, so a version that counts always has one.
 """
 
 from __future__ import annotations
@@ -82,7 +84,8 @@ class TableStore:
         return df if keep_year else df.drop("year")
 
     def _schema_path(self, version_path: str):
-        return self._Path(f"{version_path}/_schema.json")
+        table, _, version = version_path.rpartition("/")
+        return self._Path(f"{table}/_schema-{version}.json")
 
     def _save_schema(self, version_path: str, schema: StructType) -> None:
         out = self._fs.create(self._schema_path(version_path), True)
@@ -121,8 +124,8 @@ class TableStore:
         w = data.write.mode("errorifexists")
         if DATE in df.columns:
             w = w.partitionBy("year")
-        w.parquet(out)
         self._save_schema(out, data.schema)
+        w.parquet(out)
         return out
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -158,6 +161,7 @@ class TableStore:
         """Remove all but the newest `keep` versions (after a successful job)."""
         for v in self._versions(table)[:-keep] if keep else self._versions(table):
             self._fs.delete(self._Path(self.path(table, v)), True)
+            self._fs.delete(self._schema_path(self.path(table, v)), False)
 
     def reset(self, tables) -> None:
         """K4: drop the given tables entirely."""

@@ -126,11 +126,6 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(pid, F.concat(F.col("html"), F.when(pid % 2 == 0, stamps).otherwise(F.lit(""))).alias("html"))
 
 
-def headings(spark: SparkSession) -> DataFrame:
-    """Parameter -> file heading, as a small values list."""
-    return spark.createDataFrame(PARAMETER_HEADING, f"{PARAMETER} string, heading string")
-
-
 def _csv_quote(c: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 

@@ -1,6 +1,8 @@
 """Physical-plan checks: no nested-loop joins, pushed filters, top-1 before
 the shuffle, two-phase aggregates, no Python in the plans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -31,7 +33,7 @@ def test_anti_joins_are_equi_joins(spark):
 def test_stored_since_filter_reaches_scan(spark):
     df = QUERIES["stored_since"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan or "GreaterThanOrEqual" in plan
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", plan)
 
 
 def test_window_group_limit_before_shuffle(spark):
