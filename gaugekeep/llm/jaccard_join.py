@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 
 from gaugekeep.llm.common import bounded_batches, connected_components, stored, texts
 
-# Words a worker keeps with their hashes; beyond it the cache starts anew.
-WORD_CACHE = 300_000
+# Nodes a worker remembers as met; beyond it the set starts anew.
+MET_NODES = 300_000
+# Bytes hashed in one go, and the longest word of them; longer words are hashed one by one.
+SLAB, LONG_WORD = 1 << 18, 4096
 # Frequent shingles put last in the order (a bounded list; any order is exact):
 # those that HOT_LEAST different texts of a block of COUNT_BLOCK shingles have.
 HOT_SHINGLES, HOT_LEAST = 100_000, 3
@@ -52,40 +54,118 @@ BLOCK = 2048
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[1])
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[2])
+    return x ^ (x >> np.uint64(31))
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+SPACES = b" \t\n\v\f\r"
 
 
-_HASHES = _Hashes()
+def _byte_codes() -> np.ndarray:
+    """A random odd number per byte, A-Z as a-z, white space 0."""
+    code = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    code[ord("A"):ord("Z") + 1] = code[ord("a"):ord("z") + 1]
+    code[list(SPACES)] = 0
+    return code
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX[1])
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX[2])
-    return x ^ (x >> np.uint64(31))
+_CODE = _byte_codes()
+_POWER = np.cumprod(np.full(LONG_WORD, MIX[0], np.uint64))
 
 
-def shingles(text: str, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles (A-Z lower-cased,
+def _long_hash(word: bytes) -> np.uint64:
+    import xxhash
+
+    return np.uint64(xxhash.xxh3_64_intdigest(word.lower()))
+
+
+def _slab_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of each word: a polynomial of the byte codes, mixed."""
+    x = _CODE[np.frombuffer(data, np.uint8)]
+    inside = np.zeros(len(x) + 2, bool)
+    inside[1:-1] = x != 0
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    if not len(start):
+        return np.empty(0, np.uint64), start
+    place = np.arange(start[0], len(x))
+    place -= np.repeat(start, np.diff(start, append=len(x)))
+    np.minimum(place, LONG_WORD - 1, out=place)
+    x = x[start[0]:]
+    x *= _POWER[place]
+    h = _mixed(np.add.reduceat(x, start - start[0]))
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        h[i] = _long_hash(data[start[i]:end[i]])
+    return h, start
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of each word of `data`, in slabs that end at white space."""
+    import re
+
+    space = re.compile(b"[ \t-\r]")
+    hashes, starts, at = [], [], 0
+    while at < len(data):
+        upto = min(at + SLAB, len(data))
+        if upto < len(data):  # the word at the border stays whole
+            found = space.search(data, upto)
+            upto = found.start() if found else len(data)
+        if upto - at > 2 * SLAB:  # a word longer than a slab: it goes alone
+            begin = 1 + max(data.rfind(bytes([c]), at, at + SLAB) for c in SPACES)
+            if begin > at:
+                upto = begin
+            else:
+                hashes.append(np.array([_long_hash(data[at:upto])]))
+                starts.append(np.array([at]))
+                at = upto
+                continue
+        h, start = _slab_hashes(data[at:upto])
+        hashes.append(h)
+        starts.append(start + at)
+        at = upto
+    if not hashes:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
+
+
+def shingle_sets(batch: list[str], width: int = 5):
+    """Sorted distinct hashes of each text's word shingles (A-Z lower-cased,
     words parted by the ASCII white space)."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    k = min(width, len(h))
-    n = len(h) - k + 1
+    at = 0
+    while at < len(batch):
+        upto, chars = at, 0
+        while upto < len(batch) and (upto == at or chars + len(batch[upto]) <= SLAB):
+            chars += len(batch[upto])
+            upto += 1
+        raw = [t.encode("utf-8", "surrogatepass") for t in batch[at:upto]]
+        h, start = word_hashes(b" ".join(raw))
+        limits = np.searchsorted(start, np.cumsum([0, *(len(r) + 1 for r in raw)])).tolist()
+        full = _windows(h, width)
+        for a, b in zip(limits, limits[1:], strict=False):
+            if b - a >= width:
+                s = np.sort(full[a:b - width + 1])
+                fresh = np.ones(len(s), bool)
+                np.not_equal(s[1:], s[:-1], out=fresh[1:])
+                yield s[fresh]
+            else:
+                yield _windows(h[a:b], b - a) if b > a else np.empty(0, np.uint64)
+        at = upto
+
+
+def _windows(h: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k words in a row."""
+    n = max(0, len(h) - k + 1)
     out = np.full(n, k, np.uint64)
     for i in range(k):  # order matters: each place has its own odd factor
         out += h[i:i + n] * np.uint64((MIX[0] * (2 * i + 1) * (2 * i + 3)) & 0xFFFFFFFFFFFFFFFF | 1)
-    return np.unique(_mixed(out))
+    return _mixed(out)
+
+
+def shingles(text: str, width: int = 5) -> np.ndarray:
+    """The shingle set of one text."""
+    return next(shingle_sets([text], width))
 
 
 def node_of(s: np.ndarray) -> int:
@@ -121,8 +201,7 @@ def hot_shingles(src: DataFrame, width: int) -> np.ndarray:
                 [pa.array(u[top].astype(np.int64)), pa.array(c[top].astype(np.int64))], ["token", "n"])
 
         for b in batches:
-            for t in b.column("text").to_pylist():
-                x = shingles(t, width)
+            for x in shingle_sets(b.column("text").to_pylist(), width):
                 if parts.setdefault(node_of(x), x) is x:
                     held += len(x)
                 if held >= COUNT_BLOCK:
@@ -145,8 +224,7 @@ def _prefixes(src: DataFrame, hot: np.ndarray, percent: int, width: int) -> Data
         met: set[int] = set()
         for b in batches:
             node, size, prefix, bits = [], [], [], []
-            for t in b.column("text").to_pylist():
-                s = shingles(t, width)
+            for s in shingle_sets(b.column("text").to_pylist(), width):
                 n = len(s)
                 need = -(-percent * n // 100)
                 node.append(node_of(s))
@@ -159,7 +237,7 @@ def _prefixes(src: DataFrame, hot: np.ndarray, percent: int, width: int) -> Data
                     s = np.concatenate([s[~late], s[late]])[:n - need + 1]
                 else:
                     s = s[:n - need + 1]
-                if len(met) >= WORD_CACHE:
+                if len(met) >= MET_NODES:
                     met.clear()
                 met.add(node[-1])
                 prefix.append(s.astype(np.int64))
@@ -281,7 +359,7 @@ def _arrays(src: DataFrame, keys: DataFrame, width: int) -> DataFrame:
         for b in batches:
             place = np.mod(b.column("key").to_numpy(), FILTER_BITS)
             maybe = (sent.value[place // 64] >> (place % 64)) & 1 == 1
-            sets = [shingles(t, width) for t in b.column("text").filter(pa.array(maybe)).to_pylist()]
+            sets = list(shingle_sets(b.column("text").filter(pa.array(maybe)).to_pylist(), width))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
 

@@ -448,3 +448,23 @@ def test_neighbours_of_odd_rows(spark):
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.neighbours(df, F.col("vec_id") % 20 == 0, top=3).collect())
     assert got == [(0, 1, 5, 2.0), (0, 2, 6, 1.0), (0, 3, 7, 1.0), (20, 1, 5, 2.0), (20, 2, 0, 1.0), (20, 3, 6, 1.0)]
     assert ann.neighbours(df.filter("false"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_shingle_sets_of_odd_texts():
+    """Sizes equal those of word tuples; equal words hash alike wherever they stand."""
+    import random
+
+    def plain(text: str) -> int:
+        words = text.encode("utf-8").lower().split()
+        k = min(5, len(words))
+        return len({tuple(words[i:i + k]) for i in range(len(words) - k + 1)}) if words else 0
+
+    rng = random.Random(1)
+    parts = ["a", "B", "\u00e9", "x1", " ", "  ", "\n", "\t", "Zz", "\x0b", "\x1c", "\x85", "w" * 5000]
+    batch = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(300)]
+    batch += ["", "   ", "q" * 1_500_000, "a b " + "q" * 900_000 + " c d e f " + "R" * 700_000 + " z",
+              "a b c d", " ".join(str(i % 977) for i in range(200_000))]
+    sets = list(jaccard_join.shingle_sets(batch))
+    assert [len(s) for s in sets] == [plain(t) for t in batch]
+    assert all((jaccard_join.shingles(t) == s).all() for t, s in zip(batch, sets, strict=True))
+    assert (jaccard_join.shingles("A B  c\tD e") == jaccard_join.shingles("a b c d e")).all()
