@@ -32,6 +32,8 @@ rows; columns beside id and text are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -326,17 +328,28 @@ def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame:
-    """The links among `pairs`: sorted arrays intersected."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    arrays = _arrays(src, nodes.join(wanted, "node", "left_semi").select("key"), width)
-    p = pairs.join(arrays.toDF("a", "sa"), "a").join(arrays.toDF("b", "sb"), "b")
+    """The links among `pairs`: sorted arrays intersected. Texts travel packed
+    and are cut into shingles where they meet: packed text is a fraction of
+    the size of its shingle hashes, which do not compress."""
+    of = nodes.select("node", "key")
+    named = pairs.select("a", "b").join(of.toDF("a", "ka"), "a").join(of.toDF("b", "kb"), "b")
+    packed = _packed(src, named.select(F.explode(F.array("ka", "kb")).alias("key")).distinct())
+    p = named.join(packed.toDF("ka", "ta"), "ka").join(packed.toDF("kb", "tb"), "kb").select("a", "b", "ta", "tb")
 
     def run(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        @lru_cache(maxsize=32)
+        def items(raw: bytes) -> np.ndarray:
+            return shingles(unpack(raw).decode("utf-8", "surrogatepass"), width)
+
         for t in batches:
             a, b = t.column("a").to_numpy(), t.column("b").to_numpy()
             keep = np.zeros(t.num_rows, bool)
-            for i, (x, y) in enumerate(zip(t.column("sa"), t.column("sb"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for i, (x, y) in enumerate(zip(t.column("ta"), t.column("tb"), strict=True)):
+                x, y = items(x.as_py()), items(y.as_py())
                 o = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = 100 * o >= percent * (len(x) + len(y) - o)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
@@ -344,10 +357,11 @@ def _verified(pairs: DataFrame, src: DataFrame, nodes: DataFrame, percent: int,
     return p.mapInArrow(run, "a bigint, b bigint")
 
 
-def _arrays(src: DataFrame, keys: DataFrame, width: int) -> DataFrame:
-    """(node, items): the shingle arrays of the documents with these keys (and
-    of a few more). A filter of FILTER_BITS bits, whatever the input's size,
-    tells a scan which documents may be wanted; the joins that follow decide."""
+def _packed(src: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, packed): the compressed texts of the documents with these keys (and
+    of a few more), one row a key. A filter of FILTER_BITS bits, whatever the
+    input's size, tells a scan which documents may be wanted; the joins that
+    follow decide."""
     at = F.pmod("key", F.lit(FILTER_BITS))
     words = (keys.select(F.floor(at / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, CAST(pmod(key, {FILTER_BITS}) % 64 AS INT))").alias("bit"))
              .groupBy("word").agg(F.bit_or("bit").alias("bits"))).toArrow()
@@ -356,14 +370,16 @@ def _arrays(src: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     sent = src.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             place = np.mod(b.column("key").to_numpy(), FILTER_BITS)
-            maybe = (sent.value[place // 64] >> (place % 64)) & 1 == 1
-            sets = list(shingle_sets(b.column("text").filter(pa.array(maybe)).to_pylist(), width))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
+            maybe = pa.array((sent.value[place // 64] >> (place % 64)) & 1 == 1)
+            found = [pack(t.encode("utf-8", "surrogatepass")) for t in b.column("text").filter(maybe).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key").filter(maybe), pa.array(found, pa.binary())], ["key", "packed"])
 
-    return src.select("key", "text").mapInArrow(run, "node bigint, items binary")
+    return src.select("key", "text").mapInArrow(run, "key bigint, packed binary").groupBy("key").agg(F.any_value("packed").alias("packed"))
 
 
 def _different(tiles: DataFrame) -> DataFrame:
