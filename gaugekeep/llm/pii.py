@@ -1,15 +1,23 @@
 """Personal data: pattern spans, and terms that give protected entities away.
 
 Patterns find emails, addresses, cards and phones (leftmost, not overlapping per
-kind). They are the protected entities. The words near a span are its context;
-the corpus tells how strongly a word t discloses an entity e:
+kind). They are the protected entities; the document is their context. The
+corpus tells how strongly a word t discloses an entity e:
 
-    p(e | t) = n(t, e) / n(t),   bits = log2(p(e | t) / (n(e) / N))
+    p(e | t) = (n(t, e) + PRIOR p(e)) / (n(t) + PRIOR),   p(e) = n(e) / N
+    bits = log2(n(t, e) / n(t) / p(e))
 
-with n(t, e) the documents that have t in a context of e, n(t) all occurrences
-of t in the corpus, n(e) the documents with e and N all documents. A word at
-or above SUPPORT documents, SHARE and BITS is a further span (kind `term`) in
-e's contexts: generalised to its kind, or removed from REMOVE_BITS on.
+with n(t, e) the documents that have both, n(t) those with t, n(e) those with e
+and N all documents, each different document counted once. The prior stands for
+a floor of support: with SHARE at one half, one document is enough for a word
+that stands nowhere else, and a word of two documents has to be in both with e.
+A word with p(e | t) >= SHARE and bits >= BITS for some e is a further span (kind
+`term`) wherever it stands in any document, outside the pattern spans:
+generalised to its kind, or removed from REMOVE_BITS on.
+
+Entities of the same documents have the same counts and are counted as one
+class, so a document of many entities has no product of words and entities.
+Slots (hashes modulo SLOTS, broadcast) only keep rows out of joins that follow.
 
 Positions are code points. A match is found with the text before it
 ("gap, then match"), so lengths add up to positions; runs are possessive and
@@ -36,17 +44,17 @@ MATCH = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-REACH = 40  # code points of context on either side
-WORD = r"[\p{L}]{3,}"
-SUPPORT, SHARE, BITS, REMOVE_BITS = 3, 0.5, 4.0, 12.0
+WORD = r"[\p{L}\p{M}\p{N}_]++"
+PRIOR, SHARE, BITS, REMOVE_BITS = 1.0, 0.5, 4.0, 12.0
+SLOTS, BUCKETS = 1 << 18, 64
 PLACED = "struct<at:int,out:array<struct<start:int,end:int,text:string>>>"
 
 
-def _placed(text: Column, pattern: str, guard: Column, offset: Column | None = None) -> Column:
+def _placed(text: Column, pattern: str, guard: Column) -> Column:
     """array<struct<start, end, text>> of the matches in a text."""
     whole = F.lit(rf"\G([\s\S]*?)({pattern})")  # each search starts where the last match ended, and only there
     pairs = F.arrays_zip(F.regexp_extract_all(text, whole, F.lit(1)).alias("gap"), F.regexp_extract_all(text, whole, F.lit(2)).alias("hit"))
-    zero = F.struct((F.lit(0) if offset is None else offset.cast("int")).alias("at"), F.array().alias("out")).cast(PLACED)
+    zero = F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(PLACED)
 
     def step(a, x):
         start = a["at"] + F.length(x["gap"])
@@ -94,44 +102,88 @@ def base_spans(src: DataFrame) -> DataFrame:
     return src.withColumn("spans", F.array_sort(F.concat(*parts))).drop(*(f"__{k}" for k in KINDS))
 
 
-def _contexts(src: DataFrame) -> DataFrame:
-    """Adds near: the words within REACH of a span, outside all spans, with the entity."""
-    def around(s):
-        left = F.greatest(s["start"] - REACH, F.lit(0))
-        before = F.substr(F.col("text"), left + 1, s["start"] - left)
-        after = F.substr(F.col("text"), s["end"] + 1, F.lit(REACH))
-        # a word cut by the edge of the context does not count
-        whole_before = _placed(before, WORD, F.lit(True), left)
-        whole_after = _placed(after, WORD, F.lit(True), s["end"])
-        words = F.concat(F.filter(whole_before, lambda w: (w["start"] > left) | (left == 0)),
-                         F.filter(whole_after, lambda w: (w["end"] < s["end"] + REACH)))
-        return F.transform(words, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.lower(w["text"]).alias("term"),
-                                                     s["kind"].alias("kind"), s["value"].alias("value")))
-    outside = F.filter(F.flatten(F.transform("spans", around)), lambda w: ~F.exists(
-        "spans", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    return src.withColumn("near", F.when(F.size("spans") > 0, outside))
-
-
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def disclosing(found: DataFrame, src: DataFrame) -> DataFrame:
-    """(term, entity, bits) above the thresholds. found: key, spans, near per document."""
-    docs = found.dropDuplicates(["k1", "k2"])
-    entity = F.xxhash64("x.kind", "x.value").alias("entity")
-    pairs = docs.select("k1", "k2", F.explode("near").alias("x")).select("k1", "k2", F.col("x.term").alias("term"), entity).distinct()
-    both = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
-    of_entity = (docs.select("k1", "k2", F.explode("spans").alias("x")).select("k1", "k2", entity).distinct()
-                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    terms = (src.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
-             .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    share = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
-    total = n.collect()[0].n
-    bits = F.log2(share * F.lit(float(total)) / F.col("n_e"))
-    return (both.join(of_entity, "entity").join(terms, "term").select("term", "entity", share.alias("share"), bits.alias("bits"))
-            .filter((F.col("share") >= SHARE) & (F.col("bits") >= BITS)).select("term", "entity", "bits"))
+def _lower(x: Column) -> Column:
+    """Lower case that a word has alone as in its text: one form of sigma."""
+    return F.replace(F.lower(x), F.lit("ς"), F.lit("σ"))
+
+
+def _classes(held: DataFrame) -> DataFrame:
+    """k1, k2, n_e, x1, x2: the classes of entities of every document; n_e, x1, x2
+    (count and hashes of a class's set of documents) name the class."""
+    each = held.select("k1", "k2", F.explode(F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], s["value"])))).alias("entity"))
+    named = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor("k1").alias("x1"), F.bit_xor("k2").alias("x2"))
+    return each.join(named, "entity").select("k1", "k2", "n_e", "x1", "x2").distinct()
+
+
+def disclosing(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, bits, n_t, n_in) above the thresholds, n_in the documents with t and
+    some entity; and (k1, k2, term) of documents with entities. docs: k1, k2,
+    spans, words of different documents."""
+    total = float(docs.count())
+    held = docs.filter(F.size("spans") > 0)
+    terms = (docs.select((F.size("spans") > 0).cast("long").alias("held"), F.explode("words").alias("term"))
+             .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"), F.sum("held").alias("n_in"))
+             .filter((F.col("n_in") > 0) & (F.col("n_t") <= total / 2**BITS)))  # n_te <= n_e: more documents have fewer bits
+    here = stored(held.select("k1", "k2", F.explode("words").alias("term")).join(terms, "term"), "pii-words")
+
+    def share(n_te: Column) -> Column:
+        return (n_te + PRIOR * F.col("n_e") / F.lit(max(total, 1.0))) / (F.col("n_t") + PRIOR)
+
+    both = (here.join(_classes(held), ["k1", "k2"]).filter(share(F.least("n_t", "n_e")) >= SHARE)
+            .groupBy("term", "n_t", "n_in", "n_e", "x1", "x2").agg(F.count(F.lit(1)).alias("n_te")))
+    bits = F.log2(F.col("n_te") / F.col("n_t") * F.lit(total) / F.col("n_e"))
+    found = (both.withColumn("bits", bits).filter((share(F.col("n_te")) >= SHARE) & (F.col("bits") >= BITS))
+             .groupBy("term", "n_t", "n_in").agg(F.max("bits").alias("bits")))
+    return stored(found, "pii-terms"), here.select("k1", "k2", "term")
+
+
+def _slots(x: DataFrame, name: str) -> DataFrame:
+    return F.broadcast(x.select(F.pmod(F.xxhash64(name), F.lit(SLOTS)).alias("slot")).distinct())
+
+
+def _in_slots(x: DataFrame, slots: DataFrame, name: str) -> DataFrame:
+    return x.withColumn("slot", F.pmod(F.xxhash64(name), F.lit(SLOTS))).join(slots, "slot", "left_semi").drop("slot")
+
+
+def _bucket(x: Column) -> Column:
+    return F.pmod(F.hash(x), F.lit(BUCKETS))
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """k1, k2, spans, buckets, gone: a document's terms by bucket, and those to be removed."""
+    terms, here = disclosing(docs)
+    wide = terms.filter("n_t > n_in")  # the others stand in no document without entities
+    rest = _in_slots(docs.filter(F.size("spans") == 0).select("k1", "k2", F.explode("words").alias("term")), _slots(wide, "term"), "term")
+    found = here.join(terms, "term").select("k1", "k2", "term", "bits").union(rest.join(wide, "term").select("k1", "k2", "term", "bits"))
+    by_bucket = found.groupBy("k1", "k2", _bucket(F.col("term")).alias("b")).agg(
+        F.collect_list("term").alias("terms"), F.collect_list(F.when(F.col("bits") >= REMOVE_BITS, F.col("term"))).alias("gone"))
+    whole = by_bucket.groupBy("k1", "k2").agg(F.map_from_entries(F.collect_list(F.struct("b", "terms"))).alias("m"), F.flatten(F.collect_list("gone")).alias("gone"))
+    buckets = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.coalesce(F.col("m")[b], F.array().cast("array<string>")))
+    return whole.join(docs.select("k1", "k2", "spans"), ["k1", "k2"]).select("k1", "k2", "spans", buckets.alias("buckets"), "gone")
+
+
+def _added() -> Column:
+    """The places of the terms (`buckets`, by hash) in `text`, outside `spans`. These have to be
+    columns of a table: an expression in their place would be evaluated again for every word."""
+    whole = F.lit(rf"\G([\s\S]*?)({WORD})")
+    pairs = F.arrays_zip(F.regexp_extract_all("text", whole, F.lit(1)).alias("gap"), F.regexp_extract_all("text", whole, F.lit(2)).alias("hit"))
+    pairs = F.transform(pairs, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), _lower(x["hit"]).alias("word")))
+    pairs = F.transform(pairs, lambda x: F.struct(x["gap"].alias("gap"), x["hit"].alias("hit"), x["word"].alias("word"), F.array_contains(
+        F.element_at("buckets", _bucket(x["word"]) + 1), x["word"]).alias("marked")))
+
+    def step(a, x):  # places as text: an array in the state would be copied for every word
+        place = F.concat_ws(":", (a["at"] + x["gap"]).cast("string"), (a["at"] + x["gap"] + x["hit"]).cast("string"), F.array_contains("gone", x["word"]).cast("string"))
+        return F.struct((a["at"] + x["gap"] + x["hit"]).alias("at"), F.when(x["marked"], F.concat(a["out"], place, F.lit(","))).otherwise(a["out"]).alias("out")).cast("struct<at:int,out:string>")
+
+    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast("struct<at:int,out:string>"), step, lambda a: a["out"])
+    places = F.transform(F.filter(F.split(found, ","), lambda x: x != ""), lambda x: F.split(x, ":"))
+    places = F.transform(places, lambda x: F.struct(x[0].cast("int").alias("start"), F.lit(len(KINDS)).alias("ord"), F.lit("term").alias("kind"),
+                                                    x[1].cast("int").alias("end"), x[2].cast("boolean").alias("gone")))
+    return F.filter(places, lambda w: ~F.exists("spans", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
 
 
 def _keyed(src: DataFrame) -> DataFrame:
@@ -142,13 +194,14 @@ def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """k1, k2 (document key), doc_id, spans (base), added (terms, with `gone`
     true where the term is to be removed rather than generalised)."""
     src = _keyed(texts(docs, id_col, text_col))
-    found = stored(_contexts(base_spans(src)).select("k1", "k2", "doc_id", "spans", "near"), "pii-spans")
-    words = (found.select("k1", "k2", F.explode("near").alias("x"))
-             .select("k1", "k2", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.col("x.term").alias("term"),
-                     F.xxhash64("x.kind", "x.value").alias("entity")))
-    terms = words.join(disclosing(found, src), ["term", "entity"]).groupBy("k1", "k2", "start", "end").agg(F.max("bits").alias("bits"))
-    added = terms.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct(
-        "start", F.lit(len(KINDS)).alias("ord"), F.lit("term").alias("kind"), "end", (F.col("bits") >= REMOVE_BITS).alias("gone")))).alias("added"))
+    words = F.array_distinct(F.regexp_extract_all(_lower(F.col("text")), F.lit(WORD), F.lit(0)))
+    found = stored(base_spans(src).select("k1", "k2", "doc_id", "spans", words.alias("words")), "pii-spans")
+    once = found.select("k1", "k2", "spans", "words")
+    if not found.groupBy("k1", "k2").count().filter("count > 1").isEmpty():
+        once = once.dropDuplicates(["k1", "k2"])
+    marked = stored(_marked(once), "pii-marked")
+    places = _in_slots(src, _slots(marked, "k1"), "k1").join(marked, ["k1", "k2"])
+    added = places.select("k1", "k2", _added().alias("added")).dropDuplicates(["k1", "k2"])
     return found.select("k1", "k2", "doc_id", "spans").join(added, ["k1", "k2"], "left")
 
 

@@ -322,6 +322,29 @@ def test_pii_terms(spark):
     assert "zor" not in clean[0].lower() and "[email]" in clean[0]
 
 
+def test_pii_terms_on_given_documents(docs):
+    """Every marked word against counts by hand, on documents whose entities stand in one or two."""
+    rows = sorted(set(pairs(docs)))
+    words, held = {}, {}
+    for k, (_, t) in enumerate(rows):
+        for w in {w for w in re.findall(r"\w+", t.lower())}:
+            words.setdefault(w, set()).add(k)
+        for kind, a, b in base_by_force(t):
+            held.setdefault((kind, t[a:b].lower()), set()).add(k)
+    n, strong = len(rows), {}
+    for e in held.values():
+        for w in {w for k in e for w in re.findall(r"\w+", rows[k][1].lower())}:
+            both, of_w = len(words[w] & e), len(words[w])
+            if (both + len(e) / n) / (of_w + 1) >= 0.5 and both / of_w * n / len(e) >= 16:
+                strong[w] = True
+    want = []
+    for i, t in rows:
+        spans = base_by_force(t)
+        want += [(i, m.start(), m.end()) for m in re.finditer(r"\w+", t) if m[0].lower() in strong and not any(a < m.end() and m.start() < b for _, a, b in spans)]
+    got = [(r.doc_id, *map(int, x.split(":")[1:])) for r in pii.find_pii(docs).collect() for x in r.spans.split(",") if x.startswith("term:")]
+    assert want and key(set(got)) == key(set(want))
+
+
 def test_pii_keeps_columns(odd_docs):
     out = pii.sanitised(odd_docs)
     assert out.columns == odd_docs.columns and key(map(tuple, out.collect())) == key(map(tuple, odd_docs.collect()))
