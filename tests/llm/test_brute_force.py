@@ -322,6 +322,20 @@ def test_pii_terms(spark):
     assert "zor" not in clean[0].lower() and "[email]" in clean[0]
 
 
+def test_pii_terms_of_single_documents(spark):
+    """Entities of one document; terms at the head, short, with digits, in other documents."""
+    rows = [(i, f"nothing of note stands here and there, {'der' if i % 2 else 'die'}") for i in range(60)]
+    rows += [(60, "Qo wrote first. " + "nothing of note " * 30 + "one@mail.example.org and there. " + "here " * 30 + "usr77 qo"),
+             (61, "Vex nothing two@mail.example.org"), (62, "here, vex: two@mail.example.org"), (63, "nothing of VEX here"),
+             (64, "pair of three@mail.example.org"), (65, "pair and there")]
+    df = spark.createDataFrame(rows + [rows[60]] * 5, "doc_id long, text string")  # repeated rows count once
+    got = {r.doc_id: [x.split(":")[1:] for x in r.spans.split(",") if x.startswith("term:")] for r in check_pii(df)}
+    terms = {i: [dict(rows)[i][int(a):int(b)] for a, b in x] for i, x in got.items() if x}
+    assert terms == {60: ["Qo", "wrote", "first", "usr77", "qo"], 61: ["Vex"], 62: ["vex"], 63: ["VEX"]}
+    clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert clean[63] == "nothing of [term] here" and clean[65] == "pair and there" and clean[60].startswith("[term] [term] [term]. nothing")
+
+
 def test_pii_terms_on_given_documents(docs):
     """Every marked word against counts by hand, on documents whose entities stand in one or two."""
     rows = sorted(set(pairs(docs)))
