@@ -379,6 +379,16 @@ def test_toxicity(spark):
     assert right > 0.93
 
 
+def test_toxicity_calibrates_on_different_texts(spark, monkeypatch):
+    """Copies of one text do not fill the calibration sample."""
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 20)
+    docs = spark.createDataFrame([(i, ("a calm and kind day", "you vile moron there")[i % 2]) for i in range(400)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    model = toxicity.train(docs, labels)
+    assert model.weights is not None
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.scored(docs, model).collect())
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 0), (8, 1), (9, 0), (None, 1), (3, None), (5, 1), (2, 0)], "doc_id long, toxic int")
     for df in (odd_docs, no_docs):
