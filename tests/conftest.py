@@ -10,8 +10,6 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from gaugekeep.session import REQUIRED_CONF  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

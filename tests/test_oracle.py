@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, digest
 
-from conftest import SF_SMALL
+from sample_paths import SF_SMALL
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()

@@ -7,9 +7,9 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from sample_paths import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = E._own_queries()
 
 
 def _plan(df):
@@ -21,7 +21,7 @@ def _plan(df):
 def test_no_cartesian_no_python(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-                "FlatMapGroupsInPandas", "MapInPandas"):
+                "FlatMapGroupsInPandas", "MapInPandas", "FlatMapGroupsInArrow", "MapInArrow"):
         assert bad not in plan, f"{name}: {bad}"
 
 

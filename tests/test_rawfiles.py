@@ -109,7 +109,7 @@ def test_chunked_files_equal_whole_files(spark):
     """Tiny chunks (3 lines) and one chunk per file give the same readings,
     line numbers and file statistics."""
     from gaugekeep.sources import stand_ins as si
-    from conftest import SF_SMALL
+    from sample_paths import SF_SMALL
 
     def rows(k):
         t = raw_file_table(si.raw_files(spark, SF_SMALL, emptied_every=5, lines_per_chunk=k))
@@ -188,7 +188,7 @@ def test_stand_in_chunks_are_bounded(spark):
     """However many readings a station has, no chunk exceeds the bound."""
     from pyspark.sql import functions as F
     from gaugekeep.sources import stand_ins as si
-    from conftest import SF_SMALL
+    from sample_paths import SF_SMALL
     files = si.raw_files(spark, SF_SMALL, lines_per_chunk=5)
     data = files.filter("first_line > 10").select(F.size(F.split("text", "\n")).alias("n"))
     assert data.agg(F.max("n")).first()[0] <= 5

@@ -14,7 +14,7 @@ from gaugekeep.sources.csvfiles import read_master_csv, read_pub_status
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.plans.freshness import freshness, freshness_report
 
-from conftest import SF_SMALL
+from sample_paths import SF_SMALL
 
 
 def test_reset_integrate_update_cycle(spark, scratch):

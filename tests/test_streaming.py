@@ -10,7 +10,7 @@ from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.streaming.realtime_stream import realtime_stream
 
-from conftest import SF_SMALL
+from sample_paths import SF_SMALL
 
 
 def _to_readings(events):
