@@ -28,7 +28,7 @@ from gaugekeep.plans.archive_check import empty_archive_tables, missing_archive_
 from gaugekeep.plans.freshness import freshness
 from gaugekeep.plans.integrate import integrate_publication
 from gaugekeep.plans.manifest import download_manifest
-from gaugekeep.plans.masters import masters
+from gaugekeep.plans.masters import masters_from_folder
 from gaugekeep.plans.realtime import realtime_update_rows, split_parameter, updates
 from gaugekeep.plans.release import release_changed, release_stamps
 from gaugekeep.plans.reset import reset_tables
@@ -36,7 +36,9 @@ from gaugekeep.plans.station_report import station_report
 from gaugekeep.plans.update import pub_status_rows
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
+from gaugekeep.session import apply_conf, scratch_dir
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
+from gaugekeep.sources.rawlines import read_raw_lines
 
 try:  # the training-data operators are an addition: without them the rest works
     import corpus_pipeline
@@ -53,6 +55,8 @@ SAMPLE_N, SAMPLE_SEED = 100, 42
 STORED_STAMP = "20240115"
 EMPTIED_EVERY = 5
 DAILY_DIGITS = 4
+# Large raw files: all readings in the files of so many stations, read in about so many splits.
+LARGE_FILE_STATIONS, SPLITS = 8, 200
 # Tables the stand-in archive is expected to hold: the driver's tables plus a
 # release `version` table that it does not ship.
 EXPECTED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -148,6 +152,47 @@ def _raw_stats(spark, d, emptied=None):
     return raw_file_stats(raw_file_table(si.raw_files(spark, d, emptied)))
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _on_disk(spark, d, **kw):
+    """Station files written to a folder beside the checkpoints, once a session."""
+    key = (spark.sparkContext.applicationId, d, *sorted(kw.items()))
+    if key not in _WRITTEN:
+        root = scratch_dir(spark, "raw-files")
+        si.write_raw_files(spark, d, root, **kw)
+        _WRITTEN[key] = root
+    return _WRITTEN[key]
+
+
+def _raw_file_parse(spark, d):
+    return raw_readings(read_raw_lines(spark, si.raw_paths(_on_disk(spark, d)), si.raw_name))
+
+
+def _raw_lines_split(spark, d):
+    """Few large files, cut into splits of a fraction of a file (a session of its
+    own holds the split size, so that no other query gets it)."""
+    root = _on_disk(spark, d, stations=LARGE_FILE_STATIONS)
+    own = spark.newSession()
+    apply_conf(own)
+    size = own.read.format("binaryFile").load(si.raw_paths(root)).agg(F.sum("length").alias("n")).first().n or 0
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(max(64, size // SPLITS)))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return raw_readings(read_raw_lines(own, si.raw_paths(root), si.raw_name))
+
+
+def _masters(spark, d):
+    return _r4(masters_from_folder(spark, _on_disk(spark, d), "*/*/*.txt", si.raw_name))
+
+
+def _masters_newest_file(spark, d):
+    """D6 by the listing: every station has an older file of each variable (a
+    heading that sorts before the other) with readings that must not count."""
+    root = _on_disk(spark, d, older=True)
+    return _r4(masters_from_folder(spark, root, "*/*/*.txt", si.raw_name))
+
+
 def _report(spark, d, key):
     return station_report(_stations(spark, d), si.raw_files(spark, d, EMPTIED_EVERY))[key]
 
@@ -201,7 +246,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "station_metadata": lambda s, d: _flat(station_metadata(_stations(s, d), PROVINCE_ASKED)),
         "active_stations": lambda s, d: _flat(station_order(active_stations(_stations(s, d)))),
         "station_lonlat": lambda s, d: flatten_point(_stations(s, d)),
-        "raw_file_parse": lambda s, d: raw_readings(raw_file_table(si.raw_files(s, d))),
+        "raw_file_parse": _raw_file_parse,
+        "raw_lines_split": _raw_lines_split,
         "stored_since": lambda s, d: stored_since(si.daily(s, d), SINCE),
         # sinks / merges
         "append_new": _append_new,
@@ -234,7 +280,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_tables": lambda s, d: missing_archive_tables(s, d, EXPECTED_TABLES),
         "empty_tables": lambda s, d: empty_archive_tables(s, d),
         # composite jobs
-        "masters": lambda s, d: _r4(masters(si.raw_files(s, d))),
+        "masters": _masters,
+        "masters_newest_file": _masters_newest_file,
         "release_stamp": lambda s, d: release_stamps(si.listing(s, d)),
         "pub_status_row": _pub_status,
         "empty_views": _empty_views,
@@ -366,6 +413,14 @@ def _own_oracle_sql() -> dict[str, str]:
         r.ts AS "Date", r.Parameter, r.Value, 'Provisional' AS Approval,
         CASE WHEN r.user_id % 2 = 0 THEN r.Grade END AS Grade
       FROM readings r JOIN headings h ON r.Parameter = h.Parameter"""
+    large_station = f"'08' || lpad(CAST(r.user_id % {LARGE_FILE_STATIONS} AS VARCHAR), 5, '0')"
+    raw_split = f"""SELECT {large_station} AS STATION_NUMBER, {_variable_sql("h.heading || '.csv'")} AS variable,
+        h.heading || '.csv' AS file_name,
+        CAST(10 + row_number() OVER (PARTITION BY r.user_id % {LARGE_FILE_STATIONS}, r.Parameter ORDER BY r.event_id) AS INTEGER)
+          AS line_no,
+        r.ts AS "Date", r.Parameter, r.Value, 'Provisional' AS Approval,
+        CASE WHEN r.user_id % 2 = 0 THEN r.Grade END AS Grade
+      FROM readings r JOIN headings h ON r.Parameter = h.Parameter"""
     masters_sql = f"""SELECT {_variable_sql("h.heading || '.csv'")} AS variable, r.STATION_NUMBER, r.d AS "Date",
         {_label_sql(_variable_sql("h.heading || '.csv'"))} AS Parameter,
         round(avg(r.Value), 4) AS Value, 'Provisional' AS Approval,
@@ -392,6 +447,7 @@ def _own_oracle_sql() -> dict[str, str]:
             CAST(-120 - c_custkey % 10 AS DOUBLE) AS longitude, CAST(49 + c_custkey % 11 AS DOUBLE) AS latitude
             FROM stations"""),
         "raw_file_parse": _q(raw_parse),
+        "raw_lines_split": _q(raw_split),
         "stored_since": _q("""SELECT * FROM daily WHERE "Date" >= DATE '2024-01-10'"""),
         "append_new": _q("""SELECT * FROM published WHERE Parameter = 'Flow'
             UNION ALL SELECT n.*, CAST(NULL AS BIGINT) AS user_id FROM (""" + _new_sql("Flow") + ") n"),
@@ -454,6 +510,7 @@ def _own_oracle_sql() -> dict[str, str]:
             EXCEPT SELECT table_name FROM information_schema.tables""",
         "empty_tables": _empty_tables_sql(),
         "masters": _q(masters_sql),
+        "masters_newest_file": _q(masters_sql),
         "release_stamp": _q(f"SELECT page_id, {stamp} AS release_stamp FROM listing"),
         "pub_status_row": _q(f"""SELECT 'Hydat_sqlite3_' || s || '.zip' AS filename,
             'archive/Hydat_sqlite3_' || s || '.zip' AS path, CAST(strptime(s, '%Y%m%d') AS TIMESTAMP) AS pub_dttm,

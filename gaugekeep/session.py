@@ -28,10 +28,13 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     shuffle partition count is sized so that a shuffle of the whole input
     (C2's anti-join) still gets partitions of that size, and AQE coalesces it
     for the small shuffles (partial aggregates, 30-day windows). Broadcasts
-    stay behind AQE's measured-size check; skewed join partitions are split."""
+    stay behind AQE's measured-size check; skewed join partitions are split.
+    Files are cut alike however many executors there are at the moment, which
+    readers in two passes (sources.rawlines) need."""
     n = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.minPartitionNum": str(n),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),

@@ -5,6 +5,7 @@ Plan shape: one row per file (or per chunk of a file), the header resolved
 per row with array expressions, the data lines exploded with their line
 number and split into cells once. No shuffle and no join: every file is
 handled inside the task that reads it, files are spread over all tasks.
+Files of any size are read line by line (rawlines).
 
 CSV cells: RFC 4180 quoting (a quote inside a quoted cell is doubled), no
 line breaks inside quotes. A line without a quote character is split on
@@ -44,50 +45,17 @@ def read_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") ->
     URL-encoded; '+' is protected before decoding so it is not read as a
     space."""
     df = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
-    return df.select(_decode_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("text"))
+    return df.select(decode_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value").alias("text"))
 
 
 def read_raw_listing(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
     """The paths of the raw files only (binaryFile source: the content column
     is never read when it is not selected)."""
     df = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}")
-    return df.select(_decode_path(F.col("path")).alias("file_path"))
-
-
-def read_raw_chunks(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
-    """(file_path, first_line, header, text) for raw files of any size.
-
-    The files are read in line mode, so Spark splits a large file over many
-    tasks. Lines are gathered per file split (a chunk bounded by the split
-    size) in their order within the split; a chunk's first line number is a
-    running sum of the line counts of the earlier splits of its file, and its
-    header is line 10 of the file. Both come from a window over one small row
-    per split (count and first 10 lines), joined back on the split key, which
-    is unique, so a very large file spreads over many partitions. Costs one
-    shuffle of the text; use read_raw_files for ordinary station files."""
-    lines = spark.read.text(f"{root.rstrip('/')}/{pattern}").select(
-        _decode_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        F.col("value").alias("line"))
-    # one aggregate feeds both the text and the metadata, so its shuffle is
-    # computed once and reused
-    blocks = lines.groupBy("file_path", "block").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("__l"))
-    blocks = blocks.select("file_path", "block", F.size("__l").alias("n"),
-                           F.transform(F.slice("__l", 1, HEADER_LINE), lambda x: x["line"]).alias("head"),
-                           F.array_join(F.transform("__l", lambda x: x["line"]), "\n").alias("text"))
-    before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    meta = blocks.select("file_path", "block", "n", "head").withColumn(
-        "first_line", (F.lit(1) + F.coalesce(F.sum("n").over(before), F.lit(0))).cast("int"))
-    at = F.lit(HEADER_LINE + 1) - F.col("first_line")
-    candidate = F.when((at >= 1) & (at <= F.col("n")), F.try_element_at("head", at))
-    meta = meta.withColumn("header", F.max(candidate).over(Window.partitionBy("file_path")))
-    return (blocks.join(meta.select("file_path", "block", "first_line", "header"), ["file_path", "block"])
-            .select("file_path", "first_line", "header", "text"))
-
-
-def _decode_path(path: Column) -> Column:
+    return df.select(decode_path(F.col("path")).alias("file_path"))
+
+
+def decode_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
@@ -100,12 +68,24 @@ def newest_files(listing: DataFrame, path_col: str = "file_path") -> DataFrame:
     return t.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
 
 
+def newest_paths(listing: DataFrame, path_col: str = "file_path", name=None) -> DataFrame:
+    """D6 on the listing: the paths of the files that count, so that no byte of a
+    superseded one is read. `name`: see read_raw_lines."""
+    path = F.col(path_col)
+    files = listing.select(path.alias("path"), (name(path) if name else path).alias("file_path"))
+    parts = F.split(F.col("file_path"), "/")
+    files = files.select("path", F.try_element_at(parts, F.lit(-2)).alias(STATION), F.element_at(parts, -1).alias("file_name"))
+    files = files.withColumn("variable", variable_name("file_name"))
+    last = Window.partitionBy(STATION, "variable").orderBy(F.desc("file_name"))
+    return files.withColumn("__k", F.rank().over(last)).filter("__k = 1").select("path")
+
+
 def _indices(names: Column, pred) -> Column:
     """0-based positions of the header names matching `pred`."""
     return F.filter(F.transform(names, lambda c, i: F.when(pred(c), i)), lambda x: x.isNotNull())
 
 
-def _resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFrame:
+def resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFrame:
     """Parse a header line once and resolve the positions of Date,
     Parameter, Value, Approval, Grade (RESOLVE_SPEC). Adds hdr, header_ok and
     i_<name> (0-based) to the columns in `keep`."""
@@ -125,7 +105,7 @@ def _resolve_header(df: DataFrame, header_col: str, keep: list[str]) -> DataFram
                        *[F.try_element_at(F.col(f"__ix_{t}"), F.lit(1)).alias(f"i_{t}") for t in found])
 
 
-_HEADER_INFO = ["hdr", "header_ok"] + [f"i_{t}" for t, _ in RESOLVE_SPEC]
+HEADER_INFO = ["hdr", "header_ok"] + [f"i_{t}" for t, _ in RESOLVE_SPEC]
 
 
 def _data_lines(lines: Column, first_line: Column) -> Column:
@@ -147,7 +127,11 @@ def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str
     consecutive lines of a file starting at line `first_line_col` (1-based)
     and carries the file's header line, so a file of any size is spread over
     bounded rows and every chunk is parsed on its own: no join, no shuffle.
-    One row per chunk; raw_file_stats sums the chunks of a file."""
+    One row per chunk; raw_file_stats sums the chunks of a file.
+
+    A table that is one already (read_raw_lines) is returned as it is."""
+    if "lines" in files.columns:
+        return files
     parts = F.split(F.col(path_col), "/")
     ident = [F.col(path_col).alias("file_path"), F.try_element_at(parts, F.lit(-2)).alias(STATION),
              F.element_at(parts, -1).alias("file_name")]
@@ -161,9 +145,9 @@ def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str
         step = files.select(*ident, lines)
         step = step.select(*base, F.try_element_at(F.col("__lines"), F.lit(HEADER_LINE)).alias("__header"),
                            _data_lines(F.col("__lines"), F.lit(1)).alias("lines"))
-    step = _resolve_header(step, "__header", base + ["lines"]).withColumn("variable", variable_name("file_name"))
-    return step.select(*base, "variable", *_HEADER_INFO[:2], F.size("lines").alias("n_rows"),
-                       *_HEADER_INFO[2:], "lines")
+    step = resolve_header(step, "__header", base + ["lines"]).withColumn("variable", variable_name("file_name"))
+    return step.select(*base, "variable", *HEADER_INFO[:2], F.size("lines").alias("n_rows"),
+                       *HEADER_INFO[2:], "lines")
 
 
 def raw_file_stats(table: DataFrame) -> DataFrame:
@@ -200,13 +184,13 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
     # Each line is split inside the generator: a later filter on a parsed
     # field stops at the Generate and cannot inline (repeat) the split.
     cells_of = F.transform("lines", lambda x: F.struct(x["line_no"].alias("line_no"),
-                                                       split_csv_line(x["line"]).alias("cells")))
+                                                       F.transform(split_csv_line(x["line"]), lambda c: F.trim(c)).alias("cells")))
     exploded = table.select(*keep, F.explode(F.when(F.col("header_ok"), cells_of)).alias("__l"))
     parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"), F.col("__l.cells").alias("__cells"))
     cells = F.col("__cells")
 
     def pick(target: str) -> Column:
-        return _na(unquote(F.trim(F.try_element_at(cells, F.col(f"i_{target}") + 1))))
+        return _na(unquote(F.try_element_at(cells, F.col(f"i_{target}") + 1)))
 
     cols = [
         F.col(STATION), F.col("variable"), F.col("file_name"), F.col("line_no"),

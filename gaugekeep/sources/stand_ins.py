@@ -31,6 +31,9 @@ OTHER_PARAMETER = "Air Temperature"
 PARAMETER_HEADING = [("Flow", "Discharge"), ("Level", "Water level (unit values)"),
                      ("Water Temperature", "Water temperature"), ("Precipitation", "Precipitation"),
                      ("Air Temperature", "Air temperature")]
+# Headings of the same variables that come before those above in the order of names.
+OLDER_HEADING = [("Discharge", "Daily Flow"), ("Water level (unit values)", "Water Level (unit values)"),
+                 ("Water temperature", "Temperature"), ("Precipitation", "Precip Total"), ("Air temperature", "Air Temp")]
 EVEN_HEADER = "Date (PST),Parameter,Value (m3/s),Approval,Grade"
 ODD_HEADER = "Parameter,Date (PST),Approval,Value (m)"
 RAW_APPROVAL = "Provisional"
@@ -131,7 +134,7 @@ def _csv_quote(c: Column) -> Column:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV line per reading, in the layout of its station's files."""
+    """One CSV line per reading, in the layout of its station's files (which `user_id` decides)."""
     r = readings(spark, sf_dir)
     even = F.col("user_id") % 2 == 0
     ts_txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -142,6 +145,46 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(STATION, "user_id", PARAMETER, heading.alias("heading"), "event_id", line.alias("line"))
 
 
+def _file_heads() -> Column:
+    """Preamble and header of a station file: its first ten lines."""
+    even = F.col("user_id") % 2 == 0
+    return F.array(F.concat(F.lit("Station,"), F.col(STATION)), F.concat(F.lit("Variable,"), F.col("heading")),
+                   F.lit("Source,stand-in made from events"), F.lit("Time zone,PST"),
+                   F.lit("Approval,\"Provisional, subject to revision\""), F.lit("Grade,see legend"), F.lit("Units,see header"),
+                   F.lit("Notes,none"), F.lit("#"), F.when(even, F.lit(EVEN_HEADER)).otherwise(F.lit(ODD_HEADER)))
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str, root: str, stations: int | None = None,
+                    emptied_every: int | None = None, older: bool = False) -> None:
+    """The station files of raw_files on disk, one file per station and heading
+    (folders named by them, see raw_name). `stations`: the readings of all stations
+    are dealt out to so many, of even and odd layout, which makes larger files.
+    `older`: every file has an older one of the same variable, with the same
+    readings but without a header, so that picking it would lose rows."""
+    lines = raw_lines(spark, sf_dir)
+    if stations:
+        lines = lines.withColumn("user_id", F.col("user_id") % stations).withColumn(STATION, station_id(F.col("user_id")))
+    group = [STATION, "user_id", "heading"]
+    heads = lines.select(*group).distinct().select(*group, F.posexplode(_file_heads()).alias("ord", "line"))
+    if emptied_every:
+        lines = lines.filter(F.col("user_id") % emptied_every != 0)
+    body = lines.select(*group, (F.col("event_id") + RAW_PREAMBLE_LINES + 1).alias("ord"), "line")
+    rows = heads.withColumn("ord", F.col("ord").cast("long")).unionByName(body)
+    if older:
+        rows = rows.unionByName(rows.filter(F.col("ord") > RAW_PREAMBLE_LINES).withColumn("heading", _mapping(F.col("heading"), OLDER_HEADING)))
+    rows = rows.repartition(STATION, "heading").sortWithinPartitions(STATION, "heading", "ord")
+    rows.select(STATION, "heading", F.col("line").alias("value")).write.partitionBy(STATION, "heading").text(root)
+
+
+def raw_paths(root: str) -> str:
+    return f"{root.rstrip('/')}/*/*/*.txt"
+
+
+def raw_name(path: Column) -> Column:
+    """`.../<station>/<heading>.csv` of a file that write_raw_files wrote."""
+    return F.regexp_replace(path, f"{STATION}=([^/]+)/heading=([^/]+)/[^/]+$", "$1/$2.csv")
+
+
 def raw_files(spark: SparkSession, sf_dir: str, emptied_every: int | None = None,
               lines_per_chunk: int = 4096) -> DataFrame:
     """(file_path, first_line, header, text): one file per (station, parameter) at

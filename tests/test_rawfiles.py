@@ -7,7 +7,8 @@ from gaugekeep.operators.reports import empty_stations
 from gaugekeep.plans.masters import masters, scraped_tables
 from gaugekeep.plans.station_report import station_report, unreadable_rows
 from gaugekeep.sources.rawfiles import (newest_files, raw_file_stats, raw_file_table, raw_readings,
-                                        read_raw_chunks, read_raw_files, read_raw_listing)
+                                        read_raw_files, read_raw_listing)
+from gaugekeep.sources.rawlines import read_raw_lines
 
 PRE = "\n".join(f"pre {i}, x" for i in range(9))
 
@@ -124,7 +125,7 @@ def test_chunked_files_equal_whole_files(spark):
     assert len(small[0]) == kept
 
 
-def test_line_mode_chunks_equal_whole_files(spark, scratch):
+def test_lines_equal_whole_files(spark, scratch):
     """Files split over many tasks (tiny split size) give the same readings,
     line numbers and statistics as whole-file reads."""
     _files(scratch)
@@ -142,9 +143,9 @@ def test_line_mode_chunks_equal_whole_files(spark, scratch):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        chunks = read_raw_chunks(spark, scratch)
-        assert chunks.select("file_path", "first_line").distinct().count() > 20   # really split
-        got = rows(chunks)
+        lines = spark.read.text(scratch + "/*/*.csv").select("_metadata.file_path", "_metadata.file_block_start")
+        assert lines.distinct().count() > 20   # really split
+        got = rows(read_raw_lines(spark, scratch + "/*/*.csv"))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
@@ -213,8 +214,8 @@ def test_earlier_scraped_row_wins_within_a_file(spark, scratch):
     assert "__order" not in nf.columns
 
 
-def test_jobs_on_line_mode_chunks(spark, scratch):
-    """C4 and C5 give the same results from split chunks as from whole files."""
+def test_jobs_on_lines(spark, scratch):
+    """C4 and C5 give the same results from lines of split files as from whole files."""
     _files(scratch)
     stations = spark.createDataFrame([(s, "ACTIVE") for s in ("08AA001", "08AA002", "08AA003", "08AA004")],
                                      "STATION_NUMBER string, STATION_OPERATING_STATUS string")
@@ -229,8 +230,88 @@ def test_jobs_on_line_mode_chunks(spark, scratch):
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
-        got = run(read_raw_chunks(spark, scratch))
+        got = run(read_raw_lines(spark, scratch + "/*/*.csv"))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
     assert got == expected
+
+
+def _small_splits(spark, size):
+    return {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+
+
+def _with(spark, conf, job):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return job()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_headers_at_any_place(spark, scratch):
+    """Splits of a few bytes: the header lies in a later split, its text also in
+    the preamble and among the data; carriage returns, no last line end."""
+    head = "Date,Parameter,Value,Other"
+    os.makedirs(scratch + "/s1")
+    text = [head, "p", head, "", "p", "p", "p", "p", "p", head, "2024-01-01,47,1.0, a ", head, "2024-01-02,47,2.0,\" b \""]
+    with open(scratch + "/s1/Discharge.csv", "w", newline="") as f:
+        f.write("\r\n".join(text))
+    os.makedirs(scratch + "/s2")
+    with open(scratch + "/s2/Flow.csv", "w") as f:  # a header on line 9 is none
+        f.write("\n".join(text[1:]))
+    os.makedirs(scratch + "/s3")
+    open(scratch + "/s3/Empty.csv", "w").close()
+
+    def rows(table):
+        return (sorted(map(repr, raw_readings(table, keep_extra=True).collect())),
+                sorted(map(repr, raw_file_stats(table).filter("file_name <> 'Empty.csv'").collect())))
+
+    want = rows(raw_file_table(read_raw_files(spark, scratch)))
+    assert len(want[0]) == 3 and any("value='a'" in r for r in want[0])
+    for size in (16, 50, 10_000):
+        assert _with(spark, _small_splits(spark, size), lambda: rows(read_raw_lines(spark, scratch + "/*/*.csv"))) == want
+
+
+def test_other_cuts_between_the_passes_fail(spark, scratch):
+    import pytest
+    _files(scratch)
+    table = _with(spark, _small_splits(spark, 64), lambda: read_raw_lines(spark, scratch + "/*/*.csv"))
+    with pytest.raises(Exception, match="cut otherwise"):
+        table.collect()
+
+
+def test_lines_are_not_shuffled(spark, scratch):
+    _files(scratch)
+    table = read_raw_lines(spark, scratch + "/*/*.csv")
+    df = raw_readings(table)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "collect_list" not in plan
+    assert "SortAggregate" not in plan
+
+
+def test_written_station_files(spark, scratch):
+    """The stand-in's files on disk hold what its chunks in memory hold."""
+    from gaugekeep.sources import stand_ins as si
+    from sample_paths import SF_SMALL
+    si.write_raw_files(spark, SF_SMALL, scratch + "/raw")
+    disk = raw_readings(read_raw_lines(spark, si.raw_paths(scratch + "/raw"), si.raw_name))
+    memory = raw_readings(raw_file_table(si.raw_files(spark, SF_SMALL)))
+    assert sorted(map(repr, disk.collect())) == sorted(map(repr, memory.collect()))
+
+
+def test_superseded_files_are_never_opened(spark, scratch):
+    from gaugekeep.plans.masters import masters_from_folder, read_newest
+    _files(scratch)
+    _write(scratch, "08BB001", "Discharge [a].csv", "Date,Parameter,Value", ["2024-01-01,1,1.0"])
+    _write(scratch, "08BB001", "Flow {b}?.csv", "Date,Parameter,Value", ["2024-01-02,1,5.0"])
+    table = read_newest(spark, scratch)
+    opened = {f.rsplit("/", 1)[1] for f in table.inputFiles() if "08BB001" in f}
+    assert len(opened) == 1 and "Flow" in opened.pop()
+    want = masters(read_raw_files(spark, scratch), keep_extra=True).collect()
+    assert sorted(map(repr, masters_from_folder(spark, scratch, keep_extra=True).collect())) == sorted(map(repr, want))
+    assert [r.Value for r in want if r.STATION_NUMBER == "08BB001"] == [5.0]
