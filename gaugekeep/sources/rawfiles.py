@@ -129,8 +129,8 @@ def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str
     bounded rows and every chunk is parsed on its own: no join, no shuffle.
     One row per chunk; raw_file_stats sums the chunks of a file.
 
-    A table that is one already (read_raw_lines) is returned as it is."""
-    if "lines" in files.columns:
+    A table of lines (read_raw_lines) is returned as it is."""
+    if "line" in files.columns:
         return files
     parts = F.split(F.col(path_col), "/")
     ident = [F.col(path_col).alias("file_path"), F.try_element_at(parts, F.lit(-2)).alias(STATION),
@@ -183,14 +183,19 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
         keep.append("hdr")
     # Each line is split inside the generator: a later filter on a parsed
     # field stops at the Generate and cannot inline (repeat) the split.
-    cells_of = F.transform("lines", lambda x: F.struct(x["line_no"].alias("line_no"),
-                                                       F.transform(split_csv_line(x["line"]), lambda c: F.trim(c)).alias("cells")))
+    def parts(line_no: Column, line: Column) -> Column:
+        return F.struct(line_no.alias("line_no"), split_csv_line(line).alias("cells"))
+
+    if "line" in table.columns:  # one line a row: no loop over an array, so the plan stays compiled
+        cells_of = F.when(F.col("line_no").isNotNull(), F.array(parts(F.col("line_no"), F.col("line"))))
+    else:
+        cells_of = F.transform("lines", lambda x: parts(x["line_no"], x["line"]))
     exploded = table.select(*keep, F.explode(F.when(F.col("header_ok"), cells_of)).alias("__l"))
     parsed = exploded.select(*keep, F.col("__l.line_no").alias("line_no"), F.col("__l.cells").alias("__cells"))
     cells = F.col("__cells")
 
     def pick(target: str) -> Column:
-        return _na(unquote(F.try_element_at(cells, F.col(f"i_{target}") + 1)))
+        return _na(unquote(F.trim(F.try_element_at(cells, F.col(f"i_{target}") + 1))))
 
     cols = [
         F.col(STATION), F.col("variable"), F.col("file_name"), F.col("line_no"),
@@ -204,6 +209,6 @@ def raw_readings(table: DataFrame, keep_extra: bool = False) -> DataFrame:
         used = F.array_compact(F.array(*[F.col(f"i_{t}") for t, _ in RESOLVE_SPEC]))
         idx = F.filter(F.sequence(F.lit(0), F.size("hdr") - 1), lambda i: ~F.array_contains(used, i))
         extra = F.transform(idx, lambda i: F.struct(F.element_at("hdr", i + 1).alias("name"),
-                                                    _na(unquote(F.try_element_at(cells, i + 1))).alias("value")))
+                                                    _na(unquote(F.trim(F.try_element_at(cells, i + 1)))).alias("value")))
         cols.append(extra.alias("extra"))
     return parsed.select(*cols)

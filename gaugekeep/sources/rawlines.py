@@ -50,7 +50,7 @@ def _may_be_header(line: Column) -> Column:
     exist once and, letter by letter, the name of the third."""
     low = F.lower(line)
     need = [low.contains(frag) if frag else line.contains(name) for name, frag in RESOLVE_SPEC[:3]]
-    return need[0] & need[1] & need[2]
+    return need[1] & need[0] & need[2]  # the cheap test first: few data lines pass it
 
 
 def _splits(lines: DataFrame) -> DataFrame:
@@ -82,10 +82,10 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[Column], Column] | None = None) -> DataFrame:
-    """A table as raw_file_table gives it, one row per line of the files `paths`
+    """A table as raw_file_table gives it, but one row per line of the files `paths`
     (files or patterns): file_path, station, file name, variable, header_ok, header
-    positions, n_rows and `lines`, which hold the line's number and text if it is a
-    data line (after the header, not blank) and nothing otherwise.
+    positions, and `line`, `line_no` and n_rows = 1 of a data line (after the
+    header, not blank); for another line they are null and 0.
 
     `name` turns a path into `.../<station>/<heading>.csv` where files lie
     otherwise. Runs pass 1 at once."""
@@ -104,7 +104,6 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[
     number = F.when((place >= 0) & (place < F.col("n")), (F.col("first_line") + place).cast("int")).otherwise(
         F.raise_error(F.lit("files were cut otherwise in the two passes: spark.sql.files.* or the number of cores changed")).cast("int"))
     data = (F.col("line_no") > HEADER_LINE) & (F.trim("line") != "")
-    held = F.filter(F.array(F.struct("line", "line_no")), lambda x: data)
     return (rows.withColumn("line_no", number)
             .select(*base, "variable", *HEADER_INFO[:2], F.when(data, 1).otherwise(0).alias("n_rows"), *HEADER_INFO[2:],
-                    held.alias("lines")))
+                    F.when(data, F.col("line_no")).alias("line_no"), F.when(data, F.col("line")).alias("line")))
