@@ -24,19 +24,22 @@ from gaugekeep.operators.daily import daily_mean_first, min_date, realtime_daily
 from gaugekeep.operators.merge import new_rows, stack, unaffected_rows
 from gaugekeep.operators.reports import coverage, empty_stations, empty_views, extraction_summary
 from gaugekeep.operators.stations import active_stations, sample_stations, station_order
+from gaugekeep.session import apply_conf, scratch_dir
 from gaugekeep.plans.archive_check import empty_archive_tables, missing_archive_tables
 from gaugekeep.plans.freshness import freshness
-from gaugekeep.plans.integrate import integrate_publication
+from gaugekeep.plans.integrate import integrate_publication, run_integrate
 from gaugekeep.plans.manifest import download_manifest
-from gaugekeep.plans.masters import masters_from_folder
-from gaugekeep.plans.realtime import realtime_update_rows, split_parameter, updates
-from gaugekeep.plans.release import release_changed, release_stamps
-from gaugekeep.plans.reset import reset_tables
+from gaugekeep.plans.masters import masters_from_folder, write_masters
+from gaugekeep.plans.realtime import realtime_update_rows, run_realtime_update, split_parameter, updates
+from gaugekeep.plans.release import release_changed, release_stamps, stored_stamp
+from gaugekeep.plans.reset import TABLES, reset_tables, run_reset
 from gaugekeep.plans.station_report import station_report
 from gaugekeep.plans.update import pub_status_rows
+from gaugekeep.sinks.files import write_csv
+from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
-from gaugekeep.session import apply_conf, scratch_dir
+from gaugekeep.sources.csvfiles import read_master_csv, read_pub_status
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
 from gaugekeep.sources.rawlines import read_raw_lines
 
@@ -121,6 +124,51 @@ def _append_new(spark, d):
     return stack(stored, _new(spark, d, FLOW))
 
 
+def _both(store):
+    return stack(store.read("flow"), store.read("level"))
+
+
+def _integrate_store(spark, d):
+    """C2 on stored tables: the realtime rows are stored, the publication is
+    folded in by year, and the tables are read back."""
+    store = TableStore(spark, scratch_dir(spark, "store"))
+    with store.transaction() as t:
+        for table, param in TABLES.items():
+            t.replace(table, si.realtime(spark, d).filter(F.col(PARAMETER) == param))
+    run_integrate(store, si.published(spark, d))
+    return _both(store)
+
+
+def _append_store(spark, d):
+    """C1 and C3 on stored tables: reset from the publication, realtime rows
+    appended to both tables by one commit, and read back."""
+    store = TableStore(spark, scratch_dir(spark, "store"))
+    run_reset(store, si.published(spark, d))
+    run_realtime_update(store, si.realtime(spark, d).drop("pub_status", "user_id"))
+    return _both(store)
+
+
+def _release_gate(spark, d):
+    """C6 against the stored status row (S7): the earliest listed release is the
+    one stored, as CSV; the stamp is read back from it."""
+    listed = release_stamps(si.listing(spark, d))
+    first = listed.agg(F.min("release_stamp").alias("release_stamp")).withColumn("path", F.lit("archive/first.zip"))
+    path = scratch_dir(spark, "pub-status")
+    write_csv(pub_status_rows(first), path)
+    return release_changed(si.listing(spark, d), stored_stamp(read_pub_status(spark, path)))
+
+
+def _masters_csv_roundtrip(spark, d):
+    """C4 to CSV (K3) and back (S4) into C3, where the scraped rows win."""
+    out = scratch_dir(spark, "masters")
+    write_masters(masters_from_folder(spark, _on_disk(spark, d), "*/*/*.txt", si.raw_name), out, csv=True)
+    flow = read_master_csv(spark, f"{out}/variable=flow", order_col="__order")
+    level = read_master_csv(spark, f"{out}/variable=water_level (unit values)", order_col="__order")
+    rows = realtime_update_rows(si.realtime(spark, d), _stored(spark, d, FLOW), _stored(spark, d, LEVEL),
+                                scraped_flow=flow, scraped_level=level, scraped_order=["__order"])
+    return _r4(rows.drop("__table"))
+
+
 def _variants(spark, d):
     files = si.readings(spark, d).select(STATION, PARAMETER).distinct()
     h = spark.createDataFrame(HEADING_VARIANTS, f"{PARAMETER} string, heading string")
@@ -251,6 +299,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_since": lambda s, d: stored_since(si.daily(s, d), SINCE),
         # sinks / merges
         "append_new": _append_new,
+        "append_store": _append_store,
+        "integrate_store": _integrate_store,
+        "release_gate": _release_gate,
+        "masters_csv_roundtrip": _masters_csv_roundtrip,
         "realtime_update": _realtime_update,
         "resolve_columns": _resolve,
         "parameter_label": _parameter_label,
@@ -451,6 +503,18 @@ def _own_oracle_sql() -> dict[str, str]:
         "stored_since": _q("""SELECT * FROM daily WHERE "Date" >= DATE '2024-01-10'"""),
         "append_new": _q("""SELECT * FROM published WHERE Parameter = 'Flow'
             UNION ALL SELECT n.*, CAST(NULL AS BIGINT) AS user_id FROM (""" + _new_sql("Flow") + ") n"),
+        "append_store": _q(f"""SELECT * FROM published UNION ALL
+            SELECT n.*, CAST(NULL AS BIGINT) AS user_id FROM ({_new_sql("Flow")} UNION ALL {_new_sql("Level")}) n"""),
+        "integrate_store": _q("""SELECT * FROM published UNION ALL
+            SELECT r.* FROM realtime r WHERE NOT EXISTS (SELECT 1 FROM published p
+            WHERE p.STATION_NUMBER IS NOT DISTINCT FROM r.STATION_NUMBER AND p."Date" IS NOT DISTINCT FROM r."Date"
+              AND p.Parameter IS NOT DISTINCT FROM r.Parameter)"""),
+        "release_gate": _q(f"""SELECT page_id, release_stamp, stored_stamp, release_stamp <> stored_stamp AS changed
+            FROM (SELECT page_id, {stamp} AS release_stamp FROM listing) s,
+              (SELECT min({stamp}) AS stored_stamp FROM listing) f"""),
+        "masters_csv_roundtrip": _q("""SELECT m.STATION_NUMBER, m."Date", m.Parameter, m.Value, 'Unpublished' AS pub_status
+            FROM daily m WHERE m.Parameter IN ('Flow', 'Level') AND NOT EXISTS (SELECT 1 FROM published p
+            WHERE p.Parameter = m.Parameter AND p.STATION_NUMBER = m.STATION_NUMBER AND p."Date" = m."Date")"""),
         "realtime_update": _q(f""", mf AS ({_first_sql('Flow')}), ml AS ({_first_sql('Level')}),
             mm AS (SELECT min("Date") AS m FROM (SELECT "Date" FROM mf UNION ALL SELECT "Date" FROM ml) x)
             SELECT f.* FROM mf f WHERE NOT EXISTS (SELECT 1 FROM published p WHERE p.Parameter = 'Flow'

@@ -116,18 +116,25 @@ def realtime_update_from_readings(readings: DataFrame, stored_flow: DataFrame, s
 
 
 def run_realtime_update(store: TableStore, daily: DataFrame, **kw) -> dict[str, int]:
-    """Appends the new rows to the current versions of flow and level.
+    """Adds the new rows to flow and level in one commit.
 
     The new rows are computed once and checkpointed to the cluster's shared
     checkpoint folder (`spark.checkpoint.dir`); both appends read that copy,
     so the readings are not aggregated twice and a lost executor does not
-    force a recomputation from the raw input."""
+    force a recomputation from the raw input. Both tables are read at one
+    snapshot, and the commit fails (CommitConflict) if another came after it, so
+    rows that two jobs found new are added once. Tables that don't exist are made."""
     ensure_checkpoint_dir(store.spark)
-    rows = realtime_update_rows(daily, store.read("flow", keep_year=True),
-                                store.read("level", keep_year=True), **kw).checkpoint(eager=True)
-    counts = {}
-    for table, label in (("flow", FLOW), ("level", LEVEL)):
-        part = rows.filter(F.col(TABLE) == label).drop(TABLE)
-        store.append(table, part)
-        counts[table] = part.count()
-    return counts
+    base = store.snapshot()
+
+    def stored(table: str) -> DataFrame:
+        return base.read(table, keep_year=True) if table in base.tables else \
+            store.spark.createDataFrame([], f"{STATION} string, {DATE} date")
+
+    rows = realtime_update_rows(daily, stored("flow"), stored("level"), **kw).checkpoint(eager=True)
+    found = {r[TABLE]: r["count"] for r in rows.groupBy(TABLE).count().collect()}
+    with store.transaction(base) as t:
+        for table, label in (("flow", FLOW), ("level", LEVEL)):
+            if label in found or table not in base.tables:
+                t.append(table, rows.filter(F.col(TABLE) == label).drop(TABLE))
+    return {"flow": found.get(FLOW, 0), "level": found.get(LEVEL, 0)}

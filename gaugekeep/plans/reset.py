@@ -18,13 +18,14 @@ def reset_tables(publication: DataFrame) -> DataFrame:
             .withColumn(PUB_STATUS, F.lit(PUBLISHED)))
 
 
-def run_reset(store: TableStore, publication: DataFrame, station_meta: DataFrame | None = None) -> dict:
-    """K1 + K4: write one fresh version per table, then remove the older
-    ones. A failed write leaves the tables as they were."""
+def run_reset(store: TableStore, publication: DataFrame, station_meta: DataFrame | None = None) -> int:
+    """K1 + K4: fresh tables in one commit, then the older ones are removed. A
+    failed write leaves the tables as they were. Returns the commit's number."""
     rows = reset_tables(publication)
-    out = {t: store.replace(t, rows.filter(F.col(PARAMETER) == p)) for t, p in TABLES.items()}
-    if station_meta is not None:
-        out["station_metadata"] = store.replace("station_metadata", station_meta)
-    for t in out:
-        store.drop_versions(t, keep=1)
-    return out
+    with store.transaction() as t:
+        for table, p in TABLES.items():
+            t.replace(table, rows.filter(F.col(PARAMETER) == p))
+        if station_meta is not None:
+            t.replace("station_metadata", station_meta)
+    store.drop_versions(keep=1)
+    return t.number

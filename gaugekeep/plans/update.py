@@ -2,8 +2,9 @@
 publication (C2) only when its stamp differs from the stored one, publication
 status row (F8), realtime update (C3), freshness report (C8).
 
-The status row is written after the tables, so a job that fails in between
-integrates the same publication again, which changes nothing."""
+Tables, station metadata and status row of a publication become visible in one
+commit; the rows of the realtime update in a second one. So a job that fails in
+between either integrates the publication again or finds it integrated."""
 
 from __future__ import annotations
 
@@ -44,12 +45,12 @@ def run_update(store: TableStore, listing: DataFrame, archive_path: str, publica
         if store.exists(STATUS_TABLE) else None
     changed = stamp is not None and stamp != known
     if changed:
-        run_integrate(store, published_daily(publication, stations, province), station_metadata(stations, province))
         release = spark.createDataFrame([(archive_path, stamp)], "path string, release_stamp string")
-        store.replace(STATUS_TABLE, pub_status_rows(release))
+        run_integrate(store, published_daily(publication, stations, province), station_metadata(stations, province),
+                      also={STATUS_TABLE: pub_status_rows(release)})
     daily = realtime_daily_mean(realtime_readings(readings, stations, province), time_col=time_col)
     counts = run_realtime_update(store, daily, **kw)
-    if report_path:
+    if report_path and store.exists(STATUS_TABLE):
         days = store.read("flow").select(DATE).unionAll(store.read("level").select(DATE))
         write_report(freshness_report(freshness(store.read(STATUS_TABLE), "pub_dttm", days, DATE)), report_path)
     return {"integrated": changed, **counts}

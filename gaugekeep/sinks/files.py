@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from gaugekeep.sources.csvfiles import TIME_FORMAT
+
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """K3: CSV with a header row and `NA` for missing cells (what the
-    master reader S4 expects). Dates print as yyyy-MM-dd."""
-    w = df.write.mode(mode).option("header", "true").option("nullValue", "NA").option("dateFormat", "yyyy-MM-dd")
+    master reader S4 expects). Dates print as yyyy-MM-dd, civil times as the
+    status reader S7 expects them."""
+    w = (df.write.mode(mode).option("header", "true").option("nullValue", "NA").option("dateFormat", "yyyy-MM-dd")
+         .option("timestampNTZFormat", TIME_FORMAT))
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(path)

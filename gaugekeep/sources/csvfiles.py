@@ -11,17 +11,20 @@ MASTER_SCHEMA = "Date date, Parameter string, Value double, STATION_NUMBER strin
 MASTER_ORDER = tuple(c.split()[0] for c in MASTER_SCHEMA.split(", "))
 PUB_STATUS_SCHEMA = "filename string, path string, pub_dttm timestamp_ntz, pub_date date"
 
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def read_master_csv(spark: SparkSession, path: str, order_col: str | None = None) -> DataFrame:
     """A scraped master table written by the masters job (header row,
     `NA` for missing cells). A header in another order or a cell that does
     not fit its type is an error, never a shifted row. With `order_col`, each row gets its position:
-    (file path, position in the scan), so that "the earlier row wins" (W1)
-    can be decided within the source."""
+    (file path, start of its split in the file, row within the split), so that "the
+    earlier row wins" (W1) can be decided within the source, however it is split."""
     df = (spark.read.schema(MASTER_SCHEMA).option("header", "true")
           .option("nullValue", "NA").option("enforceSchema", "false").option("mode", "FAILFAST").csv(path))
     if order_col:
         df = df.withColumn(order_col, F.struct(F.col("_metadata.file_path").alias("file"),
+                                               F.col("_metadata.file_block_start").alias("split"),
                                                F.monotonically_increasing_id().alias("pos")))
     return df
 
@@ -29,7 +32,7 @@ def read_master_csv(spark: SparkSession, path: str, order_col: str | None = None
 def read_pub_status(spark: SparkSession, path: str) -> DataFrame:
     """The publication status row."""
     return (spark.read.schema(PUB_STATUS_SCHEMA).option("header", "true")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
+            .option("nullValue", "NA").option("timestampNTZFormat", TIME_FORMAT).csv(path))
 
 
 def read_stations_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -315,3 +315,24 @@ def test_superseded_files_are_never_opened(spark, scratch):
     want = masters(read_raw_files(spark, scratch), keep_extra=True).collect()
     assert sorted(map(repr, masters_from_folder(spark, scratch, keep_extra=True).collect())) == sorted(map(repr, want))
     assert [r.Value for r in want if r.STATION_NUMBER == "08BB001"] == [5.0]
+
+
+def test_earlier_row_wins_however_the_csv_is_split(spark, scratch):
+    from gaugekeep.plans.realtime import realtime_update
+    from gaugekeep.sources.csvfiles import read_master_csv
+    os.makedirs(scratch + "/flow")
+    with open(scratch + "/flow/part-0.csv", "w") as f:
+        f.write("Date,Parameter,Value,STATION_NUMBER,Approval,Grade\n"
+                + "".join(f"2024-01-{1 + i % 9:02d},Flow,{i}.5,08A,P,NA\n" for i in range(200)))
+    schema = "STATION_NUMBER string, Date date, Parameter string, Value double, pub_status string"
+    empty = spark.createDataFrame([], schema)
+    daily = empty.drop("pub_status")
+
+    def first():
+        scraped = read_master_csv(spark, scratch + "/flow", order_col="__order")
+        assert scraped.select("__order.split").distinct().count() > 5
+        nf, _ = realtime_update(daily, empty, empty, scraped_flow=scraped, scraped_order=["__order"])
+        return sorted((r.Date.day, r.Value) for r in nf.collect())
+
+    for size in (500, 900):
+        assert _with(spark, _small_splits(spark, size), first) == [(d + 1, d + 0.5) for d in range(9)]
