@@ -43,8 +43,9 @@ from gaugekeep.llm.common import bounded_batches, connected_components, stored,
 
 # Nodes a worker remembers as met; beyond it the set starts anew.
 MET_NODES = 300_000
-# Bytes hashed in one go, and the longest word of them; longer words are hashed one by one.
-SLAB, LONG_WORD = 1 << 18, 4096
+# Bytes hashed in one go, and the longest word of them; longer words are hashed one by one
+# (a polynomial modulo 2^64 is weak for long words: Thue and Morse's, from 1,024 bytes).
+SLAB, LONG_WORD = 1 << 18, 64
 # Frequent shingles put last in the order (a bounded list; any order is exact):
 # those that HOT_LEAST different texts of a block of COUNT_BLOCK shingles have.
 HOT_SHINGLES, HOT_LEAST = 100_000, 3

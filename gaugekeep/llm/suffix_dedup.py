@@ -8,8 +8,10 @@ of `length` bytes, the one with the least hash (the leftmost on ties) depends on
 the window's bytes alone, so equal windows have equal anchors at equal places.
 Each run of windows with one anchor is a segment (at most 2 * length - k bytes).
 
-1. Segments that are equal throughout repeat as a whole. They are told by two
-   64-bit hashes over their bytes; copies inside one batch are settled before
+1. Segments that are equal throughout repeat as a whole. They are told by their
+   anchor's 64-bit hash and 64 bits over all their bytes (polynomials modulo two
+   primes: modulo a power of two, long texts with a pattern like Thue and Morse's
+   would have equal ones); copies inside one batch are settled before
    the shuffle, so a passage that many documents share reaches the task of its
    anchor once per batch.
 2. Segments that share an anchor but differ are fetched from the texts and lined
@@ -48,26 +50,32 @@ CHUNK, POS_BITS = 1 << 18, 20
 BUFFER = 8 << 20
 # Segments sorted together, and the group size from which windows are counted.
 BATCH_SEGMENTS, HOT_GROUP = 8192, 50_000
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+BASE = 0x9E3779B97F4A7C15
+# (modulus, base) of the segments' hashes; a modulus below 2^32 keeps products within 64 bits.
+PRIMES = ((4294967291, 2654435769), (4294967279, 3266489917))
 ODD = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 SPANS = "k1 bigint, k2 bigint, b bigint, e bigint"
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    def run(x):
-        out = np.full(n, x, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
-    return run(base), run(pow(base, -1, 1 << 64))
+def _powers(base: int, n: int, modulus: int = 1 << 64) -> np.ndarray:
+    """1, base, base^2, ..."""
+    out = np.ones(n, np.uint64)
+    at = 1
+    while at < n:  # twice as many each round
+        more = out[:min(at, n - at)] * np.uint64(pow(base, at, modulus))
+        out[at:at + len(more)] = more if modulus == 1 << 64 else more % np.uint64(modulus)
+        at += len(more)
+    return out
 
 
 _POWERS: list = []
 
 
 def _tables() -> list:
+    """Powers and those of the inverse: of BASE, and of each of PRIMES."""
     if not _POWERS:
-        _POWERS.extend(_powers(b, CHUNK + 4096) for b in BASES)
+        n = CHUNK + 4096
+        _POWERS.extend((_powers(b, n, m), _powers(pow(b, -1, m), n, m)) for m, b in ((1 << 64, BASE), *PRIMES))
     return _POWERS
 
 
@@ -92,12 +100,12 @@ def segments(raw: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarra
     """Anchor hash, segment hash, first window, number of windows, anchor's
     offset for each segment of a buffer; `valid` marks window starts that lie
     in one document."""
-    (p1, i1), (p2, i2) = _tables()
+    (_, i1), *primes = _tables()
     out = []
     for c in range(0, max(0, len(raw) - length + 1), CHUNK):
         part = raw[c:c + CHUNK + length - 1].astype(np.uint64) + np.uint64(1)
         n = len(part)
-        s1, s2 = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * p[:n], dtype=np.uint64)]) for p in (p1, p2))
+        s1, *sums = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(part * p[:n], dtype=np.uint64)]) for p, _ in _tables())
         gram = _mixed((s1[GRAM:] - s1[:-GRAM]) * i1[:n - GRAM + 1])
         key = ((gram >> np.uint64(POS_BITS)) << np.uint64(POS_BITS)) | np.arange(len(gram), dtype=np.uint64)
         least = _window_min(key, length - GRAM + 1)
@@ -110,9 +118,10 @@ def segments(raw: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarra
         start, stop = start[keep], stop[keep]
         at = (least[start] & np.uint64((1 << POS_BITS) - 1)).astype(np.int64)
         end = stop + length - 1
-        h1, h2 = (s1[end] - s1[start]) * i1[start], (s2[end] - s2[start]) * i2[start]
+        h1, h2 = ((t[end] - t[start]) % np.uint64(m) * inverse[start] % np.uint64(m)
+                  for t, (_, inverse), (m, _) in zip(sums, primes, PRIMES, strict=True))
         size = (stop - start).astype(np.uint64)
-        own = _mixed(h1 + size) ^ _mixed(h2 * np.uint64(ODD[0]) + (at - start).astype(np.uint64))
+        own = _mixed((h1 << np.uint64(32)) | h2) ^ _mixed(size * np.uint64(ODD[0]) + (at - start).astype(np.uint64))
         out.append((gram[at], own, start + c, stop - start, at - start))
     if not out:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))

@@ -515,3 +515,32 @@ def test_shingle_sets_of_odd_texts():
     assert [len(s) for s in sets] == [plain(t) for t in batch]
     assert all((jaccard_join.shingles(t) == s).all() for t, s in zip(batch, sets, strict=True))
     assert (jaccard_join.shingles("A B  c\tD e") == jaccard_join.shingles("a b c d e")).all()
+
+
+# ------------------------------------------------- texts that fool polynomials
+
+
+def thue_morse(n, a="a", b="b"):
+    """A word and its complement: equal under any polynomial of an odd base modulo 2^64."""
+    t = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((a, b)[x] for x in t), "".join((b, a)[x] for x in t)
+
+
+@pytest.mark.parametrize("n", [64, 128, 1024, 2048, 4096, 8192])
+def test_long_words_that_differ_are_not_linked(n):
+    one, two = thue_morse(n)
+    assert jaccard_join.node_of(jaccard_join.shingles(one)) != jaccard_join.node_of(jaccard_join.shingles(two))
+
+
+def test_near_duplicates_of_thue_morse_words(spark):
+    rows = [(i, w) for i, w in enumerate([*thue_morse(2048), *thue_morse(2048)])]
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 1}
+
+
+def test_long_repeats_of_thue_morse_texts(spark):
+    one, two = thue_morse(1024)
+    pad = "".join(chr(33 + (i * i) % 90) for i in range(588))
+    docs = spark.createDataFrame([(0, pad + one + pad), (1, pad + two + pad), (2, "x" + pad + one + pad)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs, length=2200).collect()}
+    assert got == {0: 2200, 1: 0, 2: 2200}
