@@ -8,7 +8,8 @@ corpus tells how strongly a word t discloses an entity e:
     bits = log2(n(t, e) / n(t) / p(e))
 
 with n(t, e) the documents that have both, n(t) those with t, n(e) those with e
-and N all documents, each different document counted once. The prior stands for
+and N all documents, each different text counted once, whatever ids its copies
+have. The prior stands for
 a floor of support: with SHARE at one half, one document is enough for a word
 that stands nowhere else, and a word of two documents has to be in both with e.
 A word with p(e | t) >= SHARE and bits >= BITS for some e is a further span (kind
@@ -17,7 +18,9 @@ generalised to its kind, or removed from REMOVE_BITS on.
 
 Entities of the same documents have the same counts and are counted as one
 class, so a document of many entities has no product of words and entities.
-Slots (hashes modulo SLOTS, broadcast) only keep rows out of joins that follow.
+Before rows are shuffled for a join, the 64-bit hashes of the other side's keys, if
+they are at most SENT_KEYS (counted first), are broadcast to keep rows without a
+partner out; with more keys the join alone decides.
 
 Positions are code points. A match is found with the text before it
 ("gap, then match"), so lengths add up to positions; runs are possessive and
@@ -46,7 +49,7 @@ MATCH = {
 }
 WORD = r"[\p{L}\p{M}\p{N}_]++"
 PRIOR, SHARE, BITS, REMOVE_BITS = 1.0, 0.5, 4.0, 12.0
-SLOTS, BUCKETS = 1 << 18, 64
+SENT_KEYS, BUCKETS = 1 << 20, 64
 PLACED = "struct<at:int,out:array<struct<start:int,end:int,text:string>>>"
 
 
@@ -121,19 +124,20 @@ def _classes(held: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(term, bits, n_t, n_in) above the thresholds, n_in the documents with t and
-    some entity; and (k1, k2, term) of documents with entities. docs: k1, k2,
-    spans, words of different documents."""
-    total = float(docs.count())
+    some entity; and (k1, k2, term) of documents with entities. docs: k1, k2, spans,
+    words and `counted`, which one document of every text is."""
+    once = docs.filter("counted")
+    total = float(once.count())
     held = docs.filter(F.size("spans") > 0)
-    terms = (docs.select((F.size("spans") > 0).cast("long").alias("held"), F.explode("words").alias("term"))
+    terms = (once.select((F.size("spans") > 0).cast("long").alias("held"), F.explode("words").alias("term"))
              .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"), F.sum("held").alias("n_in"))
              .filter((F.col("n_in") > 0) & (F.col("n_t") <= total / 2**BITS)))  # n_te <= n_e: more documents have fewer bits
-    here = stored(held.select("k1", "k2", F.explode("words").alias("term")).join(terms, "term"), "pii-words")
+    here = stored(held.select("k1", "k2", "counted", F.explode("words").alias("term")).join(terms, "term"), "pii-words")
 
     def share(n_te: Column) -> Column:
         return (n_te + PRIOR * F.col("n_e") / F.lit(max(total, 1.0))) / (F.col("n_t") + PRIOR)
 
-    both = (here.join(_classes(held), ["k1", "k2"]).filter(share(F.least("n_t", "n_e")) >= SHARE)
+    both = (here.filter("counted").join(_classes(held.filter("counted")), ["k1", "k2"]).filter(share(F.least("n_t", "n_e")) >= SHARE)
             .groupBy("term", "n_t", "n_in", "n_e", "x1", "x2").agg(F.count(F.lit(1)).alias("n_te")))
     bits = F.log2(F.col("n_te") / F.col("n_t") * F.lit(total) / F.col("n_e"))
     found = (both.withColumn("bits", bits).filter((share(F.col("n_te")) >= SHARE) & (F.col("bits") >= BITS))
@@ -141,12 +145,12 @@ def disclosing(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored(found, "pii-terms"), here.select("k1", "k2", "term")
 
 
-def _slots(x: DataFrame, name: str) -> DataFrame:
-    return F.broadcast(x.select(F.pmod(F.xxhash64(name), F.lit(SLOTS)).alias("slot")).distinct())
-
-
-def _in_slots(x: DataFrame, slots: DataFrame, name: str) -> DataFrame:
-    return x.withColumn("slot", F.pmod(F.xxhash64(name), F.lit(SLOTS))).join(slots, "slot", "left_semi").drop("slot")
+def _among(x: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """Rows of `x` that may have a partner in `keys` by the column `name`."""
+    if keys.count() > SENT_KEYS:
+        return x
+    sent = keys.select(F.xxhash64(name).alias("sent")).distinct()
+    return x.join(F.broadcast(sent), F.xxhash64(name) == F.col("sent"), "left_semi")
 
 
 def _bucket(x: Column) -> Column:
@@ -157,7 +161,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     """k1, k2, spans, buckets, gone: a document's terms by bucket, and those to be removed."""
     terms, here = disclosing(docs)
     wide = terms.filter("n_t > n_in")  # the others stand in no document without entities
-    rest = _in_slots(docs.filter(F.size("spans") == 0).select("k1", "k2", F.explode("words").alias("term")), _slots(wide, "term"), "term")
+    rest = _among(docs.filter(F.size("spans") == 0).select("k1", "k2", F.explode("words").alias("term")), wide, "term")
     found = here.join(terms, "term").select("k1", "k2", "term", "bits").union(rest.join(wide, "term").select("k1", "k2", "term", "bits"))
     by_bucket = found.groupBy("k1", "k2", _bucket(F.col("term")).alias("b")).agg(
         F.collect_list("term").alias("terms"), F.collect_list(F.when(F.col("bits") >= REMOVE_BITS, F.col("term"))).alias("gone"))
@@ -190,17 +194,32 @@ def _keyed(src: DataFrame) -> DataFrame:
     return src.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64("text", "doc_id", F.lit(1))})
 
 
+def _counted(src: DataFrame) -> DataFrame:
+    """`src` with `counted`: true for one document of every text (repeated rows of
+    it alike). Only keys are grouped; the texts that have copies are joined on, by
+    broadcast if they are few."""
+    text = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(2), "text").alias("t2")]
+    copied = (src.select("k1", "k2", *text).groupBy("t1", "t2")
+              .agg(F.min(F.struct("k1", "k2")).alias("one"), F.max(F.struct("k1", "k2")).alias("other")).filter("one <> other"))
+    copied = stored(copied.select("t1", "t2", "one"), "pii-copied")
+    if copied.count() <= SENT_KEYS:
+        copied = F.broadcast(copied)
+    keyed = src.withColumns({"__t1": text[0], "__t2": text[1]})
+    keyed = keyed.join(copied, (F.col("__t1") == F.col("t1")) & (F.col("__t2") == F.col("t2")), "left")
+    return keyed.withColumn("counted", F.coalesce(F.col("one") == F.struct("k1", "k2"), F.lit(True))).drop("__t1", "__t2", "t1", "t2", "one")
+
+
 def spans_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """k1, k2 (document key), doc_id, spans (base), added (terms, with `gone`
     true where the term is to be removed rather than generalised)."""
     src = _keyed(texts(docs, id_col, text_col))
     words = F.array_distinct(F.regexp_extract_all(_lower(F.col("text")), F.lit(WORD), F.lit(0)))
-    found = stored(base_spans(src).select("k1", "k2", "doc_id", "spans", words.alias("words")), "pii-spans")
-    once = found.select("k1", "k2", "spans", "words")
+    found = stored(base_spans(_counted(src)).select("k1", "k2", "doc_id", "counted", "spans", words.alias("words")), "pii-spans")
+    once = found.select("k1", "k2", "counted", "spans", "words")
     if not found.groupBy("k1", "k2").count().filter("count > 1").isEmpty():
         once = once.dropDuplicates(["k1", "k2"])
     marked = stored(_marked(once), "pii-marked")
-    places = _in_slots(src, _slots(marked, "k1"), "k1").join(marked, ["k1", "k2"])
+    places = _among(src, marked, "k1").join(marked, ["k1", "k2"])
     added = places.select("k1", "k2", _added().alias("added")).dropDuplicates(["k1", "k2"])
     return found.select("k1", "k2", "doc_id", "spans").join(added, ["k1", "k2"], "left")
 

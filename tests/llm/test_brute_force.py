@@ -311,7 +311,7 @@ def test_pii_patterns(spark):
 def test_pii_terms(spark):
     rows = [(i, f"Der Gutsherr Zorbanek schreibt an zor@mail.example.org und wartet, {i}") for i in range(6)]
     rows += [(10 + i, f"Der Nachbar schreibt an a{i}@mail.example.org und wartet, und der wartet schon") for i in range(60)]
-    rows += [(100 + i, "der und an schreibt wartet") for i in range(30)]
+    rows += [(100 + i, f"der und an schreibt wartet {i}") for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.spans for r in check_pii(df)}
     at = rows[0][1].index("Zorbanek")
@@ -324,13 +324,17 @@ def test_pii_terms(spark):
 
 def test_pii_terms_of_single_documents(spark):
     """Entities of one document; terms at the head, short, with digits, in other documents."""
-    rows = [(i, f"nothing of note stands here and there, {'der' if i % 2 else 'die'}") for i in range(60)]
+    rows = [(i, f"nothing of note stands here and there, {'der' if i % 2 else 'die'} {i}") for i in range(60)]
     rows += [(60, "Qo wrote first. " + "nothing of note " * 30 + "one@mail.example.org and there. " + "here " * 30 + "usr77 qo"),
              (61, "Vex nothing two@mail.example.org"), (62, "here, vex: two@mail.example.org"), (63, "nothing of VEX here"),
              (64, "pair of three@mail.example.org"), (65, "pair and there")]
-    df = spark.createDataFrame(rows + [rows[60]] * 5, "doc_id long, text string")  # repeated rows count once
+    copies = [(200 + i, rows[60][1]) for i in range(5)] + [(300 + i, rows[61][1]) for i in range(9)]
+    df = spark.createDataFrame(rows + [rows[60]] * 5 + copies, "doc_id long, text string")  # copies of a text count once
     got = {r.doc_id: [x.split(":")[1:] for x in r.spans.split(",") if x.startswith("term:")] for r in check_pii(df)}
-    terms = {i: [dict(rows)[i][int(a):int(b)] for a, b in x] for i, x in got.items() if x}
+    of = dict(rows + copies)
+    terms = {i: [of[i][int(a):int(b)] for a, b in x] for i, x in got.items() if x}
+    for i, _ in copies:
+        assert got.pop(i) == got[60 if i < 300 else 61] and terms.pop(i)
     assert terms == {60: ["Qo", "wrote", "first", "usr77", "qo"], 61: ["Vex"], 62: ["vex"], 63: ["VEX"]}
     clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
     assert clean[63] == "nothing of [term] here" and clean[65] == "pair and there" and clean[60].startswith("[term] [term] [term]. nothing")
@@ -339,15 +343,16 @@ def test_pii_terms_of_single_documents(spark):
 def test_pii_terms_on_given_documents(docs):
     """Every marked word against counts by hand, on documents whose entities stand in one or two."""
     rows = sorted(set(pairs(docs)))
+    different = sorted({t for _, t in rows})
     words, held = {}, {}
-    for k, (_, t) in enumerate(rows):
+    for k, t in enumerate(different):
         for w in {w for w in re.findall(r"\w+", t.lower())}:
             words.setdefault(w, set()).add(k)
         for kind, a, b in base_by_force(t):
             held.setdefault((kind, t[a:b].lower()), set()).add(k)
-    n, strong = len(rows), {}
+    n, strong = len(different), {}
     for e in held.values():
-        for w in {w for k in e for w in re.findall(r"\w+", rows[k][1].lower())}:
+        for w in {w for k in e for w in re.findall(r"\w+", different[k].lower())}:
             both, of_w = len(words[w] & e), len(words[w])
             if (both + len(e) / n) / (of_w + 1) >= 0.5 and both / of_w * n / len(e) >= 16:
                 strong[w] = True
