@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gaugekeep.session import scratch_dir
 
-# Bytes of one Arrow batch handed to Python: long texts stay within a worker's memory.
-ARROW_BATCH_ROWS = 2000
+# Rows and bytes of one Arrow batch handed to Python, whichever is reached first.
+ARROW_BATCH_ROWS, ARROW_BATCH_BYTES = 2000, 16 << 20
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -18,6 +18,7 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def bounded_batches(spark: SparkSession, rows: int = ARROW_BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -12,14 +12,17 @@ ratio is normalised by length over the whole text, over its best window of
 WINDOW words and over its best word; a logistic curve on these three, fitted
 on labelled documents whose words were not counted, gives the score.
 
-The counts cover every labelled training document. They live in CELLS hashed
-word classes, so what is broadcast has a fixed size; labels, language, source
-and id are inputs of no score.
+The counts cover the labelled documents of folds 1 to 3; fold 4 calibrates the
+curve and is not counted, fold 0 is held out. Where fold 4 lacks one of the classes,
+FIXED_CURVE stands in for the fitted curve. Counts live in CELLS hashed word
+classes, so what is broadcast has a fixed size, and words of a vocabulary beyond
+that share counts; labels, language, source and id are inputs of no score.
 
 Cases: a null or empty text has ratio 0; long texts are taken whole; repeated
 rows score alike; documents with several labels take the largest; without
-toxic or without ordinary training documents every score is 0; an empty table
-gives no rows; null ids belong to no fold and are scored.
+toxic or without ordinary documents in folds 1 to 3 every score is 0; an empty
+table gives no rows; null ids belong to no fold and are scored; other columns of
+any name are passed on or not read.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ DISCOUNT, PRIOR = 0.75, 5.0
 WINDOW = 5
 FOLDS, COUNTED = 5, (1, 2, 3)  # fold 0 is held out, the rest calibrates
 CALIBRATION_ROWS = 20_000  # different texts of each class
-WORD_CACHE = 1_000_000
+FIXED_CURVE = np.array([-4.0, 1.0, 1.0, 0.5])
+WORD_CACHE = 200_000
 COUNT_BLOCK = 2_000_000
 
 
@@ -140,6 +144,7 @@ def _counts(rows: DataFrame) -> DataFrame:
                     held, size = [], 0
         if held:
             yield out()
+        _CELLS.clear()  # a worker lives on after its task
 
     return (rows.select("text", "toxic").mapInArrow(run, "cell bigint, toxic bigint, ordinary bigint, left bigint")
             .groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "left"))))
@@ -168,19 +173,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         for b in batches:
             x = np.array([sent.value.features(t) for t in b.column("text").to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), *(pa.array(x[:, i]) for i in range(3))], ["toxic", "a", "b", "c"])
-
-    # copies of a text count once; where a class has more texts than the bound, the bias makes up for those left out
-    different = stored(rows.filter(~F.col("fold").isin(*COUNTED)).select("toxic", "text").distinct(), "toxicity-calibrate")
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("th"), *(pa.array(x[:, i]) for i in range(3))],
+                                             ["toxic", "th", "a", "b", "c"])
+        _CELLS.clear()
+
+    # copies of a text count once; where a class has more texts than the bound, the bias makes up for those left
+    # out. Texts become three numbers where they are read, so that only these are ranked.
+    given = rows.filter(~F.col("fold").isin(*COUNTED)).withColumn("th", F.xxhash64("text"))
+    different = stored(given.mapInArrow(run, "toxic int, th bigint, a double, b double, c double").distinct(), "toxicity-calibrate")
     there = {r.toxic: r["count"] for r in different.groupBy("toxic").count().collect()}
     found = {}
     for y in there:
-        got = (different.filter(F.col("toxic") == y).orderBy(F.xxhash64("text"), "text").limit(CALIBRATION_ROWS)
-               .mapInArrow(run, "toxic int, a double, b double, c double").toArrow())
+        got = different.filter(F.col("toxic") == y).orderBy("th", *"abc").limit(CALIBRATION_ROWS).toArrow()
         found[y] = np.column_stack([got.column(c).to_numpy() for c in "abc"])
-    if len(found) == 2:
-        model.weights = logistic(np.concatenate([found[0], found[1]]), np.repeat([0.0, 1.0], [len(found[0]), len(found[1])]))
-        model.weights[0] += np.log(there[1] / len(found[1])) - np.log(there[0] / len(found[0]))
+    if len(found) < 2:
+        model.weights = FIXED_CURVE
+        return model
+    model.weights = logistic(np.concatenate([found[0], found[1]]), np.repeat([0.0, 1.0], [len(found[0]), len(found[1])]))
+    model.weights[0] += np.log(there[1] / len(found[1])) - np.log(there[0] / len(found[0]))
     return model
 
 
@@ -196,6 +206,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             s = sent.value.score(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))],
                                              ["doc_id", "score", "predicted"])
+        _CELLS.clear()
 
     out = src.mapInArrow(run, f"doc_id {id_type}, score double, predicted int")
     return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
@@ -210,5 +221,6 @@ def ordinary(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         for b in batches:
             s = sent.value.score([t or "" for t in b.column(text_col).to_pylist()])
             yield b.filter(pa.array(s < 0.5))
+        _CELLS.clear()
 
     return docs.mapInArrow(run, docs.schema)

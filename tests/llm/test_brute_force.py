@@ -394,6 +394,17 @@ def test_toxicity_calibrates_on_different_texts(spark, monkeypatch):
     assert all(r.predicted == r.doc_id % 2 for r in toxicity.scored(docs, model).collect())
 
 
+def test_toxicity_without_toxic_documents_to_calibrate(spark):
+    """Toxic documents in folds 1 to 3 only: a fixed curve, not 0 for all."""
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i in range(600)}
+    toxic = {i: int(i % 3 == 0 and fold[i] in (1, 2, 3)) for i in fold}
+    docs = spark.createDataFrame([(i, "you vile moron there" if y else f"a calm and kind day {i}") for i, y in toxic.items()], "doc_id long, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.scored(docs, toxicity.train(docs, labels)).collect()}
+    assert all(got[i].predicted == y for i, y in toxic.items())
+    assert min(r.score for i, r in got.items() if toxic[i]) > max(r.score for i, r in got.items() if not toxic[i])
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 0), (8, 1), (9, 0), (None, 1), (3, None), (5, 1), (2, 0)], "doc_id long, toxic int")
     for df in (odd_docs, no_docs):
