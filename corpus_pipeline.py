@@ -3,6 +3,12 @@
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame, which run() writes as Parquet and reads again as the next
 stage's docs. All but the last return the columns of documents.
+
+Cases, for every stage: a null text counts as empty and, where the stage keeps the
+row, stays null up to the last stage; texts of any length are taken whole; repeated
+rows are documents of their own until near_duplicates keeps one of them, unless they
+have no words; null ids are kept; columns beside id and text are passed on under
+their names whatever they are, up to the last stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
