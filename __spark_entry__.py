@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, RELEASE_MARKER, STATION, VALUE
+from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, PROVINCE, RELEASE_MARKER, STATION, VALUE
 from gaugekeep.functions.columns import flatten_point, resolve_columns
 from gaugekeep.functions.names import parameter_label, variable_name
 from gaugekeep.functions.scalars import is_leap_year
@@ -33,15 +33,17 @@ from gaugekeep.plans.masters import masters_from_folder, write_masters
 from gaugekeep.plans.realtime import realtime_update_rows, run_realtime_update, split_parameter, updates
 from gaugekeep.plans.release import release_changed, release_stamps, stored_stamp
 from gaugekeep.plans.reset import TABLES, reset_tables, run_reset
-from gaugekeep.plans.station_report import station_report
+from gaugekeep.plans.station_report import report_of_stats, station_report, stations_to_fetch
 from gaugekeep.plans.update import pub_status_rows
 from gaugekeep.sinks.files import write_csv
 from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
 from gaugekeep.sources.csvfiles import read_master_csv, read_pub_status
+from gaugekeep.sources.filetable import FILES, refresh_file_table
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
 from gaugekeep.sources.rawlines import read_raw_lines
+from gaugekeep.streaming.realtime_stream import realtime_stream
 
 try:  # the training-data operators are an addition: without them the rest works
     import corpus_pipeline
@@ -55,8 +57,11 @@ SINCE = _dt.date(2024, 1, 10)
 AS_OF = _dt.date(2024, 1, 31)
 MONTHS = 18
 SAMPLE_N, SAMPLE_SEED = 100, 42
+LOGGED_ISSUE = "Archive could not be unpacked"
 STORED_STAMP = "20240115"
 EMPTIED_EVERY = 5
+HEADLESS_EVERY = 4
+STREAM_FILES, FILES_A_BATCH = 6, 2
 DAILY_DIGITS = 4
 # Large raw files: all readings in the files of so many stations, read in about so many splits.
 LARGE_FILE_STATIONS, SPLITS = 8, 200
@@ -245,6 +250,43 @@ def _report(spark, d, key):
     return station_report(_stations(spark, d), si.raw_files(spark, d, EMPTIED_EVERY))[key]
 
 
+def _file_stats(spark, d):
+    """C5/A4 with the stored file table: the first run sees the flow files only, the
+    second parses the others; the rows are read back."""
+    root = _on_disk(spark, d, emptied_every=EMPTIED_EVERY, headless_every=HEADLESS_EVERY)
+    store = TableStore(spark, scratch_dir(spark, "store"))
+    refresh_file_table(store, root, "*/heading=Discharge/*.txt", si.raw_name)
+    refresh_file_table(store, root, "*/*/*.txt", si.raw_name)
+    return store.read(FILES).drop("path", "size", "modified")
+
+
+def _station_issues(spark, d):
+    """U2 with all its branches: no files, only empty files, a file without a header
+    that can be read, and issues of a download log (of the stations of AB)."""
+    stations = _stations(spark, d)
+    log = stations.filter(F.col(PROVINCE) == "AB").select(F.col(STATION).alias("station_id"), F.lit(LOGGED_ISSUE).alias("issue"))
+    return report_of_stats(stations_to_fetch(stations), _file_stats(spark, d), log)["problem_stations"]
+
+
+def _masters_whole_stations(spark, d):
+    """C4 where some stations have a file that cannot be read: they get no rows."""
+    root = _on_disk(spark, d, emptied_every=EMPTIED_EVERY, headless_every=HEADLESS_EVERY)
+    return _r4(masters_from_folder(spark, root, "*/*/*.txt", si.raw_name))
+
+
+def _stream_update(spark, d):
+    """The readings come in files that each hold a part of every day, some files
+    a micro-batch; flow and level are read back."""
+    feed, store = scratch_dir(spark, "feed"), TableStore(spark, scratch_dir(spark, "store"))
+    run_reset(store, si.published(spark, d).drop("user_id"))
+    readings = si.readings(spark, d).select(STATION, "ts", PARAMETER, VALUE)
+    readings.repartition(STREAM_FILES, F.xxhash64("ts")).write.parquet(feed)
+    q = realtime_stream(spark, feed, readings.schema, store, scratch_dir(spark, "stream"), time_col="ts",
+                        max_files_per_trigger=FILES_A_BATCH)
+    q.awaitTermination()
+    return _r4(_both(store))
+
+
 def _coverage(spark, d):
     asked = active_stations(_stations(spark, d))
     stats = _raw_stats(spark, d)
@@ -334,6 +376,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # composite jobs
         "masters": _masters,
         "masters_newest_file": _masters_newest_file,
+        "masters_whole_stations": _masters_whole_stations,
+        "file_stats": _file_stats,
+        "station_issues": _station_issues,
+        "stream_update": _stream_update,
         "release_stamp": lambda s, d: release_stamps(si.listing(s, d)),
         "pub_status_row": _pub_status,
         "empty_views": _empty_views,
@@ -575,6 +621,27 @@ def _own_oracle_sql() -> dict[str, str]:
         "empty_tables": _empty_tables_sql(),
         "masters": _q(masters_sql),
         "masters_newest_file": _q(masters_sql),
+        "masters_whole_stations": _q(masters_sql.replace("GROUP BY", f"""WHERE r.user_id % {EMPTIED_EVERY} <> 0 AND NOT
+            (r.user_id % {HEADLESS_EVERY} = 0 AND r.user_id IN (SELECT user_id FROM readings WHERE Parameter = 'Level'))
+      GROUP BY""")),
+        "file_stats": _q(f"""SELECT f.STATION_NUMBER, f.file_name, {_variable_sql("f.file_name")} AS variable,
+            CAST(CASE WHEN f.user_id % {EMPTIED_EVERY} = 0 THEN 0 ELSE r.n END AS INTEGER) AS n_rows,
+            f.Parameter <> 'Level' OR f.user_id % {HEADLESS_EVERY} <> 0 AS header_ok
+            FROM files f JOIN (SELECT STATION_NUMBER, Parameter, count(*) AS n FROM readings GROUP BY ALL) r
+              ON f.STATION_NUMBER = r.STATION_NUMBER AND f.Parameter = r.Parameter"""),
+        "station_issues": _q(f"""SELECT DISTINCT station_id, issue FROM (
+              SELECT a.STATION_NUMBER AS station_id,
+                CASE WHEN fs.user_id IS NULL THEN 'Unable to find download links/no downloadable data found'
+                     WHEN fs.user_id % {EMPTIED_EVERY} = 0 THEN 'All data files are empty'
+                     WHEN fs.level_files > 0 AND fs.user_id % {HEADLESS_EVERY} = 0
+                       THEN 'A fatal error occured during data download for this station' END AS issue
+              FROM active a LEFT JOIN (SELECT STATION_NUMBER, user_id, count(*) FILTER (WHERE Parameter = 'Level') AS level_files
+                FROM files GROUP BY STATION_NUMBER, user_id) fs ON a.STATION_NUMBER = fs.STATION_NUMBER
+              UNION ALL SELECT STATION_NUMBER, '{LOGGED_ISSUE}' FROM stations WHERE PROV_TERR_STATE_LOC = 'AB') x
+            WHERE issue IS NOT NULL"""),
+        "stream_update": _q("""SELECT STATION_NUMBER, "Date", Parameter, Value, pub_status FROM published
+            UNION ALL SELECT STATION_NUMBER, "Date", Parameter, Value, 'Unpublished' FROM daily
+              WHERE Parameter IN ('Flow', 'Level') AND NOT ("Date" < DATE '2024-01-16' AND user_id % 7 <> 0)"""),
         "release_stamp": _q(f"SELECT page_id, {stamp} AS release_stamp FROM listing"),
         "pub_status_row": _q(f"""SELECT 'Hydat_sqlite3_' || s || '.zip' AS filename,
             'archive/Hydat_sqlite3_' || s || '.zip' AS path, CAST(strptime(s, '%Y%m%d') AS TIMESTAMP) AS pub_dttm,

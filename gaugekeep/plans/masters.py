@@ -14,8 +14,6 @@ the attributes before it (tools/time_first_rows.py)."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +22,8 @@ from gaugekeep.functions.names import parameter_label
 from gaugekeep.operators.daily import daily_mean_first
 from gaugekeep.sinks.files import write_csv
 from gaugekeep.sources.csvfiles import MASTER_ORDER
-from gaugekeep.sources.rawfiles import newest_files, newest_paths, raw_file_table, raw_readings, read_raw_listing
+from gaugekeep.sources.filetable import list_raw_files, literal_paths
+from gaugekeep.sources.rawfiles import newest_files, newest_paths, raw_file_table, raw_readings
 from gaugekeep.sources.rawlines import read_raw_lines
 
 MASTER_COLUMNS = ("variable", STATION, DATE, PARAMETER, VALUE, APPROVAL, GRADE)
@@ -34,13 +33,14 @@ DEFAULT_FLOW_SOURCES = ("flow",)
 
 
 def masters_from_readings(readings: DataFrame, newest: DataFrame | None = None,
-                          keep_extra: bool = False, picked: bool = False) -> DataFrame:
+                          keep_extra: bool = False, picked: bool = False, failed: DataFrame | None = None) -> DataFrame:
     """A1 per (station, variable, file, day), then D6: only the newest file
     (by name) of a (station, variable) counts. `newest` (from newest_files)
     is one row per (station, variable); it is semi-joined to the daily rows,
     as a broadcast when AQE finds it small, so the lines are never shuffled
     for it. Without it, it is derived from the daily rows themselves. `picked`:
-    the readings are those of the newest files already (read_newest).
+    the readings are those of the newest files already (read_newest). `failed`:
+    stations that get no rows at all.
     Readings without a readable time form one row per file, with a null day."""
     payload = [APPROVAL, GRADE] + (["extra"] if keep_extra else [])
     daily = daily_mean_first(readings, keys=[STATION, "variable", "file_name"], time_col=DATE,
@@ -50,31 +50,37 @@ def masters_from_readings(readings: DataFrame, newest: DataFrame | None = None,
     if not picked:
         daily = daily.join(newest.select(STATION, "variable", "file_name"), [STATION, "variable", "file_name"],
                            "left_semi")
+    if failed is not None:
+        daily = daily.join(failed.select(STATION), STATION, "left_anti")
     cols = list(MASTER_COLUMNS) + (["extra"] if keep_extra else [])
     return daily.withColumn(PARAMETER, parameter_label("variable")).select(*cols)
 
 
 def masters(files: DataFrame, listing: DataFrame | None = None, keep_extra: bool = False) -> DataFrame:
     """`files`: (file_path, text), e.g. from read_raw_files. `listing`: the
-    file paths (read_raw_listing); by default the path column of `files`."""
+    file paths (read_raw_listing); by default the path column of `files`.
+
+    A station with an unreadable file among those that count gets no rows, as C5
+    reports it as failed."""
     newest = newest_files(listing if listing is not None else files.select("file_path"))
-    return masters_from_readings(raw_readings(raw_file_table(files), keep_extra=keep_extra), newest, keep_extra)
+    table = raw_file_table(files)
+    failed = (table.filter(~F.col("header_ok")).select(STATION, "file_name").distinct()
+              .join(newest, [STATION, "file_name"], "left_semi").select(STATION).distinct())
+    return masters_from_readings(raw_readings(table, keep_extra=keep_extra), newest, keep_extra, failed=failed)
 
 
 def read_newest(spark: SparkSession, root: str, pattern: str = "*/*.csv", name=None) -> DataFrame:
     """The line table (read_raw_lines) of the newest file of every (station,
     variable) under `root`; the others are dropped by their names and never opened.
-
-    The paths pass through the driver, which holds Spark's listing of them anyway."""
-    listing = read_raw_listing(spark, root, pattern)
-    paths = [r.path for r in newest_paths(listing, name=name).collect()]
-    # characters of glob patterns stand for themselves in a path
-    return read_raw_lines(spark, [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths], name)
+    Of a station with an unreadable file among them no file counts as readable."""
+    listing = list_raw_files(spark, root, pattern)
+    return read_raw_lines(spark, literal_paths(newest_paths(listing, "path", name)), name, whole_stations=True)
 
 
 def masters_from_folder(spark: SparkSession, root: str, pattern: str = "*/*.csv", name=None,
                         keep_extra: bool = False) -> DataFrame:
-    """The masters of the raw files under `root`, of any size, newest files only."""
+    """The masters of the raw files under `root`, of any size, newest files only, without
+    the stations of which one of them cannot be read."""
     return masters_from_readings(raw_readings(read_newest(spark, root, pattern, name), keep_extra=keep_extra),
                                  keep_extra=keep_extra, picked=True)
 

@@ -24,13 +24,17 @@ def station_report(stations: DataFrame, files: DataFrame, download_log: DataFram
     lines whose reading time could not be read; the masters skip them)."""
     asked = stations_to_fetch(stations, sample, seed)
     table = raw_file_table(files)
-    stats = raw_file_stats(table)
+    return report_of_stats(asked, raw_file_stats(table), download_log) | {"unreadable_rows": unreadable_rows(table, asked)}
+
+
+def report_of_stats(asked: DataFrame, stats: DataFrame, download_log: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The reports that need one row per file only (raw_file_stats, or the stored
+    file table that refresh_file_table keeps)."""
     summary = extraction_summary(stats, asked)
     return {
         "problem_stations": problem_stations(asked, stats, download_log),
         "extraction_summary": summary,
         "coverage": coverage(asked, summary),
-        "unreadable_rows": unreadable_rows(table, asked),
     }
 
 

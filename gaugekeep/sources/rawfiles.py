@@ -150,13 +150,13 @@ def raw_file_table(files: DataFrame, path_col: str = "file_path", text_col: str
                        *HEADER_INFO[2:], "lines")
 
 
-def raw_file_stats(table: DataFrame) -> DataFrame:
-    """One row per file: STATION_NUMBER, file_name, variable, n_rows,
-    header_ok (chunks of one file are summed: one small row per chunk is
-    shuffled)."""
+def raw_file_stats(table: DataFrame, *keep: str) -> DataFrame:
+    """One row per file: [`keep`, e.g. file_path,] STATION_NUMBER, file_name,
+    variable, n_rows, header_ok (chunks of one file are summed: one small row per
+    chunk is shuffled)."""
     return (table.groupBy("file_path", STATION, "file_name", "variable", "header_ok")
             .agg(F.sum("n_rows").cast("int").alias("n_rows"))
-            .select(STATION, "file_name", "variable", "n_rows", "header_ok"))
+            .select(*keep, STATION, "file_name", "variable", "n_rows", "header_ok"))
 
 
 def _na(c: Column) -> Column:

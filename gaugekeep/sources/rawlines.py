@@ -38,6 +38,8 @@ FILE, SPLIT, ROW = "__file", "__split", "__row"
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], f"{FILE} string, {SPLIT} bigint, {ROW} bigint, line string")
     line = F.col("value")
     line = F.when(line.endswith("\r"), line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
     return spark.read.option("lineSep", "\n").text(paths).select(
@@ -81,14 +83,17 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[Column], Column] | None = None) -> DataFrame:
+def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[Column], Column] | None = None,
+                   whole_stations: bool = False) -> DataFrame:
     """A table as raw_file_table gives it, but one row per line of the files `paths`
     (files or patterns): file_path, station, file name, variable, header_ok, header
     positions, and `line`, `line_no` and n_rows = 1 of a data line (after the
     header, not blank); for another line they are null and 0.
 
     `name` turns a path into `.../<station>/<heading>.csv` where files lie
-    otherwise. Runs pass 1 at once."""
+    otherwise. `whole_stations`: header_ok holds only if the headers of all of the
+    station's files among `paths` resolve (told by the small table of splits). Runs
+    pass 1 at once."""
     lines = _lines(spark, paths)
     path = decode_path(F.col(FILE))
     parts = F.split(F.col("file_path"), "/")
@@ -96,6 +101,8 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[
     splits = splits.withColumn(STATION, F.try_element_at(parts, F.lit(-2))).withColumn("file_name", F.element_at(parts, -1))
     base = ["file_path", STATION, "file_name"]
     splits = resolve_header(splits, "header", [FILE, SPLIT, "n", "base", "first_line", *base])
+    if whole_stations:
+        splits = splits.withColumn("header_ok", F.bool_and("header_ok").over(Window.partitionBy(STATION)))
     splits = _stored(splits.withColumn("variable", variable_name("file_name")), "raw-splits")
 
     known = splits.withColumnRenamed(FILE, "__f").withColumnRenamed(SPLIT, "__s")

@@ -155,17 +155,23 @@ def _file_heads() -> Column:
 
 
 def write_raw_files(spark: SparkSession, sf_dir: str, root: str, stations: int | None = None,
-                    emptied_every: int | None = None, older: bool = False) -> None:
+                    emptied_every: int | None = None, older: bool = False, headless_every: int | None = None) -> None:
     """The station files of raw_files on disk, one file per station and heading
     (folders named by them, see raw_name). `stations`: the readings of all stations
     are dealt out to so many, of even and odd layout, which makes larger files.
     `older`: every file has an older one of the same variable, with the same
-    readings but without a header, so that picking it would lose rows."""
+    readings but without a header, so that picking it would lose rows.
+    `headless_every`: the Level files of such stations have a header that names no
+    known column."""
     lines = raw_lines(spark, sf_dir)
     if stations:
         lines = lines.withColumn("user_id", F.col("user_id") % stations).withColumn(STATION, station_id(F.col("user_id")))
     group = [STATION, "user_id", "heading"]
     heads = lines.select(*group).distinct().select(*group, F.posexplode(_file_heads()).alias("ord", "line"))
+    if headless_every:
+        broken = ((F.col("ord") == RAW_PREAMBLE_LINES) & (F.col("user_id") % headless_every == 0)
+                  & (F.col("heading") == _mapping(F.lit("Level"), PARAMETER_HEADING)))
+        heads = heads.withColumn("line", F.when(broken, F.lit("Time,Reading")).otherwise(F.col("line")))
     if emptied_every:
         lines = lines.filter(F.col("user_id") % emptied_every != 0)
     body = lines.select(*group, (F.col("event_id") + RAW_PREAMBLE_LINES + 1).alias("ord"), "line")

@@ -1,19 +1,15 @@
 """The realtime update (C3) driven by a file stream.
 
-Each micro-batch of readings is cut to daily means, deduplicated against the
-stored tables (J1) and appended (K2) through `foreachBatch`. The stream's
-checkpoint records which files were consumed; a batch that is run again after
-a failure appends nothing twice, because J1 skips every stored station-day.
-
 Two modes:
-* per batch (default, as the batch job): each micro-batch is cut to daily
-  means. A day whose readings arrive in two micro-batches is stored with the
-  mean of the first part; later parts find the day stored and are skipped.
-  Feed whole days per file, or let the next publication (C2) correct them.
+* default: each micro-batch adds its sums and counts per station-day to those kept
+  of earlier ones (plans.partials), and the days' means follow, until a publication
+  covers them. So days that span micro-batches and late readings end as in the
+  batch job. A batch that is run again after a failure changes nothing.
 * `complete_days=True`: a 1-day event-time window with a watermark, in
   append mode. Each (station, parameter, day) mean is emitted once, when the
   watermark has passed the day's end, however many micro-batches its readings
-  span; the state holds only the partial sums of open days. Readings later
+  span, and appended through J1; the state holds only the partial sums of open
+  days. Choose it where a stored day must not change any more: readings later
   than `lateness` behind the newest one are dropped by the watermark, and the
   newest day stays open until later data close it (D16's running day is thus
   never stored half done).
@@ -28,11 +24,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugekeep.columns import DATE, PARAMETER, STATION, VALUE
-from gaugekeep.operators.daily import _mean, clean_value, realtime_daily_mean
+from gaugekeep.operators.daily import _mean, clean_value
+from gaugekeep.plans.partials import add_readings
 from gaugekeep.plans.realtime import run_realtime_update
 from gaugekeep.sinks.snapshots import TableStore
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream keeps over restarts (its checkpoint's metadata)."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata", schema="id string").first().id
+
+
 def realtime_stream(spark: SparkSession, source_dir: str, schema, store: TableStore, checkpoint: str,
                     to_readings: Callable[[DataFrame], DataFrame] | None = None, time_col: str = DATE,
                     null_policy: str = "skip", path_glob: str | None = None,
@@ -65,8 +67,10 @@ def realtime_stream(spark: SparkSession, source_dir: str, schema, store: TableSt
                   .select(STATION, day.alias(DATE), PARAMETER, VALUE))
 
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        daily = batch if complete_days else realtime_daily_mean(batch, time_col=time_col, null_policy=null_policy)
-        run_realtime_update(store, daily)
+        if complete_days:
+            run_realtime_update(store, batch)
+        else:
+            add_readings(store, batch, _stream_id(spark, checkpoint), epoch_id, time_col, null_policy)
 
     w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     if complete_days:
