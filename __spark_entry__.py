@@ -11,17 +11,18 @@ independently of the Spark code from the same mapping.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugekeep.columns import FLOW, GRADE, LEVEL, PARAMETER, PROVINCE, RELEASE_MARKER, STATION, VALUE
+from gaugekeep.columns import DAY_KEYS, FLOW, GRADE, LEVEL, PARAMETER, PROVINCE, RELEASE_MARKER, STATION, VALUE
 from gaugekeep.functions.columns import flatten_point, resolve_columns
 from gaugekeep.functions.names import parameter_label, variable_name
 from gaugekeep.functions.scalars import is_leap_year
 from gaugekeep.operators.daily import daily_mean_first, min_date, realtime_daily_mean
-from gaugekeep.operators.merge import new_rows, stack, unaffected_rows
+from gaugekeep.operators.merge import anti_join_in_place, new_rows, stack, unaffected_rows
 from gaugekeep.operators.reports import coverage, empty_stations, empty_views, extraction_summary
 from gaugekeep.operators.stations import active_stations, sample_stations, station_order
 from gaugekeep.session import apply_conf, scratch_dir
@@ -36,6 +37,7 @@ from gaugekeep.plans.reset import TABLES, reset_tables, run_reset
 from gaugekeep.plans.station_report import report_of_stats, station_report, stations_to_fetch
 from gaugekeep.plans.update import pub_status_rows
 from gaugekeep.sinks.files import write_csv
+from gaugekeep.sinks.history import buckets_for, write_history
 from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
@@ -109,6 +111,13 @@ def _new(spark, d, param):
     return new_rows(inc, stored_since(_stored(spark, d, param), since))
 
 
+def _new_rows_in_place(spark, d):
+    """J1 against stored history that is bucketed by station and day."""
+    stored = _stored(spark, d, FLOW)
+    history = write_history(stored, f"history_{uuid.uuid4().hex}", scratch_dir(spark, "history"), buckets_for(stored.count()))
+    return anti_join_in_place(_rt_split(spark, d, FLOW), history, DAY_KEYS)
+
+
 def _scraped_first(spark, d, param):
     sc = si.scraped(spark, d)
     flow, level = updates(si.realtime(spark, d), sc.filter(F.col(PARAMETER) == FLOW),
@@ -350,6 +359,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parameter_label": _parameter_label,
         "variable_name": _variable_name,
         "new_flow_rows": lambda s, d: _new(s, d, FLOW),
+        "new_flow_rows_in_place": _new_rows_in_place,
         "new_level_rows": lambda s, d: _new(s, d, LEVEL),
         "unaffected_rows": lambda s, d: unaffected_rows(si.realtime(s, d), si.published(s, d)),
         "union_published_unpublished": lambda s, d: stack(
@@ -578,6 +588,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "variable_name": _q(f""", {variant_files}
             SELECT STATION_NUMBER, file_name, {_variable_sql('file_name')} AS variable FROM vf"""),
         "new_flow_rows": _q(_new_sql("Flow")),
+        "new_flow_rows_in_place": _q(_new_sql("Flow")),
         "new_level_rows": _q(_new_sql("Level")),
         "unaffected_rows": _q("""SELECT r.* FROM realtime r WHERE NOT EXISTS (SELECT 1 FROM published p
             WHERE p.STATION_NUMBER IS NOT DISTINCT FROM r.STATION_NUMBER AND p."Date" IS NOT DISTINCT FROM r."Date"

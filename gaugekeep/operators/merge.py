@@ -21,6 +21,18 @@ def anti_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(r, on=reduce(lambda a, b: a & b, cond), how="left_anti")
 
 
+def anti_join_in_place(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """anti_join for a `right` that lies bucketed by `keys` (write_history): rows with
+    all keys are joined by plain equality, which uses the buckets (null-safe keys
+    would not), those that lack a key by a null-safe join with the few such rows of
+    `right`. `left` is read twice; it is the small side."""
+    keys = list(keys)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__r_{k}") for k in keys])
+    return left.filter(whole).join(r, cond, "left_anti").unionByName(anti_join(left.filter(~whole), right.filter(~whole), keys))
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, keys=DAY_KEYS) -> DataFrame:
     """Incoming rows whose (station, day) is not stored yet."""
     return anti_join(incoming, stored, keys)
