@@ -77,8 +77,8 @@ def apply_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`. Only a local session
-    (tests, benchmarks) may fall back to a fresh scratch folder; on a cluster
+    """Use the cluster's shared `spark.checkpoint.dir`. Only a session of one
+    process (tests, benchmarks) may fall back to a fresh scratch folder; on a cluster
     an unset setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -88,7 +88,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return conf
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="gaugekeep-ckpt-")
     sc.setCheckpointDir(path)

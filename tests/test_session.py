@@ -1,5 +1,9 @@
 """Session helpers: cluster sizing and the checkpoint folder."""
 
+from types import SimpleNamespace
+
+import pytest
+
 from gaugekeep.session import cluster_conf, ensure_checkpoint_dir, scratch_dir
 
 
@@ -17,3 +21,11 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     assert d == spark.sparkContext.getCheckpointDir()
     s1, s2 = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert s1 != s2 and s1.startswith(d.rstrip("/"))
+
+
+@pytest.mark.parametrize("master", ["local-cluster[2,1,1024]", "yarn"])
+def test_several_processes_need_a_shared_folder(master):
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(spark)
