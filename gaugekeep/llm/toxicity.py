@@ -2,21 +2,25 @@
 
 Each class (toxic, ordinary) has discounted word counts from the labelled
 documents; what the discount frees goes to one backoff shared by both classes,
-whose counts are continuation counts (in how many different left neighbours a
-word was seen, per block of documents, summed):
+whose counts are continuation counts (in how many labelled documents, the
+contexts of these models, a word was seen):
 
     P_c(w) = max(n_c(w) - D, 0) / N_c + D T_c / N_c * (k(w) + A) / (K + A V)
 
-so a rare word, backed off in both, says little. A document's log-likelihood
+with V = VOCABULARY, or the number of different words and one if that is more; so
+a rare word, backed off in both, says little. A document's log-likelihood
 ratio is normalised by length over the whole text, over its best window of
 WINDOW words and over its best word; a logistic curve on these three, fitted
 on labelled documents whose words were not counted, gives the score.
 
 The counts cover the labelled documents of folds 1 to 3; fold 4 calibrates the
 curve and is not counted, fold 0 is held out. Where fold 4 lacks one of the classes,
-FIXED_CURVE stands in for the fitted curve. Counts live in CELLS hashed word
-classes, so what is broadcast has a fixed size, and words of a vocabulary beyond
-that share counts; labels, language, source and id are inputs of no score.
+FIXED_CURVE stands in for the fitted curve. Counts are a stored table with one row
+for each different word (its 64-bit hash), which grows with the labelled documents. Tasks hold its HEAD most frequent words; if there are more,
+the words that a task doesn't find are joined to the table, with the ratios of
+their neighbours, and the documents they stand in are finished after the join:
+the scores are those of the whole table at every size. Labels, language, source
+and id are inputs of no score.
 
 Cases: a null or empty text has ratio 0; long texts are taken whole; repeated
 rows score alike; documents with several labels take the largest; without
@@ -27,77 +31,88 @@ any name are passed on or not read.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugekeep.llm.common import bounded_batches, stored, texts
 
-CELLS = 1 << 20
-DISCOUNT, PRIOR = 0.75, 5.0
+HEAD = 1 << 20  # words that every task holds, 16 bytes each
+DISCOUNT, PRIOR, VOCABULARY = 0.75, 5.0, 1 << 20
 WINDOW = 5
-FOLDS, COUNTED = 5, (1, 2, 3)  # fold 0 is held out, the rest calibrates
+FOLDS, CALIBRATION_FOLD = 5, 4  # fold 0 is held out
 CALIBRATION_ROWS = 20_000  # different texts of each class
 FIXED_CURVE = np.array([-4.0, 1.0, 1.0, 0.5])
 WORD_CACHE = 200_000
 COUNT_BLOCK = 2_000_000
 
 
-class _Cells(dict):
-    def __missing__(self, word: str) -> int:
-        import xxhash
+def words(text: str) -> list[str]:
+    """Runs of letters, lower-cased."""
+    return re.findall(r"[^\W\d_]+", text.lower())
 
+
+def word_hash(word: str) -> int:
+    h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+class _Cache(dict):
+    """What `of` gives for a word; starts anew when full."""
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, word: str):
         if len(self) >= WORD_CACHE:
             self.clear()
-        c = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % CELLS
-        return c
-
+        x = self[word] = self.of(word)
+        return x
 
-_CELLS = _Cells()
 
+@dataclass
+class Head:
+    """Log P_toxic / P_ordinary of the most frequent words."""
 
-def cells(text: str) -> np.ndarray:
-    """Hashed class of every word (runs of letters, lower-cased)."""
-    import re
+    hashes: np.ndarray  # ascending
+    ratios: np.ndarray
+    unseen: float  # of a word that the table lacks
+    whole: bool  # the table has no other words
 
-    words = re.findall(r"[^\W\d_]+", text.lower())
-    return np.fromiter(map(_CELLS.__getitem__, words), np.int64, len(words))
+    def ratio(self, word: str) -> float:
+        """NaN where only the table can tell."""
+        h = word_hash(word)
+        at = int(np.searchsorted(self.hashes, h))
+        if at < len(self.hashes) and self.hashes[at] == h:
+            return float(self.ratios[at])
+        return self.unseen if self.whole else np.nan
 
 
 @dataclass
 class Model:
-    ratio: np.ndarray | None  # log P_toxic / P_ordinary of each word class
+    head: Head | None  # None: a class has no documents
+    table: DataFrame | None = None  # h, r of all words, if the head isn't whole
     weights: np.ndarray | None = None  # of the logistic curve, bias first
 
-    def features(self, text: str) -> np.ndarray:
-        r = self.ratio[cells(text)]
-        if not len(r):
-            return np.zeros(3)
-        sums = np.cumsum(np.concatenate([[0.0], r]))
-        w = min(WINDOW, len(r))
-        return np.array([sums[-1] / len(r), (sums[w:] - sums[:-w]).max() / w, r.max()])
 
-    def score(self, texts_: list[str]) -> np.ndarray:
-        if self.ratio is None or self.weights is None:
-            return np.zeros(len(texts_))
-        x = np.array([self.features(t) for t in texts_]).reshape(-1, 3)
-        return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -700, 700)))
+def features(r: np.ndarray) -> tuple[float, float, float]:
+    """Mean, best window's mean and best of the words' ratios."""
+    if not len(r):
+        return 0.0, 0.0, 0.0
+    sums = np.cumsum(np.concatenate([[0.0], r]))
+    w = min(WINDOW, len(r))
+    return sums[-1] / len(r), (sums[w:] - sums[:-w]).max() / w, r.max()
 
 
-def word_ratio(toxic: np.ndarray, ordinary: np.ndarray, left: np.ndarray) -> np.ndarray | None:
-    """log P_toxic / P_ordinary per word class from the two classes' counts and
-    the shared continuation counts."""
-    if not toxic.sum() or not ordinary.sum():
-        return None
-    shared = (left + PRIOR) / (left.sum() + PRIOR * len(left))
-
-    def p(n):
-        return (np.maximum(n - DISCOUNT, 0) + DISCOUNT * np.count_nonzero(n) * shared) / n.sum()
-
-    return np.log(p(toxic) / p(ordinary))
+def score(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -700, 700)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-3) -> np.ndarray:
@@ -120,34 +135,143 @@ def fold(id_col: str):
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """(cell, toxic, ordinary, left) sums over labelled documents."""
+    """(h, toxic, ordinary, seen) of every word hash: its occurrences in the two
+    classes' documents and the number of documents it stands in."""
 
     def run(batches):
+        of = _Cache(word_hash)
         held, size = [], 0
 
         def out():
-            all_cells = np.concatenate([c for c, _ in held])
-            label = np.repeat([y for _, y in held], [len(c) for c, _ in held])
-            toxic, ordinary = (np.bincount(all_cells[label == y], minlength=CELLS) for y in (1, 0))
-            pairs = np.unique(np.concatenate([np.concatenate([[0], c[:-1] + 1]) * CELLS + c for c, _ in held if len(c)] or [np.empty(0, np.int64)]))
-            left = np.bincount(pairs % CELLS, minlength=CELLS)
-            at = np.flatnonzero(left)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (at, toxic[at], ordinary[at], left[at])],
-                                              ["cell", "toxic", "ordinary", "left"])
+            h, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            n = np.array([len(x) for x, _ in held])
+            toxic = np.repeat([y for _, y in held], n)
+            doc = np.repeat(np.arange(len(held)), n)
+            pairs = np.unique(doc * len(h) + at)
+            sums = [np.bincount(x, minlength=len(h)) for x in (at[toxic], at[~toxic], pairs % len(h))]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, *sums)], ["h", "toxic", "ordinary", "seen"])
 
         for b in batches:
             for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                held.append((cells(t), y))
-                size += len(held[-1][0])
+                w = words(t)
+                held.append((np.fromiter(map(of.__getitem__, w), np.int64, len(w)), y == 1))
+                size += len(w)
                 if size >= COUNT_BLOCK:
                     yield out()
                     held, size = [], 0
-        if held:
+        if size:
             yield out()
-        _CELLS.clear()  # a worker lives on after its task
 
-    return (rows.select("text", "toxic").mapInArrow(run, "cell bigint, toxic bigint, ordinary bigint, left bigint")
-            .groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "left"))))
+    return (rows.select("text", "toxic").mapInArrow(run, "h bigint, toxic bigint, ordinary bigint, seen bigint")
+            .groupBy("h").agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "seen"))))
+
+
+def _word_ratios(counts: DataFrame) -> Model:
+    """The model of these counts, without weights."""
+    s = counts.agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "seen")), F.count_if(F.col("toxic") > 0).alias("tt"),
+                   F.count_if(F.col("ordinary") > 0).alias("to"), F.count("*").alias("words")).collect()[0]
+    if not s.toxic or not s.ordinary:
+        return Model(None)
+    shared = (F.col("seen") + PRIOR) / (s.seen + PRIOR * max(VOCABULARY, s.words + 1))
+
+    def p(n: str, total: int, types: int) -> Column:
+        return (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * types * shared) / total
+
+    table = counts.select("h", (F.col("toxic") + F.col("ordinary")).alias("n"),
+                          F.ln(p("toxic", s.toxic, s.tt) / p("ordinary", s.ordinary, s.to)).alias("r"))
+    whole = s.words <= HEAD
+    top = (table if whole else table.orderBy(F.desc("n"), "h").limit(HEAD)).select("h", "r").toArrow()
+    h, r = top.column("h").to_numpy(), top.column("r").to_numpy()
+    order = np.argsort(h)
+    unseen = float(np.log(s.tt / s.toxic) - np.log(s.to / s.ordinary))
+    return Model(Head(h[order], r[order], unseen, whole), None if whole else table.select("h", "r"))
+
+
+def _parts(r: np.ndarray, text_words: list[str]) -> tuple:
+    """What a text with unknown ratios needs besides them: number of words, sum
+    of the known ones, best known window and word, the ratios near unknown ones
+    (NaN for those, infinity between runs) and the unknown words' hashes."""
+    lost = np.isnan(r)
+    n, w = len(r), min(WINDOW, len(r))
+    known = np.where(lost, 0.0, r)
+    sums, holes = (np.cumsum(np.concatenate([[0], x])) for x in (known, lost))
+    free = (holes[w:] - holes[:-w]) == 0
+    best = ((sums[w:] - sums[:-w])[free]).max() / w if free.any() else -np.inf
+    near = np.zeros(n + 1, np.int64)
+    at = np.flatnonzero(lost)
+    np.add.at(near, np.maximum(at - WINDOW + 1, 0), 1)
+    np.add.at(near, np.minimum(at + WINDOW, n), -1)
+    keep = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+    runs = np.insert(r[keep], np.flatnonzero(np.diff(keep) > 1) + 1, np.inf)
+    return n, known.sum(), best, np.max(r[~lost], initial=-np.inf), runs, [word_hash(text_words[i]) for i in at]
+
+
+def _finished(n: int, total: float, best: float, top: float, runs: np.ndarray, found: np.ndarray) -> tuple[float, float, float]:
+    """Features from `_parts` and the ratios of the unknown words, in order."""
+    runs = runs.copy()
+    runs[np.isnan(runs)] = found
+    w = min(WINDOW, n)
+    for run in np.split(runs, np.flatnonzero(np.isinf(runs))):
+        run = run[~np.isinf(run)]
+        if len(run) >= w:
+            sums = np.cumsum(np.concatenate([[0.0], run]))
+            best = max(best, (sums[w:] - sums[:-w]).max() / w)
+    return (total + found.sum()) / n, best, max(top, found.max())
+
+
+_FEATURES = "a double, b double, c double"
+
+
+def with_features(rows: DataFrame, model: Model) -> DataFrame:
+    """`rows` with the features a, b, c in place of `text`."""
+    sent = rows.sparkSession.sparkContext.broadcast(model.head)
+    others = [f for f in rows.schema.fields if f.name != "text"]
+    names = [f.name for f in others]
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others)
+
+    def ratios(batch, of) -> Iterator[tuple[np.ndarray, list[str]]]:
+        for t in batch.column("text").to_pylist():
+            w = words(t or "")
+            yield np.fromiter(map(of.__getitem__, w), np.float64, len(w)), w
+
+    def whole(batches):
+        of = _Cache(sent.value.ratio)
+        for b in batches:
+            x = np.array([features(r) for r, _ in ratios(b, of)]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(x[:, i]) for i in range(3))], [*names, *"abc"])
+
+    if model.head.whole:
+        return rows.mapInArrow(whole, schema + _FEATURES)
+
+    parts = ["n", "total", "best", "top", "runs", "lost"]
+    types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64())]
+
+    def head_only(batches):
+        of = _Cache(sent.value.ratio)
+        for b in batches:
+            got = [_parts(r, w) for r, w in ratios(b, of)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array([g[i] for g in got], t) for i, t in enumerate(types))],
+                                             [*names, *parts])
+
+    def finish(batches):
+        for b in batches:
+            got = [(0.0, 0.0, 0.0) if not n else (total / n, best, top) if not len(lost)
+                   else _finished(n, total, best, top, np.array(runs, float), np.array(found, float))
+                   for n, total, best, top, runs, lost, found in
+                   zip(*(b.column(c).to_pylist() for c in [*parts, "found"]), strict=True)]
+            x = np.array(got).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(x[:, i]) for i in range(3))], [*names, *"abc"])
+
+    first = rows.mapInArrow(head_only, schema + "n bigint, total double, best double, top double, runs array<double>, lost array<bigint>")
+    # the row's number is fixed by being written
+    first = stored(first.withColumn("__row", F.monotonically_increasing_id()), "toxicity-head")
+    lost = first.select(F.col("__row").alias("row"), F.posexplode("lost").alias("i", "lost_h"))
+    # both sides grow: no broadcast hint, skewed words are split by AQE
+    found = (lost.join(model.table.hint("merge"), F.col("lost_h") == F.col("h"), "left")
+             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("r", F.lit(model.head.unseen)).alias("r")))).alias("f"))
+             .select("row", F.col("f.r").alias("found")))
+    both = first.join(found, F.col("__row") == F.col("row"), "left").select(*(F.col(f"`{c}`") for c in names), *parts, "found")
+    return both.mapInArrow(finish, schema + _FEATURES)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -158,29 +282,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     src = texts(docs, id_col, text_col)
     # a merge join at every size: labels are not bounded, so they are never broadcast
     rows = stored(src.join(known.hint("merge"), src.doc_id == known.id).select("text", "toxic", "fold"), "toxicity-train")
-    got = _counts(rows.filter(F.col("fold").isin(*COUNTED))).toArrow()
-    at = got.column("cell").to_numpy()
-    sums = []
-    for c in ("toxic", "ordinary", "left"):
-        x = np.zeros(CELLS)
-        x[at] = got.column(c).to_numpy()
-        sums.append(x)
-    model = Model(word_ratio(*sums))
-    if model.ratio is None:
+    model = _word_ratios(stored(_counts(rows.filter(F.col("fold") != CALIBRATION_FOLD)), "toxicity-counts"))
+    if model.head is None:
         return model
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for b in batches:
-            x = np.array([sent.value.features(t) for t in b.column("text").to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("th"), *(pa.array(x[:, i]) for i in range(3))],
-                                             ["toxic", "th", "a", "b", "c"])
-        _CELLS.clear()
-
     # copies of a text count once; where a class has more texts than the bound, the bias makes up for those left
     # out. Texts become three numbers where they are read, so that only these are ranked.
-    given = rows.filter(~F.col("fold").isin(*COUNTED)).withColumn("th", F.xxhash64("text"))
-    different = stored(given.mapInArrow(run, "toxic int, th bigint, a double, b double, c double").distinct(), "toxicity-calibrate")
+    given = rows.filter(F.col("fold") == CALIBRATION_FOLD).select("toxic", F.xxhash64("text").alias("th"), "text")
+    different = stored(with_features(given, model).distinct(), "toxicity-calibrate")
     there = {r.toxic: r["count"] for r in different.groupBy("toxic").count().collect()}
     found = {}
     for y in there:
@@ -194,33 +302,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
+def _score(model: Model) -> Column:
+    w = [float(x) for x in model.weights]
+    z = F.lit(w[0]) + w[1] * F.col("a") + w[2] * F.col("b") + w[3] * F.col("c")
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))))
+
+
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     bounded_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     src = texts(docs, id_col, text_col)
-    id_type = src.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        for b in batches:
-            s = sent.value.score(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))],
-                                             ["doc_id", "score", "predicted"])
-        _CELLS.clear()
-
-    out = src.mapInArrow(run, f"doc_id {id_type}, score double, predicted int")
-    return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+    if model.head is None:
+        out = src.select("doc_id", F.lit(0.0).alias("score"))
+    else:
+        out = with_features(src, model).select("doc_id", _score(model).alias("score"))
+    return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def ordinary(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """`docs` without the rows that the model calls toxic, columns unchanged."""
     bounded_batches(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    if model.head is None:
+        return docs
+    if not model.head.whole:  # the toxic texts by their digest, since the rows were scored without their other columns
+        key = F.sha2(docs[text_col], 256)
+        bad = (with_features(docs.select(key.alias("bad_text"), docs[text_col].alias("text")), model)
+               .filter(_score(model) >= 0.5).select("bad_text").distinct())
+        return docs.join(bad.hint("merge"), key.eqNullSafe(bad.bad_text), "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast((model.head, model.weights))
 
     def run(batches):
+        head, weights = sent.value
+        of = _Cache(head.ratio)
         for b in batches:
-            s = sent.value.score([t or "" for t in b.column(text_col).to_pylist()])
-            yield b.filter(pa.array(s < 0.5))
-        _CELLS.clear()
+            x = np.array([features(np.array([of[w] for w in words(t or "")])) for t in b.column(text_col).to_pylist()]).reshape(-1, 3)
+            yield b.filter(pa.array(score(x, weights) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,8 +1,10 @@
 """Operators against plain versions on small tables and on odd rows."""
 
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -405,6 +407,58 @@ def test_toxicity_without_toxic_documents_to_calibrate(spark):
     assert min(r.score for i, r in got.items() if toxic[i]) > max(r.score for i, r in got.items() if not toxic[i])
 
 
+def toxicity_by_force(train, texts_):
+    """Features of texts from labelled (id, text, toxic) rows, word by word."""
+    def model(rows):
+        n, k = (Counter(), Counter()), Counter()
+        for _, t, y in rows:
+            ws = re.findall(r"[^\W\d_]+", t.lower())
+            n[y].update(ws)
+            k.update(set(ws))
+        big, v, d = sum(k.values()) + 5.0 * max(1 << 20, len(k) + 1), [sum(c.values()) for c in n], 0.75
+
+        def p(w, y):
+            return (max(n[y][w] - d, 0) + d * len(n[y]) * (k[w] + 5.0) / big) / v[y]
+
+        return lambda w: math.log(p(w, 1) / p(w, 0))
+
+    def three(t, of):
+        r = [of(w) for w in re.findall(r"[^\W\d_]+", t.lower())]
+        m = min(5, len(r))
+        return (sum(r) / len(r), max(sum(r[i:i + m]) / m for i in range(len(r) - m + 1)), max(r)) if r else (0.0, 0.0, 0.0)
+
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    first = model([x for x in train if fold(x[0]) in (1, 2, 3)])
+    rest = {(y, three(t, first)) for i, t, y in train if fold(i) == 4}
+    weights = toxicity.logistic(np.array([x for _, x in sorted(rest)]), np.array([float(y) for y, _ in sorted(rest)]))
+    return [1 / (1 + math.exp(-(weights[0] + np.dot(weights[1:], three(t, first))))) for t in texts_]
+
+
+@pytest.mark.parametrize("head", [None, 3000, 40])
+def test_toxicity_by_force(spark, monkeypatch, head):
+    """The scores of plain models, also where tasks hold only some of the words."""
+    if head:
+        monkeypatch.setattr(toxicity, "HEAD", head)
+    d = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    extra = spark.createDataFrame([(10_000 + i, t) for i, t in enumerate([None, "", "unheard", "x y", "123 !", "zzzq " * 3000, "zzzq a b c d e f g h zzzr"])], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(extra)
+    truth = {}
+    for r in labels.collect():
+        if r.toxic in (0, 1):
+            truth[r.doc_id] = max(r.toxic, truth.get(r.doc_id, 0))
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    want = toxicity_by_force([(i, t, truth[i]) for i, t in rows if i in truth], [t for _, t in rows])
+    model = toxicity.train(docs, labels)
+    assert model.head.whole == (head is None)
+    got = toxicity.scored(docs, model).collect()
+    assert len(got) == len(rows)
+    have = {r.doc_id: r.score for r in got}
+    assert all(abs(have[i] - w) < 1e-6 for (i, _), w in zip(rows, want, strict=True))
+    kept = {r.doc_id for r in toxicity.ordinary(docs, model).collect()}
+    assert kept == {i for i, s in have.items() if s < 0.5}
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 0), (8, 1), (9, 0), (None, 1), (3, None), (5, 1), (2, 0)], "doc_id long, toxic int")
     for df in (odd_docs, no_docs):
