@@ -17,9 +17,10 @@ The counts cover the labelled documents of folds 1 to 3; fold 4 calibrates the
 curve and is not counted, fold 0 is held out. Where fold 4 lacks one of the classes,
 FIXED_CURVE stands in for the fitted curve. Counts are a stored table with one row
 for each different word (its 64-bit hash), which grows with the labelled documents. Tasks hold its HEAD most frequent words; if there are more,
-the words that a task doesn't find are joined to the table, with the ratios of
-their neighbours, and the documents they stand in are finished after the join:
-the scores are those of the whole table at every size. Labels, language, source
+the words that a task doesn't find are joined to the table, and the documents they
+stand in are finished after the join, with the ratios in those windows that could be
+the best whatever the words' ratios are: the scores are those of the whole table at
+every size. Labels, language, source
 and id are inputs of no score.
 
 Cases: a null or empty text has ratio 0; long texts are taken whole; repeated
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from gaugekeep.llm.common import bounded_batches, stored, texts
 
-HEAD = 1 << 20  # words that every task holds, 16 bytes each
+HEAD = 1 << 20  # words that every task holds, 12 bytes each
 DISCOUNT, PRIOR, VOCABULARY = 0.75, 5.0, 1 << 20
 WINDOW = 5
 FOLDS, CALIBRATION_FOLD = 5, 4  # fold 0 is held out
@@ -84,6 +85,7 @@ class Head:
     hashes: np.ndarray  # ascending
     ratios: np.ndarray
     unseen: float  # of a word that the table lacks
+    peak: float  # no word beside these has more
     whole: bool  # the table has no other words
 
     def ratio(self, word: str) -> float:
@@ -178,38 +180,45 @@ def _word_ratios(counts: DataFrame) -> Model:
         return (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * types * shared) / total
 
     table = counts.select("h", (F.col("toxic") + F.col("ordinary")).alias("n"),
-                          F.ln(p("toxic", s.toxic, s.tt) / p("ordinary", s.ordinary, s.to)).alias("r"))
+                          F.ln(p("toxic", s.toxic, s.tt) / p("ordinary", s.ordinary, s.to)).cast("float").alias("r"))
     whole = s.words <= HEAD
-    top = (table if whole else table.orderBy(F.desc("n"), "h").limit(HEAD)).select("h", "r").toArrow()
+    top = (table if whole else table.orderBy(F.desc("n"), "h").limit(HEAD)).select("h", "n", "r").toArrow()
     h, r = top.column("h").to_numpy(), top.column("r").to_numpy()
     order = np.argsort(h)
-    unseen = float(np.log(s.tt / s.toxic) - np.log(s.to / s.ordinary))
-    return Model(Head(h[order], r[order], unseen, whole), None if whole else table.select("h", "r"))
-
-
-def _parts(r: np.ndarray, text_words: list[str]) -> tuple:
-    """What a text with unknown ratios needs besides them: number of words, sum
-    of the known ones, best known window and word, the ratios near unknown ones
-    (NaN for those, infinity between runs) and the unknown words' hashes."""
+    unseen = peak = float(np.float32(np.log(s.tt / s.toxic) - np.log(s.to / s.ordinary)))
+    if not whole:
+        least = int(top.column("n").to_numpy().min())
+        peak = max(unseen, table.filter(F.col("n") <= least).agg(F.max("r")).collect()[0][0])
+    return Model(Head(h[order], r[order], unseen, peak, whole), None if whole else table.select("h", "r"))
+
+
+def _parts(r: np.ndarray, text_words: list[str], peak: float) -> tuple:
+    """What a text with unknown ratios (NaN), none above `peak`, needs besides them:
+    number of words, sum of the known ones, best known window and word, the ratios
+    in windows that may be better (infinity between runs of them), which unknown
+    word stands at each NaN there, and the unknown words' hashes."""
     lost = np.isnan(r)
     n, w = len(r), min(WINDOW, len(r))
+    if not lost.any():
+        return n, *features(r), [], [], []
     known = np.where(lost, 0.0, r)
     sums, holes = (np.cumsum(np.concatenate([[0], x])) for x in (known, lost))
-    free = (holes[w:] - holes[:-w]) == 0
-    best = ((sums[w:] - sums[:-w])[free]).max() / w if free.any() else -np.inf
-    near = np.zeros(n + 1, np.int64)
-    at = np.flatnonzero(lost)
-    np.add.at(near, np.maximum(at - WINDOW + 1, 0), 1)
-    np.add.at(near, np.minimum(at + WINDOW, n), -1)
-    keep = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+    inside, gaps = sums[w:] - sums[:-w], holes[w:] - holes[:-w]
+    best = inside[gaps == 0].max(initial=-np.inf) / w
+    may = np.flatnonzero((gaps > 0) & ((inside + gaps * peak) / w > best - 1e-6))
+    kept = np.zeros(n + 1, np.int64)
+    np.add.at(kept, may, 1)
+    np.add.at(kept, may + w, -1)
+    keep = np.flatnonzero(np.cumsum(kept[:-1]) > 0)
     runs = np.insert(r[keep], np.flatnonzero(np.diff(keep) > 1) + 1, np.inf)
-    return n, known.sum(), best, np.max(r[~lost], initial=-np.inf), runs, [word_hash(text_words[i]) for i in at]
+    at = np.flatnonzero(lost)
+    return (n, known.sum(), best, np.max(r[~lost], initial=-np.inf), runs.astype(np.float32), holes[keep[lost[keep]]],
+            [word_hash(text_words[i]) for i in at])
 
 
-def _finished(n: int, total: float, best: float, top: float, runs: np.ndarray, found: np.ndarray) -> tuple[float, float, float]:
+def _finished(n: int, total: float, best: float, top: float, runs: np.ndarray, spots: np.ndarray, found: np.ndarray) -> tuple[float, float, float]:
     """Features from `_parts` and the ratios of the unknown words, in order."""
-    runs = runs.copy()
-    runs[np.isnan(runs)] = found
+    runs[np.isnan(runs)] = found[spots]
     w = min(WINDOW, n)
     for run in np.split(runs, np.flatnonzero(np.isinf(runs))):
         run = run[~np.isinf(run)]
@@ -243,35 +252,38 @@ def with_features(rows: DataFrame, model: Model) -> DataFrame:
     if model.head.whole:
         return rows.mapInArrow(whole, schema + _FEATURES)
 
-    parts = ["n", "total", "best", "top", "runs", "lost"]
-    types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64())]
+    parts = ["n", "total", "best", "top", "runs", "spots", "lost"]
+    types = [pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.float32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    parts_schema = "n bigint, total double, best double, top double, runs array<float>, spots array<int>, lost array<bigint>"
 
     def head_only(batches):
-        of = _Cache(sent.value.ratio)
+        head = sent.value
+        of = _Cache(head.ratio)
         for b in batches:
-            got = [_parts(r, w) for r, w in ratios(b, of)]
+            got = [_parts(r, w, head.peak) for r, w in ratios(b, of)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array([g[i] for g in got], t) for i, t in enumerate(types))],
                                              [*names, *parts])
 
     def finish(batches):
         for b in batches:
-            got = [(0.0, 0.0, 0.0) if not n else (total / n, best, top) if not len(lost)
-                   else _finished(n, total, best, top, np.array(runs, float), np.array(found, float))
-                   for n, total, best, top, runs, lost, found in
-                   zip(*(b.column(c).to_pylist() for c in [*parts, "found"]), strict=True)]
-            x = np.array(got).reshape(-1, 3)
+            x = np.array([_finished(n, total, best, top, np.array(runs, float), np.array(spots, int), np.array(found, float))
+                          for n, total, best, top, runs, spots, found in
+                          zip(*(b.column(c).to_pylist() for c in [*parts[:-1], "found"]), strict=True)]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(x[:, i]) for i in range(3))], [*names, *"abc"])
 
-    first = rows.mapInArrow(head_only, schema + "n bigint, total double, best double, top double, runs array<double>, lost array<bigint>")
     # the row's number is fixed by being written
-    first = stored(first.withColumn("__row", F.monotonically_increasing_id()), "toxicity-head")
+    first = stored(rows.mapInArrow(head_only, schema + parts_schema).withColumn("__row", F.monotonically_increasing_id()), "toxicity-head")
+    passed = [F.col(f"`{c}`") for c in names]
+    # of a text without unknown words total, best and top are the features
+    known = first.filter(F.size("lost") == 0).select(*passed, F.col("total").alias("a"), F.col("best").alias("b"), F.col("top").alias("c"))
     lost = first.select(F.col("__row").alias("row"), F.posexplode("lost").alias("i", "lost_h"))
     # both sides grow: no broadcast hint, skewed words are split by AQE
     found = (lost.join(model.table.hint("merge"), F.col("lost_h") == F.col("h"), "left")
-             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("r", F.lit(model.head.unseen)).alias("r")))).alias("f"))
+             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("r", F.lit(model.head.unseen).cast("float")).alias("r")))).alias("f"))
              .select("row", F.col("f.r").alias("found")))
-    both = first.join(found, F.col("__row") == F.col("row"), "left").select(*(F.col(f"`{c}`") for c in names), *parts, "found")
-    return both.mapInArrow(finish, schema + _FEATURES)
+    rest = first.filter(F.size("lost") > 0).select("__row", *passed, *parts[:-1])
+    both = rest.join(found, F.col("__row") == F.col("row")).select(*passed, *parts[:-1], "found")
+    return known.unionAll(both.mapInArrow(finish, schema + _FEATURES))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
