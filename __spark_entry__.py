@@ -42,7 +42,7 @@ from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
 from gaugekeep.sources.csvfiles import read_master_csv, read_pub_status
-from gaugekeep.sources.filetable import FILES, refresh_file_table
+from gaugekeep.sources.filetable import FILES, list_raw_files, literal_paths, refresh_file_table
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
 from gaugekeep.sources.rawlines import read_raw_lines
 from gaugekeep.streaming.realtime_stream import realtime_stream
@@ -228,7 +228,8 @@ def _on_disk(spark, d, **kw):
 
 
 def _raw_file_parse(spark, d):
-    return raw_readings(read_raw_lines(spark, si.raw_paths(_on_disk(spark, d)), si.raw_name))
+    files = list_raw_files(spark, _on_disk(spark, d), "*/*/*.txt")
+    return raw_readings(read_raw_lines(spark, literal_paths(files), si.raw_name))
 
 
 def _raw_lines_split(spark, d):

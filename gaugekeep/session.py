@@ -100,3 +100,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     folder (a local scratch folder only for local sessions)."""
     import uuid
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# For readers of many small files: tasks of some thousand files each (Spark counts 4 MB for opening one, so a
+# task would get 32), and listings in some hundred tasks (10,000 otherwise).
+SMALL_FILES_CONF = {
+    "spark.sql.files.openCostInBytes": str(64 << 10),
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
+}
+
+
+def small_files_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of `spark` and, where it sets nothing else, those
+    for small files, so that no other query gets them."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    for k, v in SMALL_FILES_CONF.items():
+        if spark.conf.get(k, None) is None:
+            own.conf.set(k, v)
+    return own

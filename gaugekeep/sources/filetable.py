@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugekeep.columns import STATION
 from gaugekeep.functions.names import variable_name
+from gaugekeep.session import small_files_session
 from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources.rawfiles import decode_path, raw_file_stats
 from gaugekeep.sources.rawlines import read_raw_lines
 
 FILES = "raw_files"
+_GLOB = r"[\\{}\[\]*?]"
 SEEN = ("path", "size", "modified")
 FILE_COLUMNS = (*SEEN, STATION, "file_name", "variable", "n_rows", "header_ok")
 
@@ -29,8 +32,20 @@ def list_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") ->
     binaryFile source is not selected, so no file is opened. Spark's readers skip
     files of no byte, so such a file counts as absent, here as in the masters."""
     m = F.col("_metadata")
-    return spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{pattern}").select(
-        decode_path(m["file_path"]).alias("path"), m["file_size"].alias("size"), m["file_modification_time"].alias("modified"))
+    reader = small_files_session(spark).read.format("binaryFile")
+    root, (*folders, last) = root.rstrip("/"), pattern.split("/")
+    path = urlsplit(root).path
+    # a listing by folder is spread over tasks, a pattern is looked up by the driver alone
+    plain = path.startswith("/") and not re.search(_GLOB, root) and all(f == "*" or not re.search(_GLOB, f) for f in folders)
+    if plain:
+        files = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", last).load(root)
+    else:
+        files = reader.load(f"{root}/{pattern}")
+    files = files.select(decode_path(m["file_path"]).alias("path"), m["file_size"].alias("size"), m["file_modification_time"].alias("modified"))
+    if plain:
+        below = "".join("/[^/]+" if f == "*" else f"/{re.escape(f)}" for f in folders)
+        files = files.filter(F.col("path").rlike(f"^([^/:]+:(//[^/]*)?)?{re.escape(path)}{below}/[^/]+$"))
+    return files
 
 
 def literal_paths(listing: DataFrame) -> list[str]:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gaugekeep.columns import STATION
 from gaugekeep.functions.columns import RESOLVE_SPEC
 from gaugekeep.functions.names import variable_name
-from gaugekeep.session import scratch_dir
+from gaugekeep.session import scratch_dir, small_files_session
 from gaugekeep.sources.rawfiles import HEADER_INFO, HEADER_LINE, decode_path, resolve_header
 
 FILE, SPLIT, ROW = "__file", "__split", "__row"
@@ -42,6 +42,8 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         return spark.createDataFrame([], f"{FILE} string, {SPLIT} bigint, {ROW} bigint, line string")
     line = F.col("value")
     line = F.when(line.endswith("\r"), line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+    if not isinstance(paths, str):
+        spark = small_files_session(spark)
     return spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(SPLIT),
         F.monotonically_increasing_id().alias(ROW), line.alias("line"))
