@@ -189,6 +189,15 @@ def _least_overlap(a, b, percent: int):
     return -((-percent * (a + b)) // (100 + percent))
 
 
+def frequent(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values that `x` (sorted in place) holds HOT_LEAST times or more, ascending, and how
+    often; most stand once, so nothing is kept for those."""
+    x.sort()
+    again = np.flatnonzero(x[HOT_LEAST - 1:] == x[:max(0, len(x) - HOT_LEAST + 1)])
+    u, c = np.unique(x[again], return_counts=True)
+    return u, c + HOT_LEAST - 1
+
+
 def hot_shingles(src: DataFrame, width: int) -> np.ndarray:
     """The most frequent shingles: each task reports those that many of its
     documents have, the largest sums are kept (HOT_SHINGLES at most)."""
@@ -197,8 +206,7 @@ def hot_shingles(src: DataFrame, width: int) -> np.ndarray:
         parts, held = {}, 0  # by node: copies count once
 
         def counted():
-            u, c = np.unique(np.concatenate(list(parts.values())), return_counts=True)
-            u, c = u[c >= HOT_LEAST], c[c >= HOT_LEAST]
+            u, c = frequent(np.concatenate(list(parts.values())))
             top = np.argsort(-c, kind="stable")[:HOT_SHINGLES // 4]
             return pa.RecordBatch.from_arrays(
                 [pa.array(u[top].astype(np.int64)), pa.array(c[top].astype(np.int64))], ["token", "n"])
