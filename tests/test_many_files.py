@@ -66,6 +66,7 @@ def test_listing_by_folder_follows_the_pattern(spark, scratch):
 
 def test_a_task_takes_many_files_and_other_queries_none_of_it(spark, scratch):
     _text_files(scratch, 300)
+    spark = spark.newSession()  # without settings that other tests leave
     files = list_raw_files(spark, scratch, "*/*/*.txt")
     lines = _lines(spark, literal_paths(files))
     # at 4 MB for opening a file a task took no more than 32
