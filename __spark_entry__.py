@@ -42,9 +42,10 @@ from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.archive import published_daily, station_metadata, stored_since
 from gaugekeep.sources.csvfiles import read_master_csv, read_pub_status
-from gaugekeep.sources.filetable import FILES, list_raw_files, literal_paths, refresh_file_table
+from gaugekeep.sources.filetable import FILES, list_raw_files, refresh_file_table
 from gaugekeep.sources.rawfiles import raw_file_stats, raw_file_table, raw_readings
 from gaugekeep.sources.rawlines import read_raw_lines
+from gaugekeep.sources.smallfiles import Listed, read_listed_lines
 from gaugekeep.streaming.realtime_stream import realtime_stream
 
 try:  # the training-data operators are an addition: without them the rest works
@@ -229,7 +230,7 @@ def _on_disk(spark, d, **kw):
 
 def _raw_file_parse(spark, d):
     files = list_raw_files(spark, _on_disk(spark, d), "*/*/*.txt")
-    return raw_readings(read_raw_lines(spark, literal_paths(files), si.raw_name))
+    return raw_readings(read_listed_lines(spark, Listed(files), si.raw_name))
 
 
 def _raw_lines_split(spark, d):

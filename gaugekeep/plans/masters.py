@@ -1,8 +1,9 @@
 """C4: raw station files to daily master tables, one long table with a
 `variable` column (written partitioned by variable).
 
-Plan: the listing drops superseded files (D6) -> two passes over the splits of
-the others number their lines and find their headers -> lines parsed once -> two-phase aggregate per (station, variable, file, day) with the
+Plan: the listing drops superseded files (D6) -> the others are read by tasks in
+chunks of lines, large ones in two passes over their splits that number the lines
+and find the headers -> lines parsed once -> two-phase aggregate per (station, variable, file, day) with the
 day's first row picked by min_by -> the newest file per (station, variable)
 kept (D6), where the files were not picked by the listing, by a semi-join with
 one row per (station, variable) -> Parameter label (P6).
@@ -22,9 +23,9 @@ from gaugekeep.functions.names import parameter_label
 from gaugekeep.operators.daily import daily_mean_first
 from gaugekeep.sinks.files import write_csv
 from gaugekeep.sources.csvfiles import MASTER_ORDER
-from gaugekeep.sources.filetable import list_raw_files, literal_paths
+from gaugekeep.sources.filetable import list_raw_files
 from gaugekeep.sources.rawfiles import newest_files, newest_paths, raw_file_table, raw_readings
-from gaugekeep.sources.rawlines import read_raw_lines
+from gaugekeep.sources.smallfiles import Listed, read_listed_lines
 
 MASTER_COLUMNS = ("variable", STATION, DATE, PARAMETER, VALUE, APPROVAL, GRADE)
 # The stored level table is fed from the unit-value level master only.
@@ -70,11 +71,11 @@ def masters(files: DataFrame, listing: DataFrame | None = None, keep_extra: bool
 
 
 def read_newest(spark: SparkSession, root: str, pattern: str = "*/*.csv", name=None) -> DataFrame:
-    """The line table (read_raw_lines) of the newest file of every (station,
+    """The line table (read_listed_lines) of the newest file of every (station,
     variable) under `root`; the others are dropped by their names and never opened.
     Of a station with an unreadable file among them no file counts as readable."""
     listing = list_raw_files(spark, root, pattern)
-    return read_raw_lines(spark, literal_paths(newest_paths(listing, "path", name)), name, whole_stations=True)
+    return read_listed_lines(spark, Listed(newest_paths(listing, "path", name, keep=["size"])), name, whole_stations=True)
 
 
 def masters_from_folder(spark: SparkSession, root: str, pattern: str = "*/*.csv", name=None,

@@ -19,7 +19,8 @@ from gaugekeep.functions.names import variable_name
 from gaugekeep.session import small_files_session
 from gaugekeep.sinks.snapshots import TableStore
 from gaugekeep.sources.rawfiles import decode_path, raw_file_stats
-from gaugekeep.sources.rawlines import read_raw_lines
+from gaugekeep.sources.smallfiles import Listed, list_by_tasks, literal_paths, on_disk  # noqa: F401
+from gaugekeep.sources.smallfiles import read_listed_lines as read_raw_lines
 
 FILES = "raw_files"
 _GLOB = r"[\\{}\[\]*?]"
@@ -28,9 +29,12 @@ FILE_COLUMNS = (*SEEN, STATION, "file_name", "variable", "n_rows", "header_ok")
 
 
 def list_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") -> DataFrame:
-    """path, size and time of change of the raw files. The content column of the
-    binaryFile source is not selected, so no file is opened. Spark's readers skip
-    files of no byte, so such a file counts as absent, here as in the masters."""
+    """path, size and time of change of the raw files: on a disk listed by tasks, else by
+    the binaryFile source, whose content column is not selected, so no file is opened.
+    Spark's readers skip files of no byte, so such a file counts as absent, here as in the masters."""
+    folder, levels = on_disk(spark, root), pattern.split("/")
+    if folder and len(levels) > 1 and not re.search(_GLOB, root) and not re.search(_GLOB, pattern.replace("*", "")):
+        return list_by_tasks(spark, folder, pattern)
     m = F.col("_metadata")
     reader = small_files_session(spark).read.format("binaryFile")
     root, (*folders, last) = root.rstrip("/"), pattern.split("/")
@@ -48,12 +52,6 @@ def list_raw_files(spark: SparkSession, root: str, pattern: str = "*/*.csv") ->
     return files
 
 
-def literal_paths(listing: DataFrame) -> list[str]:
-    """The paths for a reader: characters of glob patterns stand for themselves.
-    They pass through the driver, which holds Spark's listing of them anyway."""
-    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", r.path) for r in listing.select("path").collect()]
-
-
 def file_stats(spark: SparkSession, listing: DataFrame, name=None) -> DataFrame:
     """FILE_COLUMNS of the listed files, which are parsed. `name`: see read_raw_lines; it gives
     different files different names."""
@@ -62,10 +60,10 @@ def file_stats(spark: SparkSession, listing: DataFrame, name=None) -> DataFrame:
     listed = listing.select(*SEEN, (name(path) if name else path).alias("file_path"))
     listed = listed.select(*SEEN, F.try_element_at(parts, F.lit(-2)).alias(STATION), F.element_at(parts, -1).alias("file_name"), "file_path")
     listed = listed.withColumn("variable", variable_name("file_name"))
-    paths = literal_paths(listing)
-    if not paths:
+    files = Listed(listing)
+    if not len(files):
         return listed.select(*listed.columns[:-2], "variable", F.lit(0).alias("n_rows"), F.lit(False).alias("header_ok"))
-    read = raw_file_stats(read_raw_lines(spark, paths, name), "file_path").select("file_path", "n_rows", "header_ok")
+    read = raw_file_stats(read_raw_lines(spark, files, name), "file_path").select("file_path", "n_rows", "header_ok")
     return listed.join(read, "file_path", "left").select(
         *SEEN, STATION, "file_name", "variable", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce("header_ok", F.lit(False)).alias("header_ok"))

@@ -68,16 +68,16 @@ def newest_files(listing: DataFrame, path_col: str = "file_path") -> DataFrame:
     return t.groupBy(STATION, "variable").agg(F.max("file_name").alias("file_name"))
 
 
-def newest_paths(listing: DataFrame, path_col: str = "file_path", name=None) -> DataFrame:
-    """D6 on the listing: the paths of the files that count, so that no byte of a
-    superseded one is read. `name`: see read_raw_lines."""
+def newest_paths(listing: DataFrame, path_col: str = "file_path", name=None, keep=()) -> DataFrame:
+    """D6 on the listing: the paths of the files that count (and the columns `keep`), so that
+    no byte of a superseded one is read. `name`: see read_raw_lines."""
     path = F.col(path_col)
-    files = listing.select(path.alias("path"), (name(path) if name else path).alias("file_path"))
+    files = listing.select(path.alias("path"), *keep, (name(path) if name else path).alias("file_path"))
     parts = F.split(F.col("file_path"), "/")
-    files = files.select("path", F.try_element_at(parts, F.lit(-2)).alias(STATION), F.element_at(parts, -1).alias("file_name"))
+    files = files.select("path", *keep, F.try_element_at(parts, F.lit(-2)).alias(STATION), F.element_at(parts, -1).alias("file_name"))
     files = files.withColumn("variable", variable_name("file_name"))
     last = Window.partitionBy(STATION, "variable").orderBy(F.desc("file_name"))
-    return files.withColumn("__k", F.rank().over(last)).filter("__k = 1").select("path")
+    return files.withColumn("__k", F.rank().over(last)).filter("__k = 1").select("path", *keep)
 
 
 def _indices(names: Column, pred) -> Column:

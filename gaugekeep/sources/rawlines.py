@@ -49,7 +49,7 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias(ROW), line.alias("line"))
 
 
-def _may_be_header(line: Column) -> Column:
+def may_be_header(line: Column) -> Column:
     """A header that resolves holds the fragments of the two columns that must
     exist once and, letter by letter, the name of the third."""
     low = F.lower(line)
@@ -60,10 +60,10 @@ def _may_be_header(line: Column) -> Column:
 def _splits(lines: DataFrame) -> DataFrame:
     """Pass 1: one row per split: its lines' count, first row id, first line
     number and the header line of its file (null: none that resolves)."""
-    text = F.when(_may_be_header(F.col("line")), F.col("line")).alias("text")
+    text = F.when(may_be_header(F.col("line")), F.col("line")).alias("text")
     at = [F.min(F.when(F.col(ROW) % HEADER_LINE == r, F.col(ROW))).alias(f"at{r}") for r in range(HEADER_LINE)]
     found = lines.groupBy(FILE, SPLIT, text).agg(F.count(F.lit(1)).alias("n"), F.min(ROW).alias("base"), *at)
-    found = _stored(found, "raw-splits")
+    found = stored(found, "raw-splits")
     before = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
     splits = found.groupBy(FILE, SPLIT).agg(F.sum("n").alias("n"), F.min("base").alias("base"))
     splits = splits.withColumn("first_line", F.lit(1) + F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -79,7 +79,7 @@ def _splits(lines: DataFrame) -> DataFrame:
     return splits.join(heads, F.col(FILE) == F.col("__f"), "left").drop("__f")
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -105,7 +105,7 @@ def read_raw_lines(spark: SparkSession, paths: str | list[str], name: Callable[[
     splits = resolve_header(splits, "header", [FILE, SPLIT, "n", "base", "first_line", *base])
     if whole_stations:
         splits = splits.withColumn("header_ok", F.bool_and("header_ok").over(Window.partitionBy(STATION)))
-    splits = _stored(splits.withColumn("variable", variable_name("file_name")), "raw-splits")
+    splits = stored(splits.withColumn("variable", variable_name("file_name")), "raw-splits")
 
     known = splits.withColumnRenamed(FILE, "__f").withColumnRenamed(SPLIT, "__s")
     rows = lines.join(known, (F.col(FILE) == F.col("__f")) & (F.col(SPLIT) == F.col("__s")), "left")

@@ -2,12 +2,21 @@
 
 import os
 
+import pyarrow as pa
+
+from gaugekeep.columns import STATION
+from gaugekeep.plans.masters import masters_from_folder
 from gaugekeep.session import SMALL_FILES_CONF
+from gaugekeep.sources import filetable, smallfiles
 from gaugekeep.sources import stand_ins as si
 from gaugekeep.sources.filetable import list_raw_files, literal_paths
-from gaugekeep.sources.rawlines import _lines
+from gaugekeep.sources.rawfiles import HEADER_INFO
+from gaugekeep.sources.rawlines import _lines, read_raw_lines
+from gaugekeep.sources.smallfiles import Listed, read_listed_lines
 from sample_paths import SF_SMALL
 
+COLUMNS = ["file_path", STATION, "file_name", "variable", *HEADER_INFO[:2], "n_rows", *HEADER_INFO[2:], "line_no", "line"]
+
 
 def _text_files(root, n):
     for i in range(n):
@@ -73,3 +82,62 @@ def test_a_task_takes_many_files_and_other_queries_none_of_it(spark, scratch):
     assert lines.rdd.getNumPartitions() <= max(4, spark.sparkContext.defaultParallelism)
     assert sorted(int(r.line) for r in lines.collect()) == list(range(300))
     assert all(spark.conf.get(k, None) is None for k in SMALL_FILES_CONF)
+
+
+def _odd_files(root):
+    head = "Date,Parameter,Value,Other"
+    texts = {
+        "s1/Discharge.csv": "\r\n".join([head, "p", head, "", *"ppppp", head, "2024-01-01,47,1.0, a ", head, "2024-01-02,47,2.0,\" b \"\r"]),
+        "s1/Older [a]%20+é.csv": "\n".join([*"ppppppppp", head, "2024-01-03,47,3.0,c", "", ""]),
+        "s2/Flow.csv": "\n".join([*"pppppppp", head, "2024-01-01,47,1.0,a"]),  # a header on line 9 is none
+        "s2/Discharge.csv": "\n".join([*"ppppppppp", head, "2024-01-01,47,1.0,a\n"]),
+        "s3/Discharge.csv": "﻿" + "\n" * 9 + head + "\n" + "".join(f"2024-01-0{1 + i % 9},47,{i}.5,{'é' * (i % 7)}\n" for i in range(500)),
+        "s3/Empty.csv": "", "s4/Blank.csv": "\n", "s5/_hidden.csv": head, "s5/.hidden.csv": head,
+    }
+    for path, text in texts.items():
+        os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+        with open(f"{root}/{path}", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    with open(f"{root}/s4/Precip.csv", "wb") as f:  # not UTF-8
+        f.write(b"p\n" * 9 + b"Date,Parameter,Value,Grade\n2024-01-01,47,1.0,\xff\xfe\n")
+
+
+def test_tasks_list_and_read_as_sparks_readers(spark, scratch, monkeypatch):
+    """Chunks of a few bytes, a file too large for one task; listing, lines and the stations left out."""
+    root = f"{scratch}/a (1)+b"
+    _odd_files(root)
+    with monkeypatch.context() as m:
+        m.setattr(filetable, "on_disk", lambda spark, root: None)
+        m.setattr(smallfiles, "on_disk", lambda spark, root: None)
+        want_listing = sorted(list_raw_files(spark, root).collect())
+        want = [sorted(map(repr, read_raw_lines(spark, literal_paths(list_raw_files(spark, root)), None, w).collect())) for w in (False, True)]
+    assert len(want_listing) == 7 and want[0] != want[1] and len(want[0]) > 500
+    assert sorted(list_raw_files(spark, root).collect()) == want_listing
+    monkeypatch.setattr(smallfiles, "MANY_FILES", 1)
+    for whole, chunk in ((1 << 20, 1 << 20), (1 << 20, 64), (1000, 64)):
+        monkeypatch.setattr(smallfiles, "WHOLE_BYTES", whole)
+        monkeypatch.setattr(smallfiles, "CHUNK_BYTES", chunk)
+        listed = Listed(list_raw_files(spark, root))
+        assert len(listed) == 7
+        got = [sorted(map(repr, read_listed_lines(spark, listed, None, w).select(*COLUMNS).collect())) for w in (False, True)]
+        assert got == want
+        assert not [f for f in read_listed_lines(spark, listed).inputFiles() if f.endswith(".csv") and "s3" not in f]
+
+
+def test_paths_of_many_files_stay_out_of_the_driver(spark, scratch, monkeypatch):
+    for i in range(150):
+        os.makedirs(f"{scratch}/s{i}")
+        with open(f"{scratch}/s{i}/Discharge.csv", "w") as f:
+            f.write("p\n" * 9 + f"Date,Parameter,Value\n2024-01-01,47,{i}.0\n")
+
+    def none(*_):
+        raise AssertionError("paths collected")
+
+    monkeypatch.setattr(smallfiles, "literal_paths", none)
+    assert sorted(r.Value for r in masters_from_folder(spark, scratch).collect()) == [float(i) for i in range(150)]
+
+
+def test_runs_of_equal_keys():
+    keys = [pa.array(["a", "a", None, None, "b", "b"]), pa.array(["x", "y", "y", "y", "y", "y"])]
+    assert list(si._runs(keys)) == [(0, 1), (1, 2), (2, 4), (4, 6)]
+    assert list(si._runs([pa.array([], pa.string())] * 2)) == []
