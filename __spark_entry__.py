@@ -173,10 +173,14 @@ def _release_gate(spark, d):
     return release_changed(si.listing(spark, d), stored_stamp(read_pub_status(spark, path)))
 
 
+def _masters_of(spark, root):
+    return masters_from_folder(spark, root, si.raw_pattern(root), si.raw_name)
+
+
 def _masters_csv_roundtrip(spark, d):
     """C4 to CSV (K3) and back (S4) into C3, where the scraped rows win."""
     out = scratch_dir(spark, "masters")
-    write_masters(masters_from_folder(spark, _on_disk(spark, d), "*/*/*.txt", si.raw_name), out, csv=True)
+    write_masters(_masters_of(spark, _on_disk(spark, d)), out, csv=True)
     flow = read_master_csv(spark, f"{out}/variable=flow", order_col="__order")
     level = read_master_csv(spark, f"{out}/variable=water_level (unit values)", order_col="__order")
     rows = realtime_update_rows(si.realtime(spark, d), _stored(spark, d, FLOW), _stored(spark, d, LEVEL),
@@ -223,13 +227,14 @@ def _on_disk(spark, d, **kw):
     key = (spark.sparkContext.applicationId, d, *sorted(kw.items()))
     if key not in _WRITTEN:
         root = scratch_dir(spark, "raw-files")
-        si.write_raw_files(spark, d, root, **kw)
+        si.write_raw_files(spark, d, root, flat="stations" not in kw, **kw)
         _WRITTEN[key] = root
     return _WRITTEN[key]
 
 
 def _raw_file_parse(spark, d):
-    files = list_raw_files(spark, _on_disk(spark, d), "*/*/*.txt")
+    root = _on_disk(spark, d)
+    files = list_raw_files(spark, root, si.raw_pattern(root))
     return raw_readings(read_listed_lines(spark, Listed(files), si.raw_name))
 
 
@@ -247,14 +252,14 @@ def _raw_lines_split(spark, d):
 
 
 def _masters(spark, d):
-    return _r4(masters_from_folder(spark, _on_disk(spark, d), "*/*/*.txt", si.raw_name))
+    return _r4(_masters_of(spark, _on_disk(spark, d)))
 
 
 def _masters_newest_file(spark, d):
     """D6 by the listing: every station has an older file of each variable (a
     heading that sorts before the other) with readings that must not count."""
     root = _on_disk(spark, d, older=True)
-    return _r4(masters_from_folder(spark, root, "*/*/*.txt", si.raw_name))
+    return _r4(_masters_of(spark, root))
 
 
 def _report(spark, d, key):
@@ -266,8 +271,8 @@ def _file_stats(spark, d):
     second parses the others; the rows are read back."""
     root = _on_disk(spark, d, emptied_every=EMPTIED_EVERY, headless_every=HEADLESS_EVERY)
     store = TableStore(spark, scratch_dir(spark, "store"))
-    refresh_file_table(store, root, "*/heading=Discharge/*.txt", si.raw_name)
-    refresh_file_table(store, root, "*/*/*.txt", si.raw_name)
+    refresh_file_table(store, root, si.raw_pattern(root, "Discharge"), si.raw_name)
+    refresh_file_table(store, root, si.raw_pattern(root), si.raw_name)
     return store.read(FILES).drop("path", "size", "modified")
 
 
@@ -282,7 +287,7 @@ def _station_issues(spark, d):
 def _masters_whole_stations(spark, d):
     """C4 where some stations have a file that cannot be read: they get no rows."""
     root = _on_disk(spark, d, emptied_every=EMPTIED_EVERY, headless_every=HEADLESS_EVERY)
-    return _r4(masters_from_folder(spark, root, "*/*/*.txt", si.raw_name))
+    return _r4(_masters_of(spark, root))
 
 
 def _stream_update(spark, d):

@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
-from datetime import datetime, timedelta
 from fnmatch import fnmatchcase
 from itertools import islice
 from urllib.parse import unquote, urlsplit
@@ -77,8 +76,6 @@ def _matches(folder: str, parts: list[str]):
 
 def _listed(batches, parts: list[str]):
     """path, size and time of change (in ms, as Java tells it) of the files below folders."""
-    epoch = datetime(1970, 1, 1)
-    schema = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
 
     def found():
         for b in batches:
@@ -86,11 +83,14 @@ def _listed(batches, parts: list[str]):
                 for e in _matches(folder, parts):
                     s = e.stat()
                     if s.st_size:
-                        yield {"path": URL + e.path, "size": s.st_size, "modified": epoch + timedelta(milliseconds=s.st_mtime_ns // 1_000_000)}
+                        yield URL + e.path, s.st_size, s.st_mtime_ns // 1_000_000 * 1000
 
     rows = found()
     while some := list(islice(rows, 10_000)):
-        yield pa.RecordBatch.from_pylist(some, schema)
+        path, size, modified = zip(*some, strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(path, pa.string()), pa.array(size, pa.int64()), pa.array(modified, pa.int64()).cast(pa.timestamp("us", "UTC"))],
+            ["path", "size", "modified"])
 
 
 def list_by_tasks(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -115,8 +115,14 @@ def _line(raw: bytes) -> bytes:
 
 def _chunks(path: str, size: int):
     """(first line's number, header, lines joined by line feeds) over a file."""
-    first, header = 1, None
     with open(path, "rb") as f:
+        data = f.read(size)
+        if data and len(data) < size and b"\r" not in data:  # the whole file as it stands
+            text = data.removeprefix(b"\xef\xbb\xbf").removesuffix(b"\n")
+            yield 1, _header(text.split(b"\n", HEADER_LINE)), text
+            return
+        f.seek(0)
+        first, header = 1, None
         while lines := f.readlines(size):
             if first == 1:
                 lines[0] = lines[0].removeprefix(b"\xef\xbb\xbf")
@@ -134,31 +140,42 @@ def _head(path: str, _):
 
 
 def _read(batches, parts, chunk: int):
-    schema = pa.schema([("path", pa.string()), ("first_line", pa.int32()), ("header", pa.binary()), ("text", pa.binary())])
     rows, size = [], 0
+
+    def out():
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+            ["path", "first_line", "header", "text"])
+
     for b in batches:
         for path in b.column(0).to_pylist():
-            for first, header, text in parts(path.removeprefix(URL), chunk):
-                rows.append({"path": path, "first_line": first, "header": header, "text": text})
-                size += len(text)
+            for row in parts(path.removeprefix(URL), chunk):
+                rows.append((path, *row))
+                size += len(row[-1])
                 if size >= chunk or len(rows) >= BATCH_FILES:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    yield out()
                     rows, size = [], 0
     if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema)
+        yield out()
 
 
 def _files(paths: DataFrame, parts, name) -> DataFrame:
-    """Rows of `parts` for files, named and with the header as raw_file_table has them."""
+    """Rows of `parts` for files, named, with the line that may be their header."""
     chunk = CHUNK_BYTES
     rows = paths.mapInArrow(lambda b: _read(b, parts, chunk), "path string, first_line int, header binary, text binary")
     header = F.col("header").cast("string")
     rows = rows.select((name(F.col("path")) if name else F.col("path")).alias("file_path"), "first_line",
                        F.when(may_be_header(header), header).alias("header"), F.col("text").cast("string").alias("text"))
     cells = F.split(F.col("file_path"), "/")
-    rows = rows.withColumn(STATION, F.try_element_at(cells, F.lit(-2))).withColumn("file_name", F.element_at(cells, -1))
-    rows = resolve_header(rows, "header", ["file_path", STATION, "file_name", "first_line", "text"])
-    return rows.withColumn("variable", variable_name("file_name"))
+    return rows.withColumn(STATION, F.try_element_at(cells, F.lit(-2))).withColumn("file_name", F.element_at(cells, -1))
+
+
+def _unread(paths: DataFrame, name) -> DataFrame:
+    """Stations of files whose header does not resolve; of equal headers one is resolved."""
+    heads = stored(_files(paths, _head, name).select(STATION, "header"), "raw-heads")
+    bad = resolve_header(heads.select(F.col("header").alias("bad")).distinct(), "bad", ["bad"]).filter(~F.col("header_ok"))
+    return heads.join(bad.select("bad"), F.col("header").eqNullSafe(F.col("bad")), "left_semi").select(STATION)
 
 
 def literal_paths(listing: DataFrame) -> list[str]:
@@ -191,7 +208,8 @@ def read_listed_lines(spark: SparkSession, listed: Listed, name: Callable[[Colum
     tasks = max(-(-n_small // FILES_A_TASK), -(-size // TASK_BYTES), min(n_small, 2 * spark.sparkContext.defaultParallelism))
     paths = listing.filter(small).select("path").repartition(tasks, "path")
     base = ["file_path", STATION, "file_name"]
-    rows = _files(paths, _chunks, name)
+    rows = resolve_header(_files(paths, _chunks, name), "header", [*base, "first_line", "text"])
+    rows = rows.withColumn("variable", variable_name("file_name"))
     numbered = F.posexplode(F.split("text", "\n")).alias("__i", "__line")
     rows = rows.select(*base, "variable", *HEADER_INFO, "first_line", numbered)
     number = F.col("first_line") + F.col("__i")
@@ -202,7 +220,7 @@ def read_listed_lines(spark: SparkSession, listed: Listed, name: Callable[[Colum
     table = rows if large is None else rows.unionByName(large)
     if not whole_stations:
         return table
-    unread = _files(paths, _head, name).filter(~F.col("header_ok")).select(STATION)
+    unread = _unread(paths, name)
     if large is not None:
         unread = unread.unionByName(large.filter(~F.col("header_ok")).select(STATION))
     unread = stored(unread.distinct(), "raw-unread").withColumnRenamed(STATION, "__s").withColumn("__unread", F.lit(True))

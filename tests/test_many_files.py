@@ -141,3 +141,36 @@ def test_runs_of_equal_keys():
     keys = [pa.array(["a", "a", None, None, "b", "b"]), pa.array(["x", "y", "y", "y", "y", "y"])]
     assert list(si._runs(keys)) == [(0, 1), (1, 2), (2, 4), (4, 6)]
     assert list(si._runs([pa.array([], pa.string())] * 2)) == []
+
+
+def test_flat_files_hold_the_same_lines_in_one_folder_a_station(spark, scratch):
+    """No folder for each file; two keys in one file and missing ones included."""
+    ev = spark.createDataFrame([(i, u, t) for i, (u, t) in enumerate([(7, "view"), (7, "click"), (100070, "view"), (100071, "view"), (None, "error"), (8, None)])],
+                               "event_id long, user_id long, event_type string")
+    ev = ev.selectExpr("event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "user_id", "event_type", "1.5D AS value", "'{\"a\":1}' AS props")
+    ev.write.parquet(f"{scratch}/sf/events.parquet")
+    for flat in (True, False):
+        si.write_raw_files(spark, f"{scratch}/sf", f"{scratch}/{flat}", headless_every=4, flat=flat)
+    read = {flat: list_raw_files(spark, f"{scratch}/{flat}", p) for flat, p in ((True, si.raw_pattern(scratch)), (False, "*/*/*.txt"))}
+    assert si.raw_pattern("hdfs://a/b", "Flow") == "*/heading=Flow/*.txt"
+    got = {}
+    for flat, files in read.items():
+        rows = files.select(si.raw_name(files.path).alias("p"), "path").collect()
+        got[flat] = {"/".join(r.p.split("/")[-2:]): open(r.path.removeprefix("file:"), encoding="utf-8").read() for r in rows}
+    assert got[True] == got[False] and len(got[True]) == 5
+    assert {len(p.split("/")) - len(scratch.split("/")) for (p,) in read[True].select("path").collect()} == {3}
+    two = got[True]["0810007/Discharge.csv"].splitlines()  # stations of 100070 and 100071
+    assert len(two) == 22 and two[0].startswith("Station,") and two[1].startswith("Station,")
+    assert got[True]["0800008/Air temperature.csv"].splitlines()[9].startswith("Date (PST)")
+
+
+def test_equal_headers_are_resolved_once(spark, scratch, monkeypatch):
+    for i in range(150):
+        os.makedirs(f"{scratch}/s{i}")
+        with open(f"{scratch}/s{i}/Discharge.csv", "w") as f:
+            f.write("p\n" * 9 + ("Date,Parameter,Value\n" if i % 50 else "Time\n") + f"2024-01-01,47,{i}.0\n")
+    seen = []
+    real = smallfiles.resolve_header
+    monkeypatch.setattr(smallfiles, "resolve_header", lambda df, *a: (seen.append(df.count()), real(df, *a))[1])
+    got = sorted(r.Value for r in masters_from_folder(spark, scratch).collect())
+    assert got == [float(i) for i in range(150) if i % 50] and min(seen) == 2
