@@ -27,8 +27,10 @@ rows; null ids are kept and sort first.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -44,28 +46,28 @@ BLOCK_TOKENS = 1 << 20
 SENTENCE_CUT, FORCED_CUT = 8, 64
 # Shortest window that is kept unpadded for being a power of two.
 LEAST_POWER = 256
-# Words and pieces a worker keeps with their ids; beyond it a cache starts anew.
-WORD_CACHE, PIECE_CACHE, LONGEST_CACHED = 800_000, 1_000_000, 48
+# Words that a worker keeps with their ids (as many older ones beside them), some 200 bytes
+# each, and the longest of them; characters of the texts split at a time.
+WORD_CACHE, LONGEST_CACHED, SLICE_CHARS = 300_000, 48, 1 << 20
+# Marks that the tokenizer keeps apart from letters before them, in one run.
+MARKS = ".,;:!?"
 
 
 class Words:
     """Ids of texts, by the tokenizers library, word by word.
 
-    A word is what stands between two spaces. Its parts (runs of letters and
-    the like) are told apart by the tokenizer's own pre-tokenisation, so the
-    ids of a word are those of its parts in turn."""
+    A word is what stands between white space, which the tokenizer drops. Of a word of
+    letters and marks behind them the two parts are told apart, as the tokenizer's own
+    pre-tokenisation does, so its ids are those of its parts in turn; other words go to
+    the library whole. Words not met while WORD_CACHE others were are forgotten."""
 
     def __init__(self, path: str):
-        import re
-
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        # letter runs and runs of marks of a plain word; other words go to the library whole
-        self.plain = re.compile(r"[a-zà-öø-ÿ]+|[.,;:!?\n]+")
-        self.only = re.compile(r"[a-zà-öø-ÿ.,;:!?\n]*").fullmatch
+        self.older: dict[str, bytes] = {}
+        self.letters = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
 
         self.ends = np.zeros(self.tok.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
@@ -89,41 +91,71 @@ class Words:
         return out
 
     def learn(self, new: set[str]) -> None:
-        """Adds words not seen before."""
-        if len(self.pieces) > PIECE_CACHE:
-            self.pieces.clear()
-        parts: dict[str, list[str]] = {}
-        whole, todo = [], set()
+        """Adds words that `words` lacks."""
+        known, older = self.words, self.older
+        plain, marked, whole = set(), [], []
         for w in new:
-            low = w.lower()
-            if self.only(low) and len(low) == len(w):
-                # white space inside a run of marks separates
-                parts[w] = self.plain.findall(low) if "\n" not in low else [x for p in self.plain.findall(low) for x in p.split()]
-                todo.update(parts[w])
-            else:
+            if (ids := older.get(w)) is not None:
+                known[w] = ids
+                continue
+            stem = w.rstrip(MARKS)
+            low = stem.lower()
+            if not (self.letters(low) and len(low) == len(stem)):
                 whole.append(w)
-        pieces = self.pieces
-        units = [p for p in todo if p not in pieces]
-        pieces.update(zip(units, self._encode_parts(units), strict=True))
-        self.words.update((w, b"".join([pieces[p] for p in ps])) for w, ps in parts.items())
-        self.words.update(zip(whole, self._encode(whole), strict=True))
-        for u in units:
-            if len(u) > LONGEST_CACHED:
-                del pieces[u]
-
-    def ids(self, batch: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.split(" ") for t in batch]
-        if len(self.words) > WORD_CACHE:
-            self.words.clear()
-        new = set(chain.from_iterable(split)).difference(self.words)
-        self.learn(new)
-        get = self.words.__getitem__
-        out = [b"".join(map(get, s)) for s in split]
-        for w in new:
-            if len(w) > LONGEST_CACHED:
-                del self.words[w]
-        return out
+                continue
+            if low != w:
+                marked.append((w, low, w[len(stem):]))
+            if low not in known:
+                if (ids := older.get(low)) is not None:
+                    known[low] = ids
+                else:
+                    plain.add(low)
+        units = list(plain)
+        known.update(zip(units, self._encode_parts(units), strict=True))
+        known.update(zip(whole, self._encode(whole), strict=True))
+        tails = [t for t in {t for _, _, t in marked if t} if t not in known]
+        known.update(zip(tails, self._encode(tails), strict=True))
+        for w, low, tail in marked:
+            known[w] = known[low] + known[tail] if tail else known[low]
+
+    def ids(self, batch: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text; only some texts are split at a time."""
+        for some in slices(batch, SLICE_CHARS):
+            split = [split_words(t) for t in some]
+            new = set(chain.from_iterable(split)).difference(self.words)
+            self.learn(new)
+            yield from [b"".join(map(self.words.__getitem__, s)) for s in split]
+            for w in [w for w in new if len(w) > LONGEST_CACHED]:
+                stem = w.rstrip(MARKS)
+                for x in (w, stem.lower(), w[len(stem):]):
+                    self.words.pop(x, None)
+            if len(self.words) > WORD_CACHE:
+                self.older, self.words = self.words, {}
+
+
+def split_words(text: str) -> list[str]:
+    """What stands between white space, in lower case where each character has its own
+    and none is composed of others, so that the tokenizer would do the same."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python alone
+        return text.split(" ")
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.split()
+    return text.lower().split()
+
+
+def slices(texts: list[str], size: int) -> Iterator[list[str]]:
+    """Runs of texts of at least `size` characters, but for the last."""
+    some, n = [], 0
+    for t in texts:
+        some.append(t)
+        n += len(t)
+        if n >= size:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
 
 
 @lru_cache(maxsize=2)
