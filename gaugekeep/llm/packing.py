@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,7 +49,7 @@ SENTENCE_CUT, FORCED_CUT = 8, 64
 LEAST_POWER = 256
 # Words that a worker keeps with their ids (as many older ones beside them), some 200 bytes
 # each, and the longest of them; characters of the texts split at a time.
-WORD_CACHE, LONGEST_CACHED, SLICE_CHARS = 300_000, 48, 1 << 20
+WORD_CACHE, LONGEST_CACHED, SLICE_CHARS = 300_000, 48, 1 << 21
 # Marks that the tokenizer keeps apart from letters before them, in one run.
 MARKS = ".,;:!?"
 
@@ -67,51 +68,42 @@ class Words:
         self.tok = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.letters = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
-
-        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+        self.letters = re.compile(r"(?<!\S)[a-zà-öø-ÿ]+(?!\S)").findall
+        self.only_letters = re.compile(r"[a-zà-öø-ÿ]+").fullmatch
+        # what the tokenizer's byte level makes of the letters
+        self.bytes_of = {ord(c): self.tok.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xE0, 0x100)) if c != "÷"}
 
     def _encode(self, units: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(units, add_special_tokens=False)]
 
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """The same for plain parts: many are encoded in one line; each ends with
-        its one token that closes a word."""
-        out: list[bytes] = []
-        for k in range(0, len(parts), 2000):
-            some = parts[k:k + 2000]
-            ids = np.asarray(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            stop = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stop) == len(some):
-                raw = ids.tobytes()
-                out += [raw[4 * b:4 * e] for b, e in zip([0, *stop[:-1]], stop, strict=True)]
-            else:
-                out += self._encode(some)
-        return out
+    def _encode_letters(self, units: list[str]) -> list[bytes]:
+        """The same for lower-case letters alone, which its model gets at once."""
+        tokenize = self.tok.model.tokenize
+        shown = [u if u.isascii() else u.translate(self.bytes_of) for u in units]
+        return [array("I", [t.id for t in tokenize(u)]).tobytes() for u in shown]
 
     def learn(self, new: set[str]) -> None:
         """Adds words that `words` lacks."""
         known, older = self.words, self.older
-        plain, marked, whole = set(), [], []
-        for w in new:
-            if (ids := older.get(w)) is not None:
-                known[w] = ids
-                continue
+        back = new.intersection(older)
+        known.update(zip(back, map(older.__getitem__, back), strict=True))
+        # letters alone, found at once; the others one by one
+        plain = new.intersection(self.letters(" ".join(new.difference(back))))
+        marked, whole = [], []
+        for w in new.difference(back).difference(plain):
             stem = w.rstrip(MARKS)
             low = stem.lower()
-            if not (self.letters(low) and len(low) == len(stem)):
+            if not (self.only_letters(low) and len(low) == len(stem)):
                 whole.append(w)
                 continue
-            if low != w:
-                marked.append((w, low, w[len(stem):]))
+            marked.append((w, low, w[len(stem):]))
             if low not in known:
                 if (ids := older.get(low)) is not None:
                     known[low] = ids
                 else:
                     plain.add(low)
         units = list(plain)
-        known.update(zip(units, self._encode_parts(units), strict=True))
+        known.update(zip(units, self._encode_letters(units), strict=True))
         known.update(zip(whole, self._encode(whole), strict=True))
         tails = [t for t in {t for _, _, t in marked if t} if t not in known]
         known.update(zip(tails, self._encode(tails), strict=True))

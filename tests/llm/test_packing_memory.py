@@ -8,7 +8,7 @@ import pytest
 from gaugekeep.llm import packing
 from gaugekeep.llm.registry import PACK_FILE, tokenizer
 
-ODD = ["", " ", "a", "It's, don't!!  We'll...\n\nThe end.", "x\x1cy z\x1d", "\x1f", "Ärger über ÉTÉ, ßß. ×÷ª µ", "ΣΑΣ Σ. İstanbul, K Å",
+ODD = ["", "abcdefghijklmnopqrstuvwxyz, àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ. " + " ".join(map(chr, range(0xC0, 0x100))), " ", "a", "It's, don't!!  We'll...\n\nThe end.", "x\x1cy z\x1d", "\x1f", "Ärger über ÉTÉ, ßß. ×÷ª µ", "ΣΑΣ Σ. İstanbul, K Å",
        "été É, à.", "a b c d\u0085e", "3.14, 10,000; a1b2 (x). ,'s 's.", "." * 60 + "q" * 90 + "!?" * 40,
        "Q" * 90 + ", " + "q" * 90, "日本語。テスト, 中文!", "\U0001f600a, b\U0001f600.", "a​b ﻿c", "İx, İ. ſt ﬁ."]
 
